@@ -1,0 +1,24 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Mark ``df`` for broadcast if it holds at most ``max_rows`` rows.
+
+    The bound is proven with ``limit(max_rows + 1).count()``, which stops
+    reading once the limit is passed. Above the bound the frame is returned
+    unmarked and the join falls back to a shuffle join (AQE splits skewed
+    partitions there).
+    """
+    if df.isStreaming:
+        return df, False
+    rows = df.limit(max_rows + 1).count()
+    if rows <= max_rows:
+        return F.broadcast(df), True
+    return df, False

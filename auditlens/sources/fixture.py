@@ -1,0 +1,136 @@
+"""Audit-log fixture derived from the ``events`` test table.
+
+The expressions are the ones fixed in FIXTURES.md section 3; they are SQL
+text so that the same definitions feed the Spark fixture and the DuckDB
+oracle. Only ``k`` (the JSON field of ``props``) differs between dialects.
+The work grows with ``events``: one projection per input row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+K_SPARK = "CAST(get_json_object(props, '$.k') AS INT)"
+K_DUCKDB = "CAST(json_extract_string(props, '$.k') AS INT)"
+S_EXPR = "(event_id*7+user_id)%20"
+
+# The fixture definition (FIXTURES.md section 3), flat column -> SQL.
+FLAT_COLUMNS: list[tuple[str, str]] = [
+    ("event_id", "event_id"),
+    ("event_time", "ts"),
+    ("event_date", "CAST(ts AS DATE)"),
+    ("workspace_id", "CAST(user_id%2 AS BIGINT)"),
+    ("service_name", "CASE WHEN s IN (12,13) THEN 'unityCatalog' WHEN s=15 THEN 'databrickssql' "
+                     "WHEN s=16 THEN 'filesystem' WHEN s=17 THEN 'notebook' WHEN s=18 THEN 'dashboards' "
+                     "WHEN s=19 THEN 'clusters' ELSE 'accounts' END"),
+    ("action_name", "CASE WHEN s<=5 THEN 'login' WHEN s=6 THEN 'setAdmin' WHEN s=7 THEN 'setAccountAdmin' "
+                    "WHEN s=8 THEN 'changeDatabricksWorkspaceAcl' WHEN s=9 THEN 'addPrincipalToGroup' "
+                    "WHEN s=10 THEN 'addPrincipalsToGroup' WHEN s=11 THEN 'changeDatabricksSqlAcl' "
+                    "WHEN s IN (12,13) THEN 'updatePermissions' WHEN s=14 AND k%2=0 THEN 'setSetting' "
+                    "WHEN s=14 THEN 'deleteSetting' WHEN s=15 THEN 'downloadQueryResult' "
+                    "WHEN s=16 THEN 'filesGet' WHEN s=17 AND k%2=0 THEN 'downloadLargeResults' "
+                    "WHEN s=17 THEN 'downloadPreviewResults' WHEN s=18 THEN 'triggerDashboardSnapshot' "
+                    "ELSE 'create' END"),
+    ("email", "CASE WHEN event_id%11<>0 THEN 'user'||CAST(user_id%10 AS STRING)||'@example.com' END"),
+    ("run_by", "CASE WHEN event_id%22<>0 THEN 'svc'||CAST(user_id%3 AS STRING) END"),
+    ("source_ip", "CASE WHEN event_id%13=0 THEN NULL WHEN event_id%4=0 THEN '10.0.1.'||CAST(event_id%37 AS STRING) "
+                  "ELSE '10.0.0.'||CAST((user_id*3+k)%16 AS STRING) END"),
+    ("user_agent", "'agent/'||CAST(k%4 AS STRING)"),
+    ("status_code", "CASE WHEN event_type='error' THEN 401 WHEN event_type='signup' AND s<=5 THEN 403 "
+                    "WHEN event_type='view' THEN NULL ELSE 200 END"),
+    ("error_message", "CASE WHEN event_type='error' THEN 'denied' END"),
+    ("result", "CASE WHEN event_type='error' THEN 'fail' ELSE 'ok' END"),
+    ("p_user", "CASE WHEN s<=5 AND k%5<>0 THEN 'user'||CAST(user_id%10 AS STRING)||'@example.com' END"),
+    ("p_auth", "CASE WHEN s>5 THEN NULL WHEN k%3=0 THEN 'password' WHEN k%3=1 THEN 'sso' ELSE 'token' END"),
+    ("p_target_name", "CASE WHEN s IN (6,7,9,10) AND event_id%17<>0 THEN 'target'||CAST(k%2 AS STRING) END"),
+    ("p_target_id", "CASE WHEN s IN (8,11) AND event_id%17<>0 THEN 'target'||CAST(k%2 AS STRING) END"),
+    ("p_acl", "CASE WHEN s IN (8,11) THEN 'acl'||CAST(k%2 AS STRING) END"),
+    ("p_group", "CASE WHEN s NOT IN (9,10) THEN NULL WHEN k%6=0 THEN 'admins' WHEN k%6=1 THEN 'account_admins' "
+                "WHEN k%6=2 THEN 'metastore_admins' WHEN k%6=3 THEN 'security-admins' ELSE 'analysts' END"),
+    ("p_sec_type", "CASE WHEN s NOT IN (12,13) THEN NULL WHEN k%5=4 THEN 'FUNCTION' WHEN k%4=2 THEN 'CATALOG' "
+                   "ELSE 'TABLE' END"),
+    ("p_sec_name", "CASE WHEN s NOT IN (12,13) THEN NULL WHEN k%4=0 THEN 'main.pii.t1' WHEN k%4=1 THEN 'main.hr.t2' "
+                   "WHEN k%4=2 THEN 'system' ELSE 'main.sales.t3' END"),
+    ("p_changes", "CASE WHEN s NOT IN (12,13) THEN NULL "
+                  "WHEN k%3=0 THEN '[{\"principal\":\"p1\",\"add\":[\"ALL_PRIVILEGES\"]},{\"principal\":\"p2\",\"add\":[\"SELECT\"]}]' "
+                  "WHEN k%3=1 THEN '[{\"principal\":\"p1\",\"add\":[\"MANAGE\"]}]' "
+                  "WHEN event_id%2=0 THEN '[{\"principal\":\"p3\",\"add\":[\"OWNERSHIP\"]}]' "
+                  "ELSE '[{\"principal\":\"p1\",\"add\":[\"SELECT\"]}]' END"),
+    ("p_key_type", "CASE WHEN s=14 THEN 'type'||CAST(k%2 AS STRING) END"),
+    ("p_key_name", "CASE WHEN s=14 THEN 'key'||CAST(k%3 AS STRING) END"),
+    ("p_setting", "CASE WHEN s=14 AND k%7<>0 THEN 'on' END"),
+    ("p_query_id", "CASE WHEN s=15 THEN 'query'||CAST(k%2 AS STRING) END"),
+    ("p_path", "CASE WHEN s=16 THEN '/data/f'||CAST(k%2 AS STRING) END"),
+    ("p_notebook", "CASE WHEN s=17 THEN '/nb/n'||CAST(k%2 AS STRING) END"),
+    ("p_dashboard", "CASE WHEN s=18 THEN 'dash'||CAST(k%2 AS STRING) END"),
+]
+
+# request_params key carried by each flat fixture column.
+PARAM_KEYS: list[tuple[str, str]] = [
+    ("user", "p_user"),
+    ("authenticationMethod", "p_auth"),
+    ("targetUserName", "p_target_name"),
+    ("targetUserId", "p_target_id"),
+    ("aclPermissionSet", "p_acl"),
+    ("targetGroupName", "p_group"),
+    ("securable_type", "p_sec_type"),
+    ("securable_full_name", "p_sec_name"),
+    ("changes", "p_changes"),
+    ("settingKeyTypeName", "p_key_type"),
+    ("settingKeyName", "p_key_name"),
+    ("settingValueForAudit", "p_setting"),
+    ("queryId", "p_query_id"),
+    ("path", "p_path"),
+    ("notebookFullPath", "p_notebook"),
+    ("dashboard_id", "p_dashboard"),
+]
+
+# The table-tag fixture (catalog, schema, table, tag value).
+TAG_ROWS: list[tuple[str, str, str, str]] = [
+    ("main", "hr", "t2", "pii_email"),
+    ("main", "hr", "t2", "pii_name"),
+    ("main", "sales", "t3", "public"),
+]
+
+
+def flat_audit(events: DataFrame) -> DataFrame:
+    """The flat fixture columns, one row per event."""
+    base = events.selectExpr("*", f"{K_SPARK} AS k", f"{S_EXPR} AS s")
+    return base.selectExpr(*[f"{expr} AS {name}" for name, expr in FLAT_COLUMNS])
+
+
+def audit_from_events(events: DataFrame) -> DataFrame:
+    """Nest the flat fixture into the audit-log shape (structs + map)."""
+    flat = flat_audit(events)
+    pairs = []
+    for key, column in PARAM_KEYS:
+        pairs += [F.lit(key), F.col(column)]
+    params = F.map_filter(F.create_map(*pairs), lambda _k, v: v.isNotNull())
+    return flat.select(
+        "event_id",
+        "event_time",
+        "event_date",
+        "service_name",
+        "action_name",
+        "workspace_id",
+        "user_agent",
+        F.col("source_ip").alias("source_ip_address"),
+        F.struct(F.col("email")).alias("user_identity"),
+        F.struct(F.col("run_by")).alias("identity_metadata"),
+        F.struct("status_code", "error_message", "result").alias("response"),
+        params.alias("request_params"),
+    )
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def audit_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_from_events(events(spark, sf_dir))
+
+
+def tags_fixture(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        TAG_ROWS, "catalog_name string, schema_name string, table_name string, tag_value string")
