@@ -24,7 +24,7 @@ from auditlens.functions.exprs import joined_set  # noqa: E402
 from auditlens.plans.pipeline import SecurityPipeline  # noqa: E402
 from auditlens.session import configure  # noqa: E402
 from auditlens.sources.audit import resolve_as_of  # noqa: E402
-from auditlens.sources.fixture import audit_fixture, tags_fixture  # noqa: E402
+from auditlens.sources.fixture import audit_table, tags_fixture  # noqa: E402
 from auditlens.streaming.thresholds import login_threshold  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ _AS_OF: dict[str, object] = {}
 def pipeline(spark: SparkSession, sf_dir: str) -> SecurityPipeline:
     """The audit fixture of ``sf_dir`` with every layer attached (``as_of`` resolved once per dir)."""
     configure(spark)
-    audit = audit_fixture(spark, sf_dir)
+    audit = audit_table(spark, sf_dir)
     key = str(Path(sf_dir).resolve())
     if key not in _AS_OF:
         _AS_OF[key] = resolve_as_of(audit)

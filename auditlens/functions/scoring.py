@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -165,8 +166,6 @@ def pandas_scorer(fn: Callable) -> Scorer:
     The function runs in Arrow batches on the executors (one call per
     batch, not per row). NULL prompts are not sent; they stay NULL.
     """
-    import pandas as pd
-
     def scorer(family: Family, prompt_col: Column) -> Column:
         name = family.name
 

@@ -8,7 +8,6 @@ aggregate, so it runs once per group.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from auditlens.functions import scoring as S
 from auditlens.functions.scoring import Family
@@ -114,11 +113,8 @@ def assess(summary: DataFrame, family: Family, scorer: S.Scorer = S.default_scor
            keep_prompt: bool = False) -> DataFrame:
     """Add the assessment column to a summary (optionally keep the prompt for inspection)."""
     text = S.prompt(family)
-    with_prompt = summary.withColumn("_prompt", text)
-    out = with_prompt.withColumn(S.ANALYSIS_COLUMN, scorer(family, F.col("_prompt")))
-    if keep_prompt:
-        return out.withColumnRenamed("_prompt", "prompt")
-    return out.drop("_prompt")
+    extra = [text.alias("prompt")] if keep_prompt else []
+    return summary.select("*", scorer(family, text).alias(S.ANALYSIS_COLUMN), *extra)
 
 
 def assess_failed_logins(a3: DataFrame, scorer=S.default_scorer) -> DataFrame:

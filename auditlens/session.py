@@ -27,13 +27,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "auditlens") -> SparkSession:
+                  app: str = "auditlens", driver_memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks (never used on a cluster)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in RECOMMENDED_CONF.items():

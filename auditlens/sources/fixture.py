@@ -8,9 +8,15 @@ The work grows with ``events``: one projection per input row.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditlens.session import ensure_checkpoint_dir
+
 K_SPARK = "CAST(get_json_object(props, '$.k') AS INT)"
 K_DUCKDB = "CAST(json_extract_string(props, '$.k') AS INT)"
 S_EXPR = "(event_id*7+user_id)%20"
@@ -128,9 +134,49 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit fixture as a lazy projection of ``events`` (recomputed on every read)."""
     return audit_from_events(events(spark, sf_dir))
 
 
+_BUILT: dict[str, str] = {}
+_LOCK = threading.Lock()
+
+
+def _fixture_key(sf_dir: str) -> str:
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    try:
+        st = os.stat(path)
+        stamp = f"{os.path.realpath(path)}:{st.st_size}:{st.st_mtime_ns}"
+    except OSError:
+        stamp = path
+    return hashlib.sha1(stamp.encode()).hexdigest()[:16]
+
+
+def audit_table(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The audit fixture written once as a parquet table, then read like the real audit log.
+
+    A deployment reads a physical audit table; this gives the tests the
+    same shape: a plain scan where ``service_name`` / ``action_name`` /
+    ``event_time`` predicates are pushed into parquet. The table is built
+    by Spark from ``events`` (one pass, whole table) into the session's
+    checkpoint folder, sorted by service and action so row-group statistics
+    can skip unrelated rows, and reused for the rest of the session.
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    key = _fixture_key(sf_dir)
+    with _LOCK:
+        path = _BUILT.get(key)
+        if path is None:
+            path = f"{root}/auditlens-fixture-{key}"
+            frame = audit_from_events(events(spark, sf_dir))
+            n = files or max(1, spark.sparkContext.defaultParallelism)
+            (frame.repartitionByRange(n, "service_name", "action_name", "event_time")
+                  .sortWithinPartitions("service_name", "action_name", "event_time")
+                  .write.mode("overwrite").parquet(path))
+            _BUILT[key] = path
+    return spark.read.parquet(path)
+
+
 def tags_fixture(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         TAG_ROWS, "catalog_name string, schema_name string, table_name string, tag_value string")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 # Entity -> (entity column, counter-entity column, entity_type label).
 ENTITIES = {
@@ -29,18 +30,24 @@ def login_threshold(d1: DataFrame, entity: str = "source_ip", window: str = "24
     """
     key, other, label = ENTITIES[entity]
     rows = d1.filter(F.col(key).isNotNull())
+    naive = isinstance(d1.schema["event_time"].dataType, TimestampNTZType)
+    # watermarks need TIMESTAMP: use a UTC-read copy of a naive event time (session zone is UTC)
+    clock = "_event_ts" if naive else "event_time"
+    if naive:
+        rows = rows.withColumn(clock, F.col("event_time").cast("timestamp"))
     if watermark and d1.isStreaming:
-        rows = rows.withWatermark("event_time", watermark)
-    win = F.window("event_time", window, slide) if slide else F.window("event_time", window)
+        rows = rows.withWatermark(clock, watermark)
+    win = F.window(clock, window, slide) if slide else F.window(clock, window)
     grouped = rows.groupBy(win.alias("w"), F.col(key).alias("entity")).agg(
         F.count(F.lit(1)).alias("failed_attempts"),
         F.size(F.collect_set(other)).cast("bigint").alias("unique_entities"),
         F.min("event_time").alias("first_attempt"),
         F.max("event_time").alias("last_attempt"),
     )
+    bound_type = "timestamp_ntz" if naive else "timestamp"
     return grouped.filter(F.col("failed_attempts") >= threshold).select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        F.col("w.start").cast(bound_type).alias("window_start"),
+        F.col("w.end").cast(bound_type).alias("window_end"),
         F.lit(label).alias("entity_type"),
         "entity", "failed_attempts", "unique_entities", "first_attempt", "last_attempt",
     )
