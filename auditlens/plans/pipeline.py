@@ -2,17 +2,24 @@
 
 ``SecurityPipeline(audit, tags)`` resolves ``as_of`` once and exposes each
 operator output as an attribute (``d1`` .. ``q18``). Nothing runs until a
-frame is used. ``materialize()`` cuts lineage at the detection and
-assessment boundaries (reliable checkpoints or written snapshots, never
-executor-local storage), the way the source job refreshes its materialised
-views before the reports read them.
+frame is used.
+
+With ``shared_scan=True`` (the default) the windowed layers (summaries,
+assessments, posture, reports, alert metrics) do not read the audit log
+per rule: one pass tags every windowed detection row
+(``shared_scan.detection_candidates``) and the rules read that small
+result. ``refresh()`` writes it, and the frames the source job keeps as
+materialised views (R-FL, R-DE, C1, C3), as parquet snapshots in the
+session's shared checkpoint folder; reports then read those snapshots.
+The unbounded detection views ``d1`` .. ``d8`` always read the audit log.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from auditlens.functions import scoring as S
 from auditlens.operators import alerts as L
@@ -21,22 +28,26 @@ from auditlens.operators import detections as D
 from auditlens.operators import posture as C
 from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
+from auditlens.plans import shared_scan as SS
 from auditlens.sources.audit import resolve_as_of
 from auditlens.sources.sinks import snapshot
 
 LOOKBACK_HOURS = 168
+UC_ALERT_HOURS = 720
+SNAPSHOT_FRAMES = ("r_fl", "r_de", "c1", "c3")
 
 
 class SecurityPipeline:
     def __init__(self, audit: DataFrame, tags: DataFrame, as_of=None,
                  scorer: S.Scorer = S.default_scorer, lookback_hours: float = LOOKBACK_HOURS,
-                 rules: dict | None = None):
+                 rules: dict | None = None, shared_scan: bool = True):
         self.audit = audit
         self.tags = tags
         self.as_of = resolve_as_of(audit, as_of)
         self.scorer = scorer
         self.h = lookback_hours
         self.rules = rules
+        self.shared = shared_scan
 
     @property
     def spark(self):
@@ -63,25 +74,44 @@ class SecurityPipeline:
     def d8_branch(self, branch: str) -> DataFrame:
         return D.data_export_branch(self.audit, branch, self.as_of, self.h)
 
+    # windowed detections: one shared pass, or the views themselves
+    @cached_property
+    def uc_hours(self) -> float:
+        hours = [row[5] for row in self.definitions_rows if row[3] == SS.UC_ESCALATIONS]
+        return max([UC_ALERT_HOURS, self.h] + hours)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return SS.detection_candidates(self.audit, self.as_of, self.h, self.uc_hours)
+
+    @cached_property
+    def windowed(self) -> dict[str, DataFrame]:
+        if self.shared:
+            return SS.windowed_detections(self.candidates, self.tags)
+        return {name: getattr(self, name) for name in ("d1", "d2", "d3", "d4", "d6", "d7", "d8")}
+
+    def w(self, name: str) -> DataFrame:
+        return self.windowed[name]
+
     # summaries
     @cached_property
-    def a1(self): return A.failed_logins_by_ip(self.d1, self.as_of, self.h)
+    def a1(self): return A.failed_logins_by_ip(self.w("d1"), self.as_of, self.h)
     @cached_property
-    def a2(self): return A.failed_logins_by_user(self.d1, self.as_of, self.h)
+    def a2(self): return A.failed_logins_by_user(self.w("d1"), self.as_of, self.h)
     @cached_property
-    def a3(self): return A.failed_login_patterns(self.d1, self.as_of, self.h)
+    def a3(self): return A.failed_login_patterns(self.w("d1"), self.as_of, self.h)
     @cached_property
-    def a4(self): return A.account_admin_activity(self.d2, self.as_of, self.h)
+    def a4(self): return A.account_admin_activity(self.w("d2"), self.as_of, self.h)
     @cached_property
-    def a5(self): return A.workspace_acl_activity(self.d3, self.as_of, self.h)
+    def a5(self): return A.workspace_acl_activity(self.w("d3"), self.as_of, self.h)
     @cached_property
-    def a6(self): return A.sensitive_group_activity(self.d4, self.as_of, self.h)
+    def a6(self): return A.sensitive_group_activity(self.w("d4"), self.as_of, self.h)
     @cached_property
-    def a7(self): return A.uc_permission_activity(self.d6, self.as_of, self.h)
+    def a7(self): return A.uc_permission_activity(self.w("d6"), self.as_of, self.h)
     @cached_property
-    def a8(self): return A.account_setting_activity(self.d7, self.as_of, self.h)
+    def a8(self): return A.account_setting_activity(self.w("d7"), self.as_of, self.h)
     @cached_property
-    def a9(self): return A.export_activity(self.d8)
+    def a9(self): return A.export_activity(self.w("d8"))
 
     # assessments
     @cached_property
@@ -104,7 +134,7 @@ class SecurityPipeline:
     def c1(self):
         return C.privilege_escalation_consolidated(self.r_aa, self.r_wa, self.r_sg, self.r_uc, self.r_as)
     @cached_property
-    def c2(self): return C.posture_event_counts(self.d1, self.d8, self.c1, self.as_of, self.h)
+    def c2(self): return C.posture_event_counts(self.w("d1"), self.w("d8"), self.c1, self.as_of, self.h)
     @cached_property
     def c3(self):
         scorer = None if self.scorer is S.default_scorer else self.scorer
@@ -136,18 +166,58 @@ class SecurityPipeline:
     @cached_property
     def definitions(self): return L.alert_definitions(self.spark, self.rules)
 
-    def l1(self): return L.failed_login_alert(self.d1, self.as_of)
-    def l2(self): return L.account_admin_alert(self.d2, self.as_of)
-    def l3(self): return L.data_export_alert(self.d8, self.as_of)
-    def l4(self): return L.uc_permission_alert(self.d6, self.as_of)
+    def l1(self): return L.failed_login_alert(self.w("d1"), self.as_of)
+    def l2(self): return L.account_admin_alert(self.w("d2"), self.as_of)
+    def l3(self): return L.data_export_alert(self.w("d8"), self.as_of)
+    def l4(self): return L.uc_permission_alert(self.w("d6"), self.as_of)
     def l5(self): return L.data_export_ai_alert(self.r_de)
 
     def metrics(self) -> DataFrame:
-        return L.rule_metrics(self.audit, self.tags, self.r_de, self.definitions_rows, self.as_of)
+        """Every metric the rules name.
+
+        Shared mode: counted over the (snapshotted) windowed detections, no
+        further audit scan. Otherwise one shared aggregate over the audit.
+        """
+        if not self.shared:
+            return L.rule_metrics(self.audit, self.tags, self.r_de, self.definitions_rows, self.as_of)
+        sources = {SS.AUTH_EVENTS: "d1", SS.ADMIN_ASSIGNMENTS: "d2", SS.DATA_EXPORTS: "d8",
+                   SS.UC_ESCALATIONS: "d6"}
+        parts = []
+        for row in self.definitions_rows:
+            metric, hours = row[3], row[5]
+            if metric in sources:
+                frame = L.count_metric(self.w(sources[metric]), self.as_of, hours)
+            elif metric == L.HIGH_RISK_EXPORTS:
+                frame = L.data_export_ai_alert(self.r_de)
+            else:
+                raise ValueError(f"unknown alert metric '{metric}'")
+            parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
+        return reduce(DataFrame.unionByName, parts)
 
     def l6(self) -> DataFrame:
         return L.evaluate_alerts(self.metrics(), self.definitions, self.as_of)
 
+    # refresh: the job's materialised views
+    def refresh(self, path: str | None = None, frames=SNAPSHOT_FRAMES) -> "SecurityPipeline":
+        """Write the shared detection pass, then the report sources, as parquet snapshots.
+
+        One audit scan in total (plus the ``as_of`` aggregate when not given).
+        Later frames read the snapshots: a lost executor never re-runs the
+        audit scan, and each report reads a few small files.
+        """
+        if not self.shared:
+            raise ValueError("refresh() needs shared_scan=True")
+        derived = [k for k in list(self.__dict__) if k in _DERIVED]
+        for key in derived:
+            del self.__dict__[key]
+        base = None if path is None else path.rstrip("/")
+        self.__dict__["candidates"] = snapshot(
+            self.candidates, "detections", None if base is None else f"{base}/detections")
+        for name in frames:
+            frame = getattr(self, name)
+            self.__dict__[name] = snapshot(frame, name, None if base is None else f"{base}/{name}")
+        return self
+
     # lineage cuts
     def materialize(self, names=("d1", "d6", "d8", "r_fl", "r_de", "c1"), how: str = "checkpoint",
                     path: str | None = None) -> "SecurityPipeline":
@@ -168,3 +238,9 @@ class SecurityPipeline:
             # cached_property values live in the instance dict: replace the cached frame
             self.__dict__[name] = done
         return self
+
+
+_DERIVED = {
+    "candidates", "windowed", "a1", "a2", "a3", "a4", "a5", "a6", "a7", "a8", "a9",
+    "r_fl", "r_de", "r_aa", "r_wa", "r_sg", "r_uc", "r_as", "c1", "c2", "c3",
+}

@@ -1,10 +1,18 @@
-"""One audit scan for every count-based alert metric.
+"""Shared scans: one pass over the audit log instead of one per rule.
 
-Written as separate views, the count metrics read the audit log once each.
-Catalyst does not merge scans of a union, so here they are one global
-aggregate with a conditional count per metric: one scan bounded by the
-widest look-back, partial counts per task, one tiny final row. The row
-predicates on ``service_name`` / ``action_name`` reach the parquet scan.
+Written as separate views, every rule reads the audit log again (eleven
+scans for a full refresh), and Catalyst does not merge the scans of a
+union. Two shared plans replace them:
+
+* ``rule_metric_counts``: the count-based alert metrics as one global
+  aggregate with a conditional count per metric (one scan, partial counts
+  per task, one tiny final row).
+* ``detection_candidates``: every windowed detection row, tagged with its
+  rule, in one shape; written once (``SecurityPipeline.refresh``) and split
+  back into the detection shapes by ``windowed_detections``.
+
+Both bound the scan by the widest look-back and push the rule predicates
+on ``service_name`` / ``action_name`` into the parquet scan.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.exprs import param, parse_as_of, since, ts_literal, time_type
+from auditlens.functions.exprs import actor, param, parse_as_of, since, ts_literal, time_type
 from auditlens.operators import detections as D
 from auditlens.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from auditlens.sources.tags import sensitive_tables
@@ -92,3 +100,116 @@ def rule_metric_counts(audit: DataFrame, tags: DataFrame, as_of, hours: dict[str
         counts = counts.unionByName(
             d6.agg(F.lit(UC_ESCALATIONS).alias("metric"), F.count(F.lit(1)).alias("value")))
     return counts
+
+
+# --- one pass for every windowed detection -----------------------------------------------------
+
+# Rule ids of the windowed detections.
+D1, D2, D3, D4, D6, D7, D8 = "D1", "D2", "D3", "D4", "D6", "D7", "D8"
+CANDIDATE_COLUMNS = (
+    "rule", "event_time", "event_date", "service_name", "workspace_id", "action_name", "actor",
+    "username", "authentication_method", "user_agent", "response_code", "response_message", "result",
+    "source_ip", "target_user", "new_acl", "group_name", "securable_type", "securable_full_name",
+    "changes", "key_type", "key_name", "settings", "source", "artifact",
+)
+
+
+def detection_candidates(audit: DataFrame, as_of, hours: float = 168, uc_hours: float | None = 720
+                         ) -> DataFrame:
+    """Every audit row any windowed rule keeps, tagged with its rule, in one shape.
+
+    One scan over the widest look-back; each rule matches its own action
+    names, so a row belongs to at most one rule and a ``when`` chain tags
+    it. D6 keeps its raw ``changes`` here: the tag lookup and the explode
+    run later on the small D6 subset. ``uc_hours`` widens the window for D6
+    only (its alert looks back 30 days).
+    """
+    uc_hours = max(hours, uc_hours or hours)
+    predicates = [
+        (D1, D.auth_failure_filter()),
+        (D2, D.account_admin_filter()),
+        (D3, (F.col("service_name") == D.ACCOUNTS) & (F.col("action_name") == D.WORKSPACE_ACL_ACTION)),
+        (D4, (F.col("service_name") == D.ACCOUNTS) & F.col("action_name").isin(*D.GROUP_ADD_ACTIONS)
+         & param("targetGroupName").isin(*D.SENSITIVE_GROUPS)),
+        (D6, D.uc_candidate_filter()),
+        (D7, (F.col("service_name") == D.ACCOUNTS) & F.col("action_name").isin(*D.SETTING_ACTIONS)),
+        (D8, D.export_filter()),
+    ]
+    rule = None
+    for name, pred in predicates:
+        rule = F.when(pred, F.lit(name)) if rule is None else rule.when(pred, F.lit(name))
+    tagged = since(audit, as_of, uc_hours).select("*", rule.alias("rule"))
+    inner = _after(audit, as_of, hours)
+    kept = tagged.filter(F.col("rule").isNotNull() & ((F.col("rule") == D6) | inner))
+
+    def only(rules, value):
+        return F.when(F.col("rule").isin(*rules), value)
+
+    source = artifact = None
+    for branch in D.EXPORT_BRANCHES.values():
+        service, _, label, key, _ = branch
+        hit = (F.col("rule") == D8) & (F.col("service_name") == service)
+        src = F.col("service_name") if label is None else F.lit(label)
+        source = F.when(hit, src) if source is None else source.when(hit, src)
+        artifact = F.when(hit, param(key)) if artifact is None else artifact.when(hit, param(key))
+    return kept.select(
+        "rule", "event_time", "event_date", "service_name", "workspace_id", "action_name",
+        actor().alias("actor"),
+        only([D1], F.coalesce(F.col("user_identity.email"), param("user"))).alias("username"),
+        only([D1], param("authenticationMethod")).alias("authentication_method"),
+        "user_agent",
+        only([D1], F.col("response.status_code")).alias("response_code"),
+        only([D1], F.col("response.error_message")).alias("response_message"),
+        only([D1], F.col("response.result")).alias("result"),
+        F.col("source_ip_address").alias("source_ip"),
+        F.when(F.col("rule").isin(D2, D4), param("targetUserName"))
+         .when(F.col("rule") == D3, param("targetUserId")).alias("target_user"),
+        only([D3], param("aclPermissionSet")).alias("new_acl"),
+        only([D4], param("targetGroupName")).alias("group_name"),
+        only([D6], param("securable_type")).alias("securable_type"),
+        only([D6], param("securable_full_name")).alias("securable_full_name"),
+        only([D6], param("changes")).alias("changes"),
+        only([D7], param("settingKeyTypeName")).alias("key_type"),
+        only([D7], param("settingKeyName")).alias("key_name"),
+        only([D7], param("settingValueForAudit")).alias("settings"),
+        source.alias("source"),
+        artifact.cast("string").alias("artifact"),
+    )
+
+
+def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
+                        broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> dict[str, DataFrame]:
+    """Split the tagged rows back into the detection shapes (same columns as D1-D8)."""
+    def rule(name):
+        return candidates.filter(F.col("rule") == name)
+
+    out = {
+        "d1": rule(D1).select("event_time", "event_date", "service_name", "username",
+                              "authentication_method", "user_agent", "action_name", "response_code",
+                              "response_message", "result", "source_ip"),
+        "d2": rule(D2).select("event_time", "service_name", "workspace_id", "actor", "target_user",
+                              "action_name", F.lit("ACCOUNT_ADMIN_GRANTED").alias("indicator"),
+                              F.lit("Critical").alias("severity")),
+        "d3": rule(D3).select("event_time", "service_name", "workspace_id", "actor", "target_user",
+                              "action_name", "new_acl", F.lit("WORKSPACE_ACL_CHANGED").alias("indicator"),
+                              F.lit("Medium").alias("severity")),
+        "d4": rule(D4).select("event_time", "service_name", "workspace_id", "actor", "target_user",
+                              "group_name", "action_name", F.lit("SENSITIVE_GROUP_ADDED").alias("indicator"),
+                              F.lit("Medium").alias("severity")),
+        "d7": rule(D7).select("event_time", "service_name", "workspace_id", "actor", "action_name",
+                              "key_type", "key_name", "settings"),
+        "d8": rule(D8).select("workspace_id", "actor", "source", "action_name", "artifact", "event_time"),
+    }
+    uc = rule(D6)
+    tagged = sensitive_tables(tags, dedupe=dedupe_tags).select(
+        F.col("securable_full_name").alias("_tagged_name"))
+    tagged, _ = bounded_broadcast(tagged, broadcast_max_rows)
+    joined = uc.join(tagged, uc["securable_full_name"] == tagged["_tagged_name"], "left")
+    name = F.col("securable_full_name")
+    kept = joined.filter(name.like("%pii%") | (name == D.UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())
+    item = F.explode(F.from_json(F.col("changes"), D.CHANGES_SCHEMA)).alias("_item")
+    out["d6"] = kept.select("*", item).select(
+        "event_time", "service_name", "workspace_id", "actor", "securable_type", "securable_full_name",
+        "action_name", F.lit("UC_PERMISSION_CHANGE").alias("escalation_type"),
+        F.col("_item.principal").alias("target_principal"), F.col("_item.add").alias("permissions"))
+    return out
