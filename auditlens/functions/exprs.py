@@ -55,15 +55,26 @@ def time_type(df: DataFrame, column: str = "event_time"):
     return df.schema[column].dataType
 
 
+PARTITION_DATE = "event_date"
+
+
 def since(df: DataFrame, as_of, hours: float | None, column: str = "event_time") -> DataFrame:
     """Keep rows with ``column >= as_of - hours`` (no upper bound, as in a look-back).
 
     ``hours=None`` keeps everything (used for streams and unbounded views).
+    When the frame also carries ``event_date`` (the audit log's partition
+    column), a redundant ``event_date >= date(lower) - 1 day`` is added so
+    that the scan skips whole date partitions; the extra day keeps rows
+    whose date was cut in another time zone.
     """
     if hours is None:
         return df
     lower = parse_as_of(as_of) - dt.timedelta(hours=hours)
-    return df.filter(F.col(column) >= ts_literal(lower, time_type(df, column)))
+    cond = F.col(column) >= ts_literal(lower, time_type(df, column))
+    if column == "event_time" and PARTITION_DATE in df.columns:
+        first_day = (lower - dt.timedelta(days=1)).date().isoformat()
+        cond = cond & (F.col(PARTITION_DATE) >= F.lit(first_day).cast("date"))
+    return df.filter(cond)
 
 
 def hours_between(start: Column, end: Column) -> Column:

@@ -138,8 +138,17 @@ def detection_candidates(audit: DataFrame, as_of, hours: float = 168, uc_hours:
     rule = None
     for name, pred in predicates:
         rule = F.when(pred, F.lit(name)) if rule is None else rule.when(pred, F.lit(name))
-    tagged = since(audit, as_of, uc_hours).select("*", rule.alias("rule"))
     inner = _after(audit, as_of, hours)
+    # the widest bound prunes partitions; older than ``hours`` only D6 rows count, which a
+    # pushed (event_time OR service/action) filter lets row-group statistics skip
+    uc_rows = (F.col("service_name") == D.UC_SERVICE) & (F.col("action_name") == D.UC_ACTION)
+    actions = set(D.LOGIN_ACTIONS) | set(D.ADMIN_ACTIONS) | {D.WORKSPACE_ACL_ACTION, D.UC_ACTION}
+    actions |= set(D.GROUP_ADD_ACTIONS) | set(D.SETTING_ACTIONS)
+    for _, acts, _, _, _ in D.EXPORT_BRANCHES.values():
+        actions |= set(acts)
+    scanned = since(audit, as_of, uc_hours).filter(
+        (inner | uc_rows) & F.col("action_name").isin(*sorted(actions)))
+    tagged = scanned.select("*", rule.alias("rule"))
     kept = tagged.filter(F.col("rule").isNotNull() & ((F.col("rule") == D6) | inner))
 
     def only(rules, value):

@@ -152,15 +152,16 @@ def _fixture_key(sf_dir: str) -> str:
     return hashlib.sha1(stamp.encode()).hexdigest()[:16]
 
 
-def audit_table(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+def audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit fixture written once as a parquet table, then read like the real audit log.
 
     A deployment reads a physical audit table; this gives the tests the
-    same shape: a plain scan where ``service_name`` / ``action_name`` /
-    ``event_time`` predicates are pushed into parquet. The table is built
-    by Spark from ``events`` (one pass, whole table) into the session's
-    checkpoint folder, sorted by service and action so row-group statistics
-    can skip unrelated rows, and reused for the rest of the session.
+    same shape: a scan partitioned by ``event_date`` (look-backs prune
+    whole days) where ``service_name`` / ``action_name`` / ``event_time``
+    predicates are pushed into parquet. The table is built by Spark from
+    ``events`` (one pass, whole table) into the session's checkpoint
+    folder, one file per day sorted by service and action so row-group
+    statistics can skip unrelated rows, and reused for the session.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     key = _fixture_key(sf_dir)
@@ -169,10 +170,9 @@ def audit_table(spark: SparkSession, sf_dir: str, files: int | None = None) -> D
         if path is None:
             path = f"{root}/auditlens-fixture-{key}"
             frame = audit_from_events(events(spark, sf_dir))
-            n = files or max(1, spark.sparkContext.defaultParallelism)
-            (frame.repartitionByRange(n, "service_name", "action_name", "event_time")
+            (frame.repartition("event_date")
                   .sortWithinPartitions("service_name", "action_name", "event_time")
-                  .write.mode("overwrite").parquet(path))
+                  .write.mode("overwrite").partitionBy("event_date").parquet(path))
             _BUILT[key] = path
     return spark.read.parquet(path)
 
