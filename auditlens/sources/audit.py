@@ -50,13 +50,23 @@ def resolve_as_of(df: DataFrame, as_of=None, column: str = "event_time") -> dt.d
     """The evaluation instant.
 
     An explicit value wins (a scheduled job passes its run time). Otherwise
-    the latest ``column`` value is taken with one global aggregate: a single
+    the latest ``column`` value is taken with a global aggregate: a single
     scalar comes back to the driver, and the result becomes a literal that
-    Catalyst pushes into every later scan.
+    Catalyst pushes into every later scan. On a date-partitioned log the
+    latest date is found first, so the timestamp column is read for two
+    days only, not for the whole retention.
     """
     if as_of is not None:
         return parse_as_of(as_of)
-    latest = df.agg(F.max(column).cast("string").alias("t")).first()["t"]
+    scope = df
+    if column == "event_time" and "event_date" in df.columns:
+        # latest partition first (reads the partition column only), then the
+        # exact instant from the last two days of partitions
+        last_day = df.agg(F.max("event_date").alias("d")).first()["d"]
+        if last_day is not None:
+            scope = df.filter(F.col("event_date") >= F.lit(
+                (last_day - dt.timedelta(days=1)).isoformat()).cast("date"))
+    latest = scope.agg(F.max(column).cast("string").alias("t")).first()["t"]
     if latest is None:
         raise ValueError("cannot derive as_of from an empty audit log")
     return parse_as_of(latest)
