@@ -211,8 +211,10 @@ class SecurityPipeline:
         for key in derived:
             del self.__dict__[key]
         base = None if path is None else path.rstrip("/")
+        # partitioned by rule: each detection shape reads its own folder only
         self.__dict__["candidates"] = snapshot(
-            self.candidates, "detections", None if base is None else f"{base}/detections")
+            self.candidates, "detections", None if base is None else f"{base}/detections",
+            partition_by=["rule"])
         for name in frames:
             frame = getattr(self, name)
             self.__dict__[name] = snapshot(frame, name, None if base is None else f"{base}/{name}")

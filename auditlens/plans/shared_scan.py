@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.exprs import actor, param, parse_as_of, since, ts_literal, time_type
+from auditlens.functions.exprs import actor, param, parse_as_of, since, ts_literal, time_type  # noqa: F401
 from auditlens.operators import detections as D
 from auditlens.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from auditlens.sources.tags import sensitive_tables
