@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from auditlens.functions.exprs import joined_set  # noqa: E402
+from auditlens.operators import assess as R  # noqa: E402
 from auditlens.plans.pipeline import SecurityPipeline  # noqa: E402
 from auditlens.session import configure  # noqa: E402
 from auditlens.sources.audit import resolve_as_of  # noqa: E402
@@ -95,6 +96,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "a8_account_setting_activity": _q(lambda p: p.a8),
         "a9_export_activity": _q(lambda p: p.a9),
         "r_fl_failed_login_analysis": _q(lambda p: _text_sets(p.r_fl, *sets)),
+        "r1_failed_login_prompts": _q(lambda p: R.with_prompt(p.a3, R.FAILED_LOGIN).select(
+            "detection_type", "entity_id", "prompt")),
         "r_de_data_export_analysis": _q(lambda p: p.r_de),
         "r_aa_account_admin_analysis": _q(lambda p: p.r_aa),
         "r_wa_workspace_acl_analysis": _q(lambda p: p.r_wa),

@@ -117,6 +117,11 @@ def assess(summary: DataFrame, family: Family, scorer: S.Scorer = S.default_scor
     return summary.select("*", scorer(family, text).alias(S.ANALYSIS_COLUMN), *extra)
 
 
+def with_prompt(summary: DataFrame, family: Family) -> DataFrame:
+    """The summary with its prompt text (what a model-backed scorer receives)."""
+    return summary.select("*", S.prompt(family).alias("prompt"))
+
+
 def assess_failed_logins(a3: DataFrame, scorer=S.default_scorer) -> DataFrame:
     """R-FL over A3."""
     return assess(a3, FAILED_LOGIN, scorer)

@@ -113,3 +113,26 @@ def test_posture_counts_absent_read_as_zero(spark):
     c2 = spark.createDataFrame([], "event_type string, event_count bigint, last_event timestamp_ntz")
     doc = C.posture_summary(c2, AS_OF).first()[S.POSTURE_COLUMN]
     assert doc.startswith('{"overall_risk_level":"LOW","key_risk_areas":[]')
+
+
+def test_posture_with_pluggable_scorer(spark):
+    c2 = spark.createDataFrame([("FAILED_LOGINS", 3, None), ("DATA_EXPORTS", 0, None),
+                                ("PRIVILEGE_ESCALATIONS", 7, None)],
+                               "event_type string, event_count bigint, last_event timestamp_ntz")
+
+    def fake(prompts: pd.Series, family: str) -> pd.Series:
+        return prompts.map(lambda p: '{"overall_risk_level":"%s","seen":"%s"}' % (family, p[-20:]))
+
+    row = C.posture_summary(c2, AS_OF, S.pandas_scorer(fake)).first()
+    assert '"overall_risk_level":"security_posture_summary"' in row[S.POSTURE_COLUMN]
+    default = C.posture_summary(c2, AS_OF).first()[S.POSTURE_COLUMN]
+    assert default.startswith('{"overall_risk_level":"HIGH","key_risk_areas":["failed_logins","privilege_escalations"]')
+
+
+def test_prompt_is_null_when_a_field_is_null(make_audit):
+    rows = [audit_row(service="filesystem", action="filesGet", params={"path": "/f"}, email="a@x"),
+            audit_row(service="filesystem", action="filesGet", params={}, email="a@x")]    # no artifact
+    a9 = A.export_activity(D.data_export_detection(make_audit(rows), AS_OF))
+    out = {r.artifact: r.prompt for r in R.with_prompt(a9, R.DATA_EXPORT).collect()}
+    assert out[None] is None
+    assert out["/f"].startswith("Assess this data export activity. Actor=a@x, Source=filesystem")
