@@ -91,6 +91,23 @@ class Family:
         return self.bands[0][0]
 
 
+def response_schema(fields) -> str:
+    """R2: the structured response as a DDL schema (first field text, the rest text lists)."""
+    first, *rest = fields
+    return ", ".join([f"{first} STRING"] + [f"{name} ARRAY<STRING>" for name in rest])
+
+
+def family_schema(family: "Family") -> str:
+    if family.name == "security_posture_summary":
+        return response_schema(POSTURE_FIELDS)
+    return response_schema(("risk_level", "risk_factors", "immediate_actions") + tuple(family.extra_fields))
+
+
+def parse_assessment(column: Column, family: "Family") -> Column:
+    """The assessment JSON as a struct of its response schema."""
+    return F.from_json(column, family_schema(family))
+
+
 def _col_text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -160,11 +177,13 @@ def rule_scorer(family: Family, prompt_col: Column) -> Column:
     return F.when(prompt_col.isNotNull(), F.to_json(rule_assessment(family)))
 
 
-def pandas_scorer(fn: Callable) -> Scorer:
+def pandas_scorer(fn: Callable, conform: bool = True) -> Scorer:
     """Wrap ``fn(prompts: pandas.Series, family_name: str) -> pandas.Series`` of JSON text.
 
     The function runs in Arrow batches on the executors (one call per
-    batch, not per row). NULL prompts are not sent; they stay NULL.
+    batch, not per row). NULL prompts are not sent; they stay NULL. With
+    ``conform`` the answers are parsed with the family's response schema
+    and written back, so unknown fields are dropped and types enforced.
     """
     def scorer(family: Family, prompt_col: Column) -> Column:
         name = family.name
@@ -177,7 +196,10 @@ def pandas_scorer(fn: Callable) -> Scorer:
                 out[mask] = list(fn(prompts[mask], name))
             return out
 
-        return _score(prompt_col)
+        raw = _score(prompt_col)
+        if not conform:
+            return raw
+        return F.when(raw.isNotNull(), F.to_json(parse_assessment(raw, family)))
 
     return scorer
 

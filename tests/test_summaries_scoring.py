@@ -85,9 +85,15 @@ def test_pandas_scorer_is_called_per_batch_and_keeps_nulls(make_audit):
     def fake_model(prompts: pd.Series, family: str) -> pd.Series:
         return prompts.map(lambda p: '{"risk_level":"HIGH","family":"%s","n":%d}' % (family, len(p)))
 
-    r = R.assess_account_admin(a4, S.pandas_scorer(fake_model))
-    out = {x.target_user: x[S.ANALYSIS_COLUMN] for x in r.collect()}
+    raw = R.assess_account_admin(a4, S.pandas_scorer(fake_model, conform=False))
+    out = {x.target_user: x[S.ANALYSIS_COLUMN] for x in raw.collect()}
     assert out["t2"] is None and '"family":"account_admin_analysis"' in out["t1"]
+    conformed = R.assess_account_admin(a4, S.pandas_scorer(fake_model))
+    out = {x.target_user: x[S.ANALYSIS_COLUMN] for x in conformed.collect()}
+    assert out["t2"] is None and out["t1"] == '{"risk_level":"HIGH"}'      # unknown fields dropped
+    parsed = conformed.select(S.parse_assessment(F.col(S.ANALYSIS_COLUMN), R.ACCOUNT_ADMIN).alias("a"))
+    assert parsed.filter("a.risk_level = 'HIGH'").count() == 1
+    assert "investigation_steps ARRAY<STRING>" in S.family_schema(R.ACCOUNT_ADMIN)
 
 
 def test_consolidation_row_count_and_posture(spark):
@@ -124,7 +130,9 @@ def test_posture_with_pluggable_scorer(spark):
         return prompts.map(lambda p: '{"overall_risk_level":"%s","seen":"%s"}' % (family, p[-20:]))
 
     row = C.posture_summary(c2, AS_OF, S.pandas_scorer(fake)).first()
-    assert '"overall_risk_level":"security_posture_summary"' in row[S.POSTURE_COLUMN]
+    assert row[S.POSTURE_COLUMN] == '{"overall_risk_level":"security_posture_summary"}'
+    row = C.posture_summary(c2, AS_OF, S.pandas_scorer(fake, conform=False)).first()
+    assert '"seen":"' in row[S.POSTURE_COLUMN]
     default = C.posture_summary(c2, AS_OF).first()[S.POSTURE_COLUMN]
     assert default.startswith('{"overall_risk_level":"HIGH","key_risk_areas":["failed_logins","privilege_escalations"]')
 
