@@ -30,10 +30,31 @@ from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
 from auditlens.plans import shared_scan as SS
 from auditlens.sources.audit import resolve_as_of
-from auditlens.sources.sinks import snapshot
+from auditlens.sources.sinks import register_views, snapshot
 
 LOOKBACK_HOURS = 168
 UC_ALERT_HOURS = 720
+
+# The view names the report SQL reads, and the layer behind each.
+VIEW_NAMES = {
+    "sec_v_auth_events": "d1",
+    "sec_v_account_admin_assignments": "d2",
+    "sec_v_workspace_acl_assignments": "d3",
+    "sec_v_sensitive_group_additions": "d4",
+    "sec_v_workspace_db_sql_acl_changes": "d5",
+    "sec_v_uc_permission_escalations": "d6",
+    "sec_v_account_setting_changes": "d7",
+    "sec_mv_data_export_detection": "d8",
+    "sec_mv_ai_failed_login_analysis": "r_fl",
+    "sec_mv_ai_data_export_analysis": "r_de",
+    "sec_v_ai_account_admin_analysis": "r_aa",
+    "sec_v_ai_workspace_acl_analysis": "r_wa",
+    "sec_v_ai_sensitive_group_analysis": "r_sg",
+    "sec_v_ai_uc_permission_analysis": "r_uc",
+    "sec_v_ai_account_setting_analysis": "r_as",
+    "sec_mv_ai_privilege_escalation_consolidated": "c1",
+    "sec_mv_ai_security_posture_summary": "c3",
+}
 SNAPSHOT_FRAMES = ("r_fl", "r_de", "c1", "c3")
 
 
@@ -197,6 +218,10 @@ class SecurityPipeline:
     def l6(self) -> DataFrame:
         return L.evaluate_alerts(self.metrics(), self.definitions, self.as_of)
 
+    def register_views(self) -> list[str]:
+        """Every layer as a temporary view under the names report SQL uses."""
+        return register_views(self.spark, {view: getattr(self, name) for view, name in VIEW_NAMES.items()})
+
     # refresh: the job's materialised views
     def refresh(self, path: str | None = None, frames=SNAPSHOT_FRAMES) -> "SecurityPipeline":
         """Write the shared detection pass, then the report sources, as parquet snapshots.
