@@ -16,6 +16,7 @@ The unbounded detection views ``d1`` .. ``d8`` always read the audit log.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
@@ -240,9 +241,16 @@ class SecurityPipeline:
         self.__dict__["candidates"] = snapshot(
             self.candidates, "detections", None if base is None else f"{base}/detections",
             partition_by=["rule"])
-        for name in frames:
-            frame = getattr(self, name)
-            self.__dict__[name] = snapshot(frame, name, None if base is None else f"{base}/{name}")
+        # frames are built here (lazily, one thread); the independent writes run as concurrent jobs
+        layers = [[n for n in frames if n != "c3"], [n for n in frames if n == "c3"]]
+        for layer in layers:
+            built = {name: getattr(self, name) for name in layer}
+            with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
+                done = {name: pool.submit(snapshot, frame, name,
+                                          None if base is None else f"{base}/{name}")
+                        for name, frame in built.items()}
+            for name, future in done.items():
+                self.__dict__[name] = future.result()
         return self
 
     # lineage cuts

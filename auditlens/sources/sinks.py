@@ -32,7 +32,10 @@ def snapshot(df: DataFrame, name: str, path: str | None = None, fmt: str = "parq
     """
     spark = df.sparkSession
     target = path or f"{snapshot_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    writer = df.write.mode("overwrite").format(fmt)
+    # rebalance: AQE sizes the output partitions (no flood of small files from a wide
+    # scan, skewed partitions split), clustered by the partition columns if any
+    balanced = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    writer = balanced.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
