@@ -26,3 +26,25 @@ def load_rules(rules_file: str | Path | None = None) -> dict:
         if key not in rules:
             raise ValueError(f"rule catalogue lacks '{key}'")
     return rules
+
+
+# Detection rule metadata (rule id, title, version, MITRE tactic, technique, detections).
+DETECTION_RULES = [
+    ("AUTH-001", "Failed login detection", "2.0.0", None, None, ["D1"]),
+    ("AUTH-002", "Privilege escalation detection", "2.0.0", "TA0004 (Privilege Escalation)",
+     "T1548 (Abuse Elevation Control Mechanism)", ["D2", "D3", "D4", "D5", "D6", "D7"]),
+    ("DATA-001", "Large data export detection", "2.0.0", "TA0010 (Exfiltration)",
+     "T1041 (Exfiltration Over C2 Channel)", ["D8"]),
+]
+
+
+def detection_rules(spark):
+    """Rule metadata as a DataFrame, one row per (rule, detection); join on ``detection``."""
+    from pyspark.sql import functions as F
+
+    rules = spark.createDataFrame(
+        DETECTION_RULES,
+        "rule_id string, title string, version string, tactic string, technique string, "
+        "detections array<string>")
+    return rules.select("rule_id", "title", "version", "tactic", "technique",
+                        F.explode("detections").alias("detection"))

@@ -40,3 +40,11 @@ def test_rule_catalogue():
                      "uc_permission_escalation", "data_export_ai_alert"]
     assert rules["time_intervals"] == {"short": 24, "medium": 168, "long": 720, "default": 168}
     assert [a["threshold_value"] for a in rules["alerts"]] == [0, 5, 10, 5, 10]
+
+
+def test_detection_rule_metadata(spark):
+    from auditlens.sources.rules import detection_rules
+    rows = {r.detection: r for r in detection_rules(spark).collect()}
+    assert sorted(rows) == ["D1", "D2", "D3", "D4", "D5", "D6", "D7", "D8"]
+    assert rows["D6"].rule_id == "AUTH-002" and rows["D6"].tactic.startswith("TA0004")
+    assert rows["D8"].technique.startswith("T1041") and rows["D1"].tactic is None

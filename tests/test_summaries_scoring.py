@@ -144,3 +144,17 @@ def test_prompt_is_null_when_a_field_is_null(make_audit):
     out = {r.artifact: r.prompt for r in R.with_prompt(a9, R.DATA_EXPORT).collect()}
     assert out[None] is None
     assert out["/f"].startswith("Assess this data export activity. Actor=a@x, Source=filesystem")
+
+
+def test_property_group_counts_sum_to_window_rows(spark):
+    import datetime as dt
+    from auditlens.operators import alerts as L
+    audit = audit_fixture(spark, SF_SMALL)
+    as_of = resolve_as_of(audit)
+    bound = F.lit((as_of - dt.timedelta(hours=168)).isoformat(sep=" ")).cast("timestamp_ntz")
+    d2 = D.account_admin_assignments(audit)
+    a4 = A.account_admin_activity(d2, as_of)
+    assert a4.agg(F.sum("admin_assignments_count")).first()[0] == d2.filter(F.col("event_time") >= bound).count()
+    d8 = D.data_export_detection(audit, as_of)
+    assert L.data_export_alert(d8, as_of).first().value == d8.count()
+    assert A.export_activity(d8).agg(F.sum("export_count")).first()[0] == d8.count()
