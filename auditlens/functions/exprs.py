@@ -73,7 +73,9 @@ def since(df: DataFrame, as_of, hours: float | None, column: str = "event_time")
     cond = F.col(column) >= ts_literal(lower, time_type(df, column))
     if column == "event_time" and PARTITION_DATE in df.columns:
         first_day = (lower - dt.timedelta(days=1)).date().isoformat()
-        cond = cond & (F.col(PARTITION_DATE) >= F.lit(first_day).cast("date"))
+        day = F.col(PARTITION_DATE)
+        # NULL-tolerant, so a frame without dates loses no rows; still prunes partitions
+        cond = cond & ((day >= F.lit(first_day).cast("date")) | day.isNull())
     return df.filter(cond)
 
 

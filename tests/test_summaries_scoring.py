@@ -158,3 +158,9 @@ def test_property_group_counts_sum_to_window_rows(spark):
     d8 = D.data_export_detection(audit, as_of)
     assert L.data_export_alert(d8, as_of).first().value == d8.count()
     assert A.export_activity(d8).agg(F.sum("export_count")).first()[0] == d8.count()
+
+
+def test_lookback_keeps_rows_without_a_date(make_audit):
+    from auditlens.functions.exprs import since
+    d1 = D.auth_events(make_audit([audit_row(status=401, email="a@x", ip="1.1.1.1")]))
+    assert since(d1.withColumn("event_date", F.lit(None).cast("date")), AS_OF, 24).count() == 1
