@@ -170,8 +170,9 @@ def q12_cross_correlation(r_fl: DataFrame, c1: DataFrame, as_of, hours=168) -> D
 
     The source cross-joins the two sets and counts distinct values; that
     equals the two distinct counts when both sets are non-empty and 0/0
-    otherwise. Two one-row aggregates are joined instead, so no
-    |ips| x |actors| product is built.
+    otherwise. Here each side is reduced to one row (its row count and
+    distinct count), the two rows are stacked and folded by one global
+    aggregate: no join, no |ips| x |actors| product.
     """
     ips = since(r_fl.filter(F.col("entity_type") == "source_ip"), as_of, hours, "first_attempt") \
         .groupBy("entity_id").agg(F.max("failed_attempts").alias("_attempts")) \
@@ -179,8 +180,10 @@ def q12_cross_correlation(r_fl: DataFrame, c1: DataFrame, as_of, hours=168) -> D
         .agg(F.count(F.lit(1)).alias("_ip_rows"), F.count_distinct("entity_id").alias("_ips"))
     actors = since(c1.filter(_high()), as_of, hours, "actor_last_activity") \
         .agg(F.count(F.lit(1)).alias("_actor_rows"), F.count_distinct("actor").alias("_actors"))
+    sides = ips.unionByName(actors, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("_ip_rows", "_ips", "_actor_rows", "_actors")])
     both = (F.col("_ip_rows") > 0) & (F.col("_actor_rows") > 0)
-    return ips.crossJoin(actors).select(
+    return sides.select(
         F.lit(Q12_ANALYSIS_TYPE).alias("analysis_type"),
         F.when(both, F.col("_ips")).otherwise(F.lit(0)).cast("bigint").alias("suspicious_ips"),
         F.when(both, F.col("_actors")).otherwise(F.lit(0)).cast("bigint").alias("high_risk_actors"),
