@@ -45,3 +45,14 @@ def test_reports_after_refresh_do_not_scan_the_audit(pipelines, spark):
     _, _, refreshed = pipelines
     text = _explain(refreshed.q9())
     assert "auditlens-fixture" not in text
+
+
+def test_materialize_with_reliable_checkpoints_and_snapshots(spark):
+    audit = audit_table(spark, SF_SMALL)
+    tags = tags_fixture(spark)
+    plain = SecurityPipeline(audit, tags)
+    ck = SecurityPipeline(audit, tags, as_of=plain.as_of).materialize(names=("d2", "r_de"))
+    snap = SecurityPipeline(audit, tags, as_of=plain.as_of).materialize(names=("d2",), how="snapshot")
+    assert bag(ck.d2) == bag(plain.d2) == bag(snap.d2)
+    assert bag(ck.r_de) == bag(plain.r_de)
+    assert "auditlens-fixture" not in ck.d2._jdf.queryExecution().optimizedPlan().toString()
