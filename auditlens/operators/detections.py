@@ -207,12 +207,18 @@ def _export_predicate(branch: str) -> Column:
 
 
 def export_filter() -> Column:
-    """Row predicate of D8: any of the four export branches (without the look-back)."""
+    """Row predicate of D8: any of the four export branches (without the look-back).
+
+    Led by a superset test on plain columns (service and action lists) that
+    parquet can evaluate; the exact branch disjunction follows.
+    """
     names = list(EXPORT_BRANCHES)
     any_branch = _export_predicate(names[0])
     for name in names[1:]:
         any_branch = any_branch | _export_predicate(name)
-    return any_branch
+    services = [b[0] for b in EXPORT_BRANCHES.values()]
+    actions = [a for b in EXPORT_BRANCHES.values() for a in b[1]]
+    return F.col("service_name").isin(*services) & F.col("action_name").isin(*actions) & any_branch
 
 
 def _export_columns(source: Column, artifact: Column) -> list[Column]:

@@ -27,7 +27,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "auditlens", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "auditlens", driver_memory: str = "4g") -> SparkSession:
     """A local session for tests and benchmarks (never used on a cluster)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
