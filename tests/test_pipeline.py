@@ -35,7 +35,9 @@ def test_shared_and_refreshed_equal_separate_scans(pipelines, name):
 
 
 def test_shared_pass_is_one_audit_scan(pipelines):
+    from auditlens.plans.shared_scan import CANDIDATE_COLUMNS
     _, shared, _ = pipelines
+    assert shared.candidates.columns == list(CANDIDATE_COLUMNS)
     text = _explain(shared.candidates)
     assert _scans(text) == 1
     assert "GreaterThanOrEqual(event_time," in text
