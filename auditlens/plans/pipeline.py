@@ -12,6 +12,11 @@ result. ``refresh()`` writes it, and the frames the source job keeps as
 materialised views (R-FL, R-DE, C1, C3), as parquet snapshots in the
 session's shared checkpoint folder; reports then read those snapshots.
 The unbounded detection views ``d1`` .. ``d8`` always read the audit log.
+
+With ``detections=`` (a table a stream appends to with
+``streaming.detections.stream_candidates``) the windowed layers read that
+table instead: the periodic job does not scan the audit log at all, and
+each audit row is tagged once, when it arrives.
 """
 
 from __future__ import annotations
@@ -62,14 +67,16 @@ SNAPSHOT_FRAMES = ("r_fl", "r_de", "c1", "c3")
 class SecurityPipeline:
     def __init__(self, audit: DataFrame, tags: DataFrame, as_of=None,
                  scorer: S.Scorer = S.default_scorer, lookback_hours: float = LOOKBACK_HOURS,
-                 rules: dict | None = None, shared_scan: bool = True):
+                 rules: dict | None = None, shared_scan: bool = True,
+                 detections: DataFrame | None = None):
         self.audit = audit
         self.tags = tags
         self.as_of = resolve_as_of(audit, as_of)
         self.scorer = scorer
         self.h = lookback_hours
         self.rules = rules
-        self.shared = shared_scan
+        self.shared = shared_scan or detections is not None
+        self.detections = detections
 
     @property
     def spark(self):
@@ -104,6 +111,9 @@ class SecurityPipeline:
 
     @cached_property
     def candidates(self) -> DataFrame:
+        if self.detections is not None:
+            # a detections table kept by a stream (ST1): no audit scan at all
+            return SS.within_windows(self.detections, self.as_of, self.h, self.uc_hours)
         return SS.detection_candidates(self.audit, self.as_of, self.h, self.uc_hours)
 
     @cached_property

@@ -114,17 +114,17 @@ CANDIDATE_COLUMNS = (
 )
 
 
-def detection_candidates(audit: DataFrame, as_of, hours: float = 168, uc_hours: float | None = 720
-                         ) -> DataFrame:
+def detection_candidates(audit: DataFrame, as_of=None, hours: float | None = 168,
+                         uc_hours: float | None = 720) -> DataFrame:
     """Every audit row any windowed rule keeps, tagged with its rule, in one shape.
 
     One scan over the widest look-back; each rule matches its own action
     names, so a row belongs to at most one rule and a ``when`` chain tags
     it. D6 keeps its raw ``changes`` here: the tag lookup and the explode
     run later on the small D6 subset. ``uc_hours`` widens the window for D6
-    only (its alert looks back 30 days).
+    only (its alert looks back 30 days). ``hours=None`` keeps every row
+    (a stream appending to a detections table; see ``within_windows``).
     """
-    uc_hours = max(hours, uc_hours or hours)
     predicates = [
         (D1, D.auth_failure_filter()),
         (D2, D.account_admin_filter()),
@@ -138,18 +138,22 @@ def detection_candidates(audit: DataFrame, as_of, hours: float = 168, uc_hours:
     rule = None
     for name, pred in predicates:
         rule = F.when(pred, F.lit(name)) if rule is None else rule.when(pred, F.lit(name))
-    inner = _after(audit, as_of, hours)
-    # the widest bound prunes partitions; older than ``hours`` only D6 rows count, which a
-    # pushed (event_time OR service/action) filter lets row-group statistics skip
-    uc_rows = (F.col("service_name") == D.UC_SERVICE) & (F.col("action_name") == D.UC_ACTION)
     actions = set(D.LOGIN_ACTIONS) | set(D.ADMIN_ACTIONS) | {D.WORKSPACE_ACL_ACTION, D.UC_ACTION}
     actions |= set(D.GROUP_ADD_ACTIONS) | set(D.SETTING_ACTIONS)
     for _, acts, _, _, _ in D.EXPORT_BRANCHES.values():
         actions |= set(acts)
-    scanned = since(audit, as_of, uc_hours).filter(
-        (inner | uc_rows) & F.col("action_name").isin(*sorted(actions)))
-    tagged = scanned.select("*", rule.alias("rule"))
-    kept = tagged.filter(F.col("rule").isNotNull() & ((F.col("rule") == D6) | inner))
+    rule_actions = F.col("action_name").isin(*sorted(actions))
+    if hours is None:
+        kept = audit.filter(rule_actions).select("*", rule.alias("rule")).filter(F.col("rule").isNotNull())
+    else:
+        uc_hours = max(hours, uc_hours or hours)
+        inner = _after(audit, as_of, hours)
+        # the widest bound prunes partitions; older than ``hours`` only D6 rows count, which a
+        # pushed (event_time OR service/action) filter lets row-group statistics skip
+        uc_rows = (F.col("service_name") == D.UC_SERVICE) & (F.col("action_name") == D.UC_ACTION)
+        scanned = since(audit, as_of, uc_hours).filter((inner | uc_rows) & rule_actions)
+        tagged = scanned.select("*", rule.alias("rule"))
+        kept = tagged.filter(F.col("rule").isNotNull() & ((F.col("rule") == D6) | inner))
 
     def only(rules, value):
         return F.when(F.col("rule").isin(*rules), value)
@@ -186,6 +190,18 @@ def detection_candidates(audit: DataFrame, as_of, hours: float = 168, uc_hours:
     )
 
 
+def within_windows(candidates: DataFrame, as_of, hours: float = 168, uc_hours: float = 720) -> DataFrame:
+    """The rows of a full detections table that a run at ``as_of`` uses.
+
+    D6 rows within ``uc_hours``, all others within ``hours`` (the same rows
+    the windowed scan keeps); on a date-partitioned table the widest bound
+    prunes whole days.
+    """
+    uc_hours = max(hours, uc_hours)
+    widest = since(candidates, as_of, uc_hours)
+    return widest.filter((F.col("rule") == D6) | _after(candidates, as_of, hours))
+
+
 def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
                         broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> dict[str, DataFrame]:
     """Split the tagged rows back into the detection shapes (same columns as D1-D8)."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from auditlens.operators import detections as D
+from auditlens.plans import shared_scan
 from auditlens.sources.audit import AUDIT_SCHEMA
 
 
@@ -39,9 +40,20 @@ def stream_detections(audit_stream: DataFrame, tags: DataFrame) -> dict[str, Dat
     }
 
 
+def stream_candidates(audit_stream: DataFrame) -> DataFrame:
+    """Every audit row of the stream that a windowed rule keeps, tagged with its rule.
+
+    Appended (partitioned by rule and date) to a detections table, it feeds
+    ``SecurityPipeline(detections=...)``: the periodic job then reads this
+    small table instead of rescanning the audit log.
+    """
+    return shared_scan.detection_candidates(audit_stream, hours=None)
+
+
 def start_append(df: DataFrame, checkpoint: str, sink: Callable | str = "parquet",
                  path: str | None = None, trigger: dict | None = None,
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, partition_by: list[str] | None = None
+                 ) -> StreamingQuery:
     """Start an append-mode query with a checkpoint (exactly-once file sinks).
 
     ``sink`` is a format name, or a ``foreachBatch`` function.
@@ -51,6 +63,8 @@ def start_append(df: DataFrame, checkpoint: str, sink: Callable | str = "parquet
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if callable(sink):
         writer = writer.foreachBatch(sink)
     else:

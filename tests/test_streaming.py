@@ -75,3 +75,23 @@ def test_st2_windows_equal_batch_and_late_rows_are_dropped(spark, event_files, t
     got = _run(spark, st, "st2_ip", tmp_path / "ck")
     assert got.count() > 0
     assert bag(got) == bag(closed)          # the duplicate of an old row did not change any window
+
+
+def test_stream_kept_detections_table_feeds_the_job(spark, event_files, tmp_path):
+    from auditlens.plans.pipeline import SecurityPipeline
+    from auditlens.streaming.detections import start_append, stream_candidates
+
+    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 5).parquet(str(event_files))
+    table = str(tmp_path / "detections")
+    q = start_append(stream_candidates(audit_from_events(stream)), str(tmp_path / "ck_det"), "parquet",
+                     path=table, trigger={"availableNow": True}, partition_by=["rule", "event_date"])
+    q.awaitTermination(600)
+
+    audit = audit_from_events(spark.read.parquet(f"{SF_MID}/events.parquet"))
+    tags = tags_fixture(spark)
+    batch = SecurityPipeline(audit, tags)
+    fed = SecurityPipeline(audit, tags, as_of=batch.as_of, detections=spark.read.parquet(table))
+    for name in ("a3", "a7", "a9", "c1", "c2"):
+        assert bag(getattr(fed, name)) == bag(getattr(batch, name)), name
+    assert bag(fed.l6()) == bag(batch.l6())
+    assert bag(fed.q9()) == bag(batch.q9())
