@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only where none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is set (local tests) a temporary folder is
-    created.
+    as is; without it a cluster run stops with an error rather than write to
+    a machine-local folder. Only a local-mode session with nothing set
+    (tests) gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors "
+                             "(snapshots and checkpoints must survive executor loss)")
         configured = tempfile.mkdtemp(prefix="auditlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
