@@ -68,7 +68,7 @@ def _q(fn: Callable[[SecurityPipeline], DataFrame]) -> Callable[[SparkSession, s
 
 
 def _st2(p: SecurityPipeline) -> DataFrame:
-    return login_threshold(p.d1, "source_ip").unionByName(login_threshold(p.d1, "user"))
+    return login_threshold(p.d1, ("source_ip", "user"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

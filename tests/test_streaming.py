@@ -95,3 +95,10 @@ def test_stream_kept_detections_table_feeds_the_job(spark, event_files, tmp_path
         assert bag(getattr(fed, name)) == bag(getattr(batch, name)), name
     assert bag(fed.l6()) == bag(batch.l6())
     assert bag(fed.q9()) == bag(batch.q9())
+
+
+def test_st2_both_entities_in_one_pass_equals_separate(spark):
+    d1 = D.auth_events(audit_from_events(spark.read.parquet(f"{SF_MID}/events.parquet")))
+    both = login_threshold(d1, ("source_ip", "user"))
+    separate = login_threshold(d1, "source_ip").unionByName(login_threshold(d1, "user"))
+    assert bag(both) == bag(separate)
