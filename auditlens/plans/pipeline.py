@@ -212,18 +212,27 @@ class SecurityPipeline:
         """
         if not self.shared:
             return L.rule_metrics(self.audit, self.tags, self.r_de, self.definitions_rows, self.as_of)
-        sources = {SS.AUTH_EVENTS: "d1", SS.ADMIN_ASSIGNMENTS: "d2", SS.DATA_EXPORTS: "d8",
-                   SS.UC_ESCALATIONS: "d6"}
-        parts = []
+        plain = {SS.AUTH_EVENTS: SS.D1, SS.ADMIN_ASSIGNMENTS: SS.D2, SS.DATA_EXPORTS: SS.D8}
+        parts, conditional, names = [], [], []
         for row in self.definitions_rows:
             metric, hours = row[3], row[5]
-            if metric in sources:
-                frame = L.count_metric(self.w(sources[metric]), self.as_of, hours)
+            if metric in plain:
+                # one rule of the tagged rows, within the metric's window
+                hit = (F.col("rule") == plain[metric]) & SS._after(self.candidates, self.as_of, hours)
+                conditional.append(F.count_if(hit).cast("bigint").alias(metric))
+                names.append(metric)
+            elif metric == SS.UC_ESCALATIONS:
+                frame = L.count_metric(self.w("d6"), self.as_of, hours)
+                parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
             elif metric == L.HIGH_RISK_EXPORTS:
                 frame = L.data_export_ai_alert(self.r_de)
+                parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
             else:
                 raise ValueError(f"unknown alert metric '{metric}'")
-            parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
+        if conditional:
+            rules = sorted(set(plain[m] for m in names))
+            counts = self.candidates.filter(F.col("rule").isin(*rules)).agg(*conditional)
+            parts.append(counts.unpivot([], names, "metric", "value"))
         return reduce(DataFrame.unionByName, parts)
 
     def l6(self) -> DataFrame:
