@@ -1,10 +1,13 @@
 """The detection job: refresh, then write every report and the alert states.
 
     spark-submit -m auditlens.plans.job --audit <path|table> --tags <path|table> --out <folder>
+        [--as-of TS] [--detections <path|table>]
 
 One audit pass (plus the ``as_of`` aggregate when no ``--as-of`` is given),
-then small jobs over the snapshots. Outputs are parquet tables under
-``--out`` (a shared folder), overwritten per run.
+then small jobs over the snapshots. With ``--detections`` (the table the
+streaming job keeps) the audit log is not scanned for the windowed layers.
+Outputs are parquet tables under ``--out`` (a shared folder), overwritten
+per run.
 """
 
 from __future__ import annotations
@@ -21,13 +24,15 @@ REPORTS = tuple(f"q{i}" for i in range(1, 19))
 
 
 def run_job(spark: SparkSession, audit_source, tags_source, out: str, as_of=None,
-            fmt: str = "parquet") -> dict[str, str]:
+            fmt: str = "parquet", detections_source=None) -> dict[str, str]:
     """Run the whole job; returns output name -> path."""
     configure(spark)
     audit = open_source(audit_source, spark, fmt)
     tags = open_source(tags_source, spark, fmt)
+    detections = None if detections_source is None else open_source(detections_source, spark, fmt)
     base = out.rstrip("/")
-    job = SecurityPipeline(audit, tags, as_of=as_of).refresh(path=f"{base}/snapshots")
+    job = SecurityPipeline(audit, tags, as_of=as_of, detections=detections).refresh(
+        path=f"{base}/snapshots")
     written = {}
     for name in REPORTS + ("l6",):
         path = f"{base}/{name}"
@@ -42,9 +47,11 @@ def main(argv=None) -> None:
     parser.add_argument("--tags", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", default=None)
+    parser.add_argument("--detections", default=None)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("auditlens-job").getOrCreate()
-    for name, path in run_job(spark, args.audit, args.tags, args.out, args.as_of).items():
+    for name, path in run_job(spark, args.audit, args.tags, args.out, args.as_of,
+                              detections_source=args.detections).items():
         print(f"{name}\t{path}")
 
 

@@ -3,6 +3,11 @@
 D1-D8 are stateless filter/project operators, so the batch functions take
 a streaming DataFrame unchanged (D8 without its look-back, which belongs
 to the batch refresh). D6 joins the stream with a static tag table.
+
+As a job (keeps the detections table the periodic job reads)::
+
+    spark-submit -m auditlens.streaming.detections --audit <folder> --schema-from <table>
+        --out <detections table> --checkpoint <shared folder> [--available-now]
 """
 
 from __future__ import annotations
@@ -72,3 +77,30 @@ def start_append(df: DataFrame, checkpoint: str, sink: Callable | str = "parquet
         if path:
             writer = writer.option("path", path)
     return writer.start()
+
+
+def main(argv=None) -> None:
+    import argparse
+
+    parser = argparse.ArgumentParser(description="keep the detections table from an audit stream")
+    parser.add_argument("--audit", required=True, help="folder the audit files arrive in")
+    parser.add_argument("--schema-from", default=None, help="a table or path with the audit schema")
+    parser.add_argument("--format", default="parquet")
+    parser.add_argument("--out", required=True)
+    parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--available-now", action="store_true")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("auditlens-detections-stream").getOrCreate()
+    schema = AUDIT_SCHEMA
+    if args.schema_from:
+        from auditlens.sources.audit import audit as open_source
+        schema = open_source(args.schema_from, spark, args.format).schema
+    stream = read_audit_stream(spark, args.audit, schema, args.format)
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": "1 minute"}
+    query = start_append(stream_candidates(stream), args.checkpoint, args.format, path=args.out,
+                         trigger=trigger, partition_by=["rule", "event_date"])
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

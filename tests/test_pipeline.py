@@ -57,4 +57,4 @@ def test_materialize_with_reliable_checkpoints_and_snapshots(spark):
     snap = SecurityPipeline(audit, tags, as_of=plain.as_of).materialize(names=("d2",), how="snapshot")
     assert bag(ck.d2) == bag(plain.d2) == bag(snap.d2)
     assert bag(ck.r_de) == bag(plain.r_de)
-    assert "auditlens-fixture" not in ck.d2._jdf.queryExecution().optimizedPlan().toString()
+    assert "auditlens-fixture" not in _explain(ck.d2)

@@ -7,10 +7,6 @@ from auditlens.sources.fixture import audit_table, tags_fixture
 from conftest import SF_SMALL
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
-
-
 def _scans(text):
     import re
     return len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M))

@@ -24,7 +24,8 @@ def test_views_and_snapshots(spark):
     assert spark.sql("SELECT count(*) AS n FROM sec_account_admin_assignments").first().n == d2.count()
     snap = snapshot(d2, "d2")
     assert bag(snap) == bag(d2)
-    assert "auditlens-fixture" not in snap._jdf.queryExecution().optimizedPlan().toString()
+    from test_plans import _explain
+    assert "auditlens-fixture" not in _explain(snap)
 
 
 def test_preview_filters_and_limits(spark):

@@ -102,3 +102,18 @@ def test_st2_both_entities_in_one_pass_equals_separate(spark):
     both = login_threshold(d1, ("source_ip", "user"))
     separate = login_threshold(d1, "source_ip").unionByName(login_threshold(d1, "user"))
     assert bag(both) == bag(separate)
+
+
+def test_streaming_job_cli_keeps_the_detections_table(spark, tmp_path):
+    from auditlens.plans import shared_scan as SS
+    from auditlens.sources.fixture import audit_table
+    from auditlens.streaming import detections as ST
+
+    audit = audit_table(spark, "/root/testdata/sf0.001")
+    source = audit.inputFiles()[0].split("/event_date=")[0].replace("file://", "")
+    out = str(tmp_path / "detections")
+    ST.main(["--audit", source, "--schema-from", source, "--out", out,
+             "--checkpoint", str(tmp_path / "ck"), "--available-now"])
+    kept = spark.read.parquet(out)
+    expected = SS.detection_candidates(audit, hours=None)
+    assert bag(kept.select(*expected.columns)) == bag(expected)
