@@ -34,6 +34,7 @@ from auditlens.operators import detections as D
 from auditlens.operators import posture as C
 from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
+from auditlens.functions.exprs import since
 from auditlens.plans import shared_scan as SS
 from auditlens.sources.audit import resolve_as_of
 from auditlens.sources.sinks import register_views, snapshot
@@ -213,10 +214,13 @@ class SecurityPipeline:
         if not self.shared:
             return L.rule_metrics(self.audit, self.tags, self.r_de, self.definitions_rows, self.as_of)
         plain = {SS.AUTH_EVENTS: SS.D1, SS.ADMIN_ASSIGNMENTS: SS.D2, SS.DATA_EXPORTS: SS.D8}
-        parts, conditional, names = [], [], []
+        parts, conditional, names, wide = [], [], [], {}
         for row in self.definitions_rows:
             metric, hours = row[3], row[5]
-            if metric in plain:
+            if metric in plain and metric != SS.DATA_EXPORTS and hours > self.h:
+                # the tagged rows cover ``self.h`` only (D8 is bounded by it anyway)
+                wide[metric] = hours
+            elif metric in plain:
                 # one rule of the tagged rows, within the metric's window
                 hit = (F.col("rule") == plain[metric]) & SS._after(self.candidates, self.as_of, hours)
                 conditional.append(F.count_if(hit).cast("bigint").alias(metric))
@@ -233,6 +237,14 @@ class SecurityPipeline:
             rules = sorted(set(plain[m] for m in names))
             counts = self.candidates.filter(F.col("rule").isin(*rules)).agg(*conditional)
             parts.append(counts.unpivot([], names, "metric", "value"))
+        if wide and self.detections is not None:
+            # the stream-kept table holds all history: count there, no audit scan
+            rows = since(self.detections, self.as_of, max(wide.values()))
+            aggs = [F.count_if((F.col("rule") == plain[m]) & SS._after(rows, self.as_of, h))
+                    .cast("bigint").alias(m) for m, h in wide.items()]
+            parts.append(rows.agg(*aggs).unpivot([], list(wide), "metric", "value"))
+        elif wide:
+            parts.append(SS.rule_metric_counts(self.audit, self.tags, self.as_of, wide))
         return reduce(DataFrame.unionByName, parts)
 
     def l6(self) -> DataFrame:

@@ -58,3 +58,22 @@ def test_materialize_with_reliable_checkpoints_and_snapshots(spark):
     assert bag(ck.d2) == bag(plain.d2) == bag(snap.d2)
     assert bag(ck.r_de) == bag(plain.r_de)
     assert "auditlens-fixture" not in _explain(ck.d2)
+
+
+def test_alert_windows_wider_than_the_lookback(spark):
+    import copy
+    from auditlens.sources.rules import load_rules
+    rules = copy.deepcopy(load_rules())
+    for alert in rules["alerts"]:
+        if alert["name"] in ("failed_login_alert", "account_admin_assignment"):
+            alert["time_interval"] = "long"                  # 720 h, wider than the 168 h look-back
+    audit = audit_table(spark, SF_SMALL)
+    tags = tags_fixture(spark)
+    separate = SecurityPipeline(audit, tags, rules=rules, shared_scan=False)
+    refreshed = SecurityPipeline(audit, tags, as_of=separate.as_of, rules=rules).refresh()
+    expected = bag(separate.l6())
+    assert bag(refreshed.l6()) == expected
+    from auditlens.plans.shared_scan import detection_candidates
+    table = detection_candidates(audit, hours=None)
+    fed = SecurityPipeline(audit, tags, as_of=separate.as_of, rules=rules, detections=table)
+    assert bag(fed.l6()) == expected
