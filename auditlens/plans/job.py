@@ -1,11 +1,13 @@
 """The detection job: refresh, then write every report and the alert states.
 
     spark-submit -m auditlens.plans.job --audit <path|table> --tags <path|table> --out <folder>
-        [--as-of TS] [--detections <path|table>]
+        [--as-of TS] [--detections <path|table>] [--scorer module:function]
 
 One audit pass (plus the ``as_of`` aggregate when no ``--as-of`` is given),
 then small jobs over the snapshots. With ``--detections`` (the table the
 streaming job keeps) the audit log is not scanned for the windowed layers.
+``--scorer`` names ``fn(prompts: pandas.Series, family: str) -> pandas.Series``
+(JSON answers), run in Arrow batches once per summary group.
 Outputs are parquet tables under ``--out`` (a shared folder), overwritten
 per run.
 """
@@ -13,9 +15,11 @@ per run.
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import SparkSession
 
+from auditlens.functions import scoring as S
 from auditlens.plans.pipeline import SecurityPipeline
 from auditlens.session import configure
 from auditlens.sources.audit import audit as open_source
@@ -23,15 +27,23 @@ from auditlens.sources.audit import audit as open_source
 REPORTS = tuple(f"q{i}" for i in range(1, 19))
 
 
+def load_scorer(spec: str | None):
+    """``module:function`` -> a pandas scorer (None: the default scorer)."""
+    if not spec:
+        return S.default_scorer
+    module, _, name = spec.partition(":")
+    return S.pandas_scorer(getattr(importlib.import_module(module), name))
+
+
 def run_job(spark: SparkSession, audit_source, tags_source, out: str, as_of=None,
-            fmt: str = "parquet", detections_source=None) -> dict[str, str]:
+            fmt: str = "parquet", detections_source=None, scorer=S.default_scorer) -> dict[str, str]:
     """Run the whole job; returns output name -> path."""
     configure(spark)
     audit = open_source(audit_source, spark, fmt)
     tags = open_source(tags_source, spark, fmt)
     detections = None if detections_source is None else open_source(detections_source, spark, fmt)
     base = out.rstrip("/")
-    job = SecurityPipeline(audit, tags, as_of=as_of, detections=detections).refresh(
+    job = SecurityPipeline(audit, tags, as_of=as_of, detections=detections, scorer=scorer).refresh(
         path=f"{base}/snapshots")
     written = {}
     for name in REPORTS + ("l6",):
@@ -48,10 +60,12 @@ def main(argv=None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--as-of", default=None)
     parser.add_argument("--detections", default=None)
+    parser.add_argument("--scorer", default=None, help="module:function of a pandas scorer")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("auditlens-job").getOrCreate()
     for name, path in run_job(spark, args.audit, args.tags, args.out, args.as_of,
-                              detections_source=args.detections).items():
+                              detections_source=args.detections,
+                              scorer=load_scorer(args.scorer)).items():
         print(f"{name}\t{path}")
 
 

@@ -35,3 +35,13 @@ def test_report_sql_runs_on_registered_views(spark):
     assert by_sql.agg({"n": "sum"}).first()[0] == by_api.agg({"count": "sum"}).first()[0]
     n = spark.sql("SELECT count(*) AS n FROM sec_v_auth_events").first().n
     assert n == p.d1.count()
+
+
+def test_job_with_a_pluggable_scorer(spark, tmp_path):
+    from auditlens.plans.job import load_scorer
+    audit = audit_table(spark, SF_SMALL)
+    out = run_job(spark, audit, tags_fixture(spark), str(tmp_path / "out"), scorer=load_scorer("fake_model:score"))
+    q3 = spark.read.parquet(out["q3"])
+    assert q3.count() > 0 and {r.risk_level for r in q3.collect()} == {"HIGH"}
+    q5 = spark.read.parquet(out["q5"]).first()
+    assert q5.overall_risk_level == "LOW"
