@@ -81,6 +81,27 @@ def _st2(p: SecurityPipeline) -> DataFrame:
     return login_threshold(p.d1, ("source_ip", "user"))
 
 
+def _added() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators and their pipeline, where those modules are there."""
+    found: tuple[dict, dict] = ({}, {})
+    try:
+        from auditlens.llm import queries as operators
+        found[0].update(operators.QUERIES)
+        found[1].update(operators.ORACLE_SQL)
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith("auditlens.llm"):
+            raise
+    try:
+        import corpus_pipeline
+        found[0]["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            found[1]["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith(("corpus_pipeline", "auditlens.llm")):
+            raise
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     sets = ("related_entities", "user_agents")
     return {
@@ -142,9 +163,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "l5_data_export_ai_alert": _q(lambda p: p.l5()),
         "l6_alert_evaluation": _q(lambda p: p.l6()),
         "st2_login_threshold_batch": _q(_st2),
+        **_added()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.duckdb_sql import oracle_sql as _oracle
-    return _oracle()
+    return _oracle() | _added()[1]

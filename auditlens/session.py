@@ -7,7 +7,10 @@ skewed join partitions at run time.
 
 from __future__ import annotations
 
+import importlib
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +70,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="auditlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SHIPPED: set[tuple[str, str]] = set()
+
+
+def ship_module(spark: SparkSession, module: str = "auditlens") -> None:
+    """Send a module, or the whole package it lies in, to the session's Python workers (once per application).
+
+    Functions of an importable module are pickled by name, so executors must
+    be able to import it; nothing needs to be installed on them beforehand.
+    Extension modules and namespace packages are left to the cluster.
+    """
+    sc = spark.sparkContext
+    top = module.partition(".")[0]
+    if (sc.applicationId, top) in _SHIPPED:
+        return
+    source = getattr(importlib.import_module(top), "__file__", None)
+    if source is None or not source.endswith(".py"):
+        return
+    path = Path(source)
+    if path.name == "__init__.py":
+        archive = Path(tempfile.mkdtemp(prefix="auditlens-ship-")) / f"{top}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(path.parent.rglob("*")):
+                if p.is_file() and p.suffix != ".pyc":
+                    z.write(p, Path(top) / p.relative_to(path.parent))
+        path = archive
+    sc.addPyFile(str(path))
+    _SHIPPED.add((sc.applicationId, top))
