@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import packing, token_files
+from auditlens.llm import decontaminate, near_dup, packing, quality, token_files
+from auditlens.llm.shared import crc_of_id
 
 
 def byte_bpe() -> str:
@@ -23,13 +24,33 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("n_tiles", F.size("tiles")).drop("tiles")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id("doc_id") % 4 == 2
+    weights = quality.fit(docs, labels.where(~held_out))
+    return quality.score(docs.select("doc_id", "text"), weights).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write_token_files(table(spark, sf_dir, "documents"), byte_bpe())
     return token_files.read_token_files(spark, folder, with_ids=False)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
+    "op6_near_duplicates": op6_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from auditlens.session import ensure_checkpoint_dir, ship_module
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

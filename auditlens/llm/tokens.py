@@ -74,7 +74,7 @@ class Table:
 class Encoder:
     """Ids of whole texts; remembers half of ``2**bits`` parts at most."""
 
-    def __init__(self, path: str, bits: int = 22):
+    def __init__(self, path: str, bits: int = 21):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
