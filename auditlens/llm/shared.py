@@ -24,7 +24,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written as Parquet at ``path`` and read again: cuts the lineage, survives lost executors."""
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path)
 
 
