@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import decontaminate, near_dup, packing, quality, token_files
+from auditlens.llm import decontaminate, near_dup, packing, ppm, quality, substring_dedup, token_files
 from auditlens.llm.shared import crc_of_id
 
 
@@ -46,11 +46,25 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_of_id("doc_id") % 7 == 2
+    return ppm.score(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_lm_scores": op9_lm_scores,
 }
 ORACLE_SQL: dict[str, str] = {}
