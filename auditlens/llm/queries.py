@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import decontaminate, near_dup, packing, ppm, quality, substring_dedup, token_files
+from auditlens.llm import decontaminate, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
 from auditlens.llm.shared import crc_of_id
 
 
@@ -58,13 +58,36 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+#: The rules that op7_url_rules applies (fixed values).
+RULES = (
+    url_rules.Rule("allow", "org", "/"),
+    url_rules.Rule("block", "example.org", "/es/"),
+    url_rules.Rule("block", "example.org", "/en/1"),
+    url_rules.Rule("allow", "com", "/fr/"),
+    url_rules.Rule("block", "com", "/de/"),
+)
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(spark, warc.archive(table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_url_rules": op7_url_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scores": op9_lm_scores,
+    "op10_warc": op10_warc,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op7_url_rules": url_rules.oracle(RULES),
+    "op10_warc": warc.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
