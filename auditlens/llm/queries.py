@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import decontaminate, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
+from auditlens.llm import decontaminate, fingerprints, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
 from auditlens.llm.shared import crc_of_id
 
 
@@ -42,6 +42,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, with_ids=False)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_token_files": op4_token_files,
+    "op5_fingerprints": op5_fingerprints,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_url_rules": op7_url_rules,
     "op8_substring_dedup": op8_substring_dedup,
