@@ -100,7 +100,9 @@ class Index:
             row, at, item_of, place_of = np.repeat(owner[at[hit]], n), np.repeat(at[hit], n), item[which], place[which]
             order = np.lexsort((item_of, row))
             row, at, item_of, place_of = row[order], at[order], item_of[order], place_of[order]
-            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (item_of[1:] != item_of[:-1])])) if len(row) else []
+            if not len(row):
+                continue
+            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (item_of[1:] != item_of[:-1])]))
             for x, y in zip(new, [*new[1:], len(row)], strict=True):
                 r, i = int(row[x]), int(item_of[x])
                 goal = self.items[i]
