@@ -13,10 +13,13 @@ others are confirmed on their full shingle sets.
 Texts with equal sets are one class from the start, so copies cost nothing.
 Within a band's bucket each class is first held against one class only (the
 smallest id of the bucket), never all against all; connected components of
-the confirmed links follow. Only classes that met and still lie in different
-components are then held against each other, so no link between components
-is lost. With the defaults a pair at the threshold meets in no band with a
-probability of (1 - 0.75**5)**48, about 2 in a million.
+the confirmed links follow. Then the buckets whose classes still lie in
+different components are gone through in blocks of bounded size: within a
+block the registers of classes of different components are compared as
+arrays, and only those whose estimate comes near the threshold are confirmed
+on their sets. So no link between components is lost, and no pairs but the
+links come out. With the defaults a pair at the threshold meets in no band
+with a probability of (1 - 0.75**5)**48, about 2 in a million.
 
 All intermediate tables go to shared storage; nothing but counts and check
 sums goes to the driver.
@@ -40,8 +43,9 @@ THRESHOLD = 75  # per cent
 BANDS, ROWS = 48, 5
 MANTISSA = 10
 _VALUE_BITS = 40
-#: Below this estimate a pair is not confirmed: seven standard errors under the threshold.
-ESTIMATE = 0.55
+#: Below this estimate a pair is not confirmed: more than four standard errors under the threshold.
+ESTIMATE = 0.6
+BLOCK = 1024  # classes of a bucket that are compared at once
 
 
 class Sketcher:
@@ -117,27 +121,38 @@ def set_id(hashes: np.ndarray) -> int | None:
 
 
 def members(classes: DataFrame, folder: str, bands: int, rows: int) -> DataFrame:
-    """key, set_id, hub: the classes of every bucket that holds at least two; hub is the bucket's smallest."""
+    """key, band, set_id, hub: the classes of every bucket that holds at least two; hub is the bucket's smallest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            parts = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(n, bands, rows).astype(np.uint64)
+            parts = registers_of(batch.column(1)).reshape(n, bands, rows).astype(np.uint64)
             key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (n, bands)).copy()
             for i in range(rows):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, i] + np.uint64(1))
-            ids = batch.column(0).to_numpy()
+            ids, band = batch.column(0).to_numpy(), np.arange(bands, dtype=np.int32)
             step = max(1, 200_000 // bands)
             for a in range(0, n, step):
-                yield pa.RecordBatch.from_arrays([pa.array(key[a:a + step].reshape(-1).view(np.int64)),
-                                                  pa.array(np.repeat(ids[a:a + step], bands))], names=["key", "set_id"])
+                some = ids[a:a + step]
+                yield pa.RecordBatch.from_arrays([pa.array(key[a:a + step].reshape(-1).view(np.int64)), pa.array(np.tile(band, len(some))),
+                                                  pa.array(np.repeat(some, bands))], names=["key", "band", "set_id"])
 
-    rows_ = classes.select("set_id", "registers").mapInArrow(run, "key long, set_id long")
+    rows_ = classes.select("set_id", "registers").mapInArrow(run, "key long, band int, set_id long")
     shared = rows_.groupBy("key").agg(F.min("set_id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     return written(rows_.join(shared, "key"), f"{folder}/members")
 
 
+def registers_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
+
+
+def likeness(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Jaccard estimates of pairs of sets: the share of equal registers, corrected for those equal by accident."""
+    accident = by_accident(na, nb, ra.shape[-1])
+    return ((ra == rb).mean(axis=-1) - accident) / (1 - accident)
+
+
 def promising(pairs: DataFrame, classes: DataFrame, threshold: int, estimate: float) -> DataFrame:
     """Pairs (a, b) whose sizes allow the threshold and whose estimate comes near it."""
     side = classes.select("set_id", "n_shingles", "registers")
@@ -149,19 +164,16 @@ def promising(pairs: DataFrame, classes: DataFrame, threshold: int, estimate: fl
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ra, rb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (4, 5))
-            accident = by_accident(batch.column(2).to_numpy(), batch.column(3).to_numpy(), ra.shape[1])
-            likeness = ((ra == rb).mean(axis=1) - accident) / (1 - accident)
-            yield batch.select([0, 1]).filter(pa.array(likeness >= estimate))
+            near = likeness(registers_of(batch.column(4)), registers_of(batch.column(5)), batch.column(2).to_numpy(),
+                            batch.column(3).to_numpy())
+            yield batch.select([0, 1]).filter(pa.array(near >= estimate))
 
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, folder: str, k: int, threshold: int) -> DataFrame:
-    """Links (a, b) of the pairs whose full sets reach the threshold."""
-    pairs = written(pairs, f"{folder}/pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = classes.select("set_id", "row_key").join(ids, "set_id")
+def full_sets(ids: DataFrame, docs: DataFrame, classes: DataFrame, folder: str, k: int) -> DataFrame:
+    """set_id, hashes: the shingle sets of the classes in ``ids``, made anew from one text of each."""
+    wanted = classes.select("set_id", "row_key").join(ids.distinct(), "set_id")
     texts = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text")).join(wanted, "row_key")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,18 +185,28 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, folder: str
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array([s.tobytes() for s in own], pa.binary())],
                                              names=["set_id", "hashes"]).filter(pa.array(right))
 
-    full = written(texts.select("set_id", "text").mapInArrow(sets, "set_id long, hashes binary").dropDuplicates(["set_id"]),
+    return written(texts.select("set_id", "text").mapInArrow(sets, "set_id long, hashes binary").dropDuplicates(["set_id"]),
                    f"{folder}/sets")
 
+
+def linked(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= threshold * (len(both) - common)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, folder: str, k: int, threshold: int) -> DataFrame:
+    """Links (a, b) of the pairs whose full sets reach the threshold."""
+    pairs = written(pairs, f"{folder}/pairs")
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), docs, classes, folder, k)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            link = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                link[i] = 100 * common >= threshold * (len(both) - common)
-            yield batch.select([0, 1]).filter(pa.array(link))
+            link = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), threshold)
+                    for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(link, pa.bool_()))
 
     a = full.select(F.col("set_id").alias("a"), F.col("hashes").alias("ha"))
     b = full.select(F.col("set_id").alias("b"), F.col("hashes").alias("hb"))
@@ -192,29 +214,86 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, folder: str
     return written(joined.mapInArrow(compare, "a long, b long"), f"{folder}/links")
 
 
+def across(met: DataFrame, found: DataFrame, docs: DataFrame, classes: DataFrame, folder: str, k: int, rows: int,
+           threshold: int, estimate: float) -> DataFrame:
+    """Links (a, b) of the classes that met and lie in different components of ``found``, as their roots."""
+    apart = met.drop("hub").join(found.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn(
+        "root", F.coalesce("root", "set_id"))
+    mixed = apart.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where(
+        "lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+    # a block against each block of its bucket (itself too); buckets of one block stay as they are
+    mine = apart.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("set_id"), "parts").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    grouped = mine.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "band",
+                          F.when(F.col("mine") == F.col("other"), 0).otherwise(F.when(F.col("mine") < F.col("other"), 1).otherwise(2)).alias("side"),
+                          "set_id", "root").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
+
+    def near(table: pa.Table) -> pa.Table:
+        """The block's classes that come near another of a different component, with those of a larger id."""
+        table = table.sort_by("set_id").combine_chunks()
+        ids, root, side, size = (table.column(c).to_numpy() for c in ("set_id", "root", "side", "n_shingles"))
+        registers = registers_of(table.column("registers").combine_chunks())
+        band = table.column("band")[0].as_py()
+        partners: dict[int, list[int]] = {}
+        for i in range(len(ids)):
+            with_ = np.flatnonzero((root[i + 1:] != root[i]) & ((side[i + 1:] == 0) | (side[i + 1:] != side[i]))
+                                   & (ids[i + 1:] != ids[i])
+                                   & (100 * np.minimum(size[i + 1:], size[i]) >= threshold * np.maximum(size[i + 1:], size[i]))) + i + 1
+            if not len(with_):
+                continue
+            same = registers[with_] == registers[i]
+            close = same.mean(axis=1) >= estimate  # before the correction, which only lowers it
+            with_, same = with_[close], same[close]
+            if not len(with_):
+                continue
+            close = likeness(registers[with_], registers[i], size[with_], np.broadcast_to(size[i], len(with_))) >= estimate
+            # once only, in the first band that the two share
+            close &= same.reshape(len(with_), -1, rows).all(axis=2).argmax(axis=1) == band
+            for j in with_[close].tolist():
+                partners.setdefault(i, []).append(int(ids[j]))
+                partners.setdefault(j, [])
+        at = sorted(partners)
+        return pa.table({"group": pa.array([table.column("group")[0].as_py()] * len(at), pa.int64()),
+                         "set_id": pa.array(ids[at], pa.int64()), "root": pa.array(root[at], pa.int64()),
+                         "partners": pa.array([partners[i] for i in at], pa.list_(pa.int64()))})
+
+    candidates = written(grouped.groupBy("group").applyInArrow(
+        near, "group long, set_id long, root long, partners array<long>"), f"{folder}/candidates")
+    full = full_sets(candidates.select("set_id"), docs, classes, folder, k)
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, roots, partners = (table.column(c).to_pylist() for c in ("set_id", "root", "partners"))
+        sets = dict(zip(ids, (np.frombuffer(h.as_buffer(), np.uint64) for h in table.column("hashes")), strict=True))
+        root = dict(zip(ids, roots, strict=True))
+        links = {(root[a], root[b]) for a, own in zip(ids, partners, strict=True) for b in own if linked(sets[a], sets[b], threshold)}
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return written(candidates.join(full, "set_id").groupBy("group").applyInArrow(compare, "a long, b long"), f"{folder}/links")
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
     """node, root (the smallest node reachable) of every node that has a link.
 
     Large-star and small-star steps in turn, until nothing changes: a few
     rounds also for long chains. Each round is written to shared storage.
     """
-    def distinct(edges: DataFrame) -> DataFrame:
-        return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    def down(edges: DataFrame) -> DataFrame:
+        return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
 
     def state(edges: DataFrame) -> tuple:
         return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    edges = written(distinct(links.toDF("u", "v")), f"{folder}/edges-0")
+    edges = written(down(links.toDF("u", "v")).distinct(), f"{folder}/edges-0")
     before, n = state(edges), 0
     while before[0]:
         n += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = distinct(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = down(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             smallest.select("u", F.col("m").alias("v")))
-        edges = written(distinct(small), f"{folder}/edges-{n}")
+        edges = written(down(small).distinct(), f"{folder}/edges-{n}")
         after = state(edges)
         if after == before:
             break
@@ -240,21 +319,14 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD,
     first = met.where("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")).distinct()
     links = confirmed(promising(first, classes, threshold, estimate), docs, classes, f"{folder}/first", k, threshold)
     found = written(components(links, f"{folder}/first"), f"{folder}/first/components")
-    apart = met.join(found.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn(
-        "root", F.coalesce("root", "set_id"))
-    mixed = apart.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where(
-        "lo <> hi and n > 2").select("key")
-    apart = written(apart.join(mixed, "key").where("set_id <> hub").join(
-        classes.select("set_id", F.col("n_shingles").alias("n")), "set_id"), f"{folder}/apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    second = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.set_id") < F.col("y.set_id"))
-                    & (F.col("x.root") != F.col("y.root")) & (100 * F.col("x.n") >= threshold * F.col("y.n"))
-                    & (100 * F.col("y.n") >= threshold * F.col("x.n")))
-    second = second.select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
-    more = confirmed(promising(second, classes, threshold, estimate), docs, classes, f"{folder}/second", k, threshold)
-    linked = written(components(links.unionByName(more), f"{folder}/second"), f"{folder}/components")
+    more = across(met, found, docs, classes, f"{folder}/second", k, rows, threshold, estimate)
+    if more.limit(1).count():
+        joined = components(more, f"{folder}/second").select(F.col("node").alias("root"), F.col("root").alias("top"))
+        found = written(found.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(
+            "node", F.col("node").alias("root"))).distinct().join(joined, "root", "left").select(
+            "node", F.coalesce("top", "root").alias("root")), f"{folder}/components")
     of_class = sketches.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least")).join(
-        linked.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+        found.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     of_root = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of_class.join(of_root, "root").select("set_id", "root", "component_id")
     out = sketches.drop("registers").join(named, "set_id", "left")
