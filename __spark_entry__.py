@@ -9,7 +9,9 @@ be hashed against the oracle.
 
 from __future__ import annotations
 
+import os
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -22,10 +24,14 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from auditlens.functions.exprs import joined_set  # noqa: E402
 from auditlens.operators import assess as R  # noqa: E402
+from auditlens.operators import posture as C  # noqa: E402
+from auditlens.operators import summaries as A  # noqa: E402
 from auditlens.plans.pipeline import SecurityPipeline  # noqa: E402
 from auditlens.session import configure  # noqa: E402
 from auditlens.sources.audit import resolve_as_of  # noqa: E402
-from auditlens.sources.fixture import audit_table, tags_fixture  # noqa: E402
+from tools.audit_fixture import audit_table, tags_fixture  # noqa: E402
+from auditlens.sources.sinks import snapshot_root  # noqa: E402
+from auditlens.streaming.detections import read_audit_stream, start_append, stream_candidates  # noqa: E402
 from auditlens.streaming.thresholds import login_threshold  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -48,7 +54,7 @@ def pipeline(spark: SparkSession, sf_dir: str, refresh: bool = True) -> Security
     audit = audit_table(spark, sf_dir)
     if key not in _AS_OF:
         _AS_OF[key] = resolve_as_of(audit)
-    p = SecurityPipeline(audit, tags_fixture(spark), as_of=_AS_OF[key])
+    p = SecurityPipeline(audit, tags_fixture(spark, sf_dir), as_of=_AS_OF[key])
     if refresh:
         _REFRESHED[key] = p.refresh()
     return p
@@ -88,7 +94,7 @@ def _added() -> tuple[dict, dict]:
         from auditlens.llm import queries as operators
         found[0].update(operators.QUERIES)
         found[1].update(operators.ORACLE_SQL)
-    except ModuleNotFoundError as e:
+    except ImportError as e:
         if not (e.name or "").startswith("auditlens.llm"):
             raise
     try:
@@ -96,12 +102,69 @@ def _added() -> tuple[dict, dict]:
         found[0]["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             found[1]["pipeline"] = corpus_pipeline.ORACLE_SQL
-    except ModuleNotFoundError as e:
+    except ImportError as e:
         if not (e.name or "").startswith(("corpus_pipeline", "auditlens.llm")):
             raise
     return found
 
 
+#: A catalogue of the user's own: two windows on one metric, a metric over D7, one over A3.
+CUSTOM_RULES = {
+    "global": {},
+    "time_intervals": {"day": 24, "week": 168, "month": 720, "default": 168},
+    "alerts": {
+        "logins_day": {"metric": "auth_events_count", "time_interval": "day",
+                       "comparison_operator": "GREATER_THAN", "threshold_value": 1000000},
+        "logins_month": {"metric": "auth_events_count", "time_interval": "month",
+                         "comparison_operator": "GREATER_THAN", "threshold_value": 0},
+        "settings": {"metric": {"source": "d7", "aggregate": "count_distinct", "column": "key_name",
+                                "filter": [{"column": "action_name", "operator": "EQUAL", "value": "setSetting"}]},
+                     "time_interval": "week", "comparison_operator": "NOT_EQUAL", "threshold_value": 0},
+        "busiest_ip": {"metric": {"source": "a3", "aggregate": "max", "column": "failed_attempts",
+                                  "filter": [{"column": "entity_type", "operator": "IN", "value": ["source_ip"]}]},
+                       "time_interval": "week", "comparison_operator": "LESS_THAN_OR_EQUAL", "threshold_value": 5},
+    },
+}
+
+
+def _custom_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 over the whole log with a catalogue of the user's own."""
+    p = pipeline(spark, sf_dir, refresh=False)
+    return SecurityPipeline(p.audit, p.tags, as_of=p.as_of, rules=CUSTOM_RULES, shared_scan=False).l6()
+
+
+_STREAMED: dict[tuple, str] = {}
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: the detections table that the streaming job keeps, after it has read the whole audit table."""
+    key = (id(spark), str(Path(sf_dir).resolve()))
+    if key not in _STREAMED:
+        audit = audit_table(spark, sf_dir)
+        base = f"{snapshot_root(spark)}/stream-{uuid.uuid4().hex}"
+        files = os.path.commonpath([f.rpartition("/event_date=")[0] for f in audit.inputFiles()])
+        stream = read_audit_stream(spark, files.replace("file:/", "/"), audit.schema)
+        start_append(stream_candidates(stream), f"{base}/checkpoint", path=f"{base}/detections",
+                     trigger={"availableNow": True}, partition_by=["rule"]).awaitTermination()
+        _STREAMED[key] = f"{base}/detections"
+    return spark.read.parquet(_STREAMED[key])
+
+
+def _stream_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).where("rule IN ('D1', 'D2', 'D3', 'D4', 'D7')").groupBy("rule").agg(
+        F.count("*").alias("n"), F.min("event_time").alias("first_event"), F.max("event_time").alias("last_event"))
+
+
+def _alerts_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 of the periodic job over the stream-kept table: no audit scan."""
+    p = pipeline(spark, sf_dir, refresh=False)
+    return SecurityPipeline(p.audit, p.tags, as_of=p.as_of, detections=_streamed(spark, sf_dir)).l6()
+
+
+def _prompts(fn, family, key=("actor",)):
+    return _q(lambda p: R.with_prompt(fn(p), family).select(*key, "prompt"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     sets = ("related_entities", "user_agents")
     return {
@@ -126,9 +189,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "a7_uc_permission_activity": _q(lambda p: p.a7),
         "a8_account_setting_activity": _q(lambda p: p.a8),
         "a9_export_activity": _q(lambda p: p.a9),
-        "r_fl_failed_login_analysis": _q(lambda p: _text_sets(p.r_fl, *sets)),
-        "r1_failed_login_prompts": _q(lambda p: R.with_prompt(p.a3, R.FAILED_LOGIN).select(
-            "detection_type", "entity_id", "prompt")),
+        "a10_actor_unique_targets": _q(lambda p: A.actor_unique_targets(p.w("d2"), p.as_of)),
+        "a11_failed_login_relations": _q(lambda p: A.failed_login_relations(p.w("d1"), p.as_of)),
+        "r_fl_failed_login_analysis": _q(lambda p: _text_sets(p.r_fl_full, *sets)),
+        "r1_failed_login_prompts": _prompts(lambda p: p.a3_counts, R.FAILED_LOGIN, ("detection_type", "entity_id")),
+        "r1_data_export_prompts": _prompts(lambda p: p.a9, R.DATA_EXPORT),
+        "r1_account_admin_prompts": _prompts(lambda p: p.a4, R.ACCOUNT_ADMIN),
+        "r1_workspace_acl_prompts": _prompts(lambda p: p.a5, R.WORKSPACE_ACL),
+        "r1_sensitive_group_prompts": _prompts(lambda p: p.a6, R.SENSITIVE_GROUP),
+        "r1_uc_permission_prompts": _prompts(lambda p: p.a7, R.UC_PERMISSION),
+        "r1_account_setting_prompts": _prompts(lambda p: p.a8, R.ACCOUNT_SETTING),
+        "r1_posture_prompt": _q(lambda p: C.posture_prompt(p.c2)),
         "r_de_data_export_analysis": _q(lambda p: p.r_de),
         "r_aa_account_admin_analysis": _q(lambda p: p.r_aa),
         "r_wa_workspace_acl_analysis": _q(lambda p: p.r_wa),
@@ -162,6 +233,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "l4_uc_permission_alert": _q(lambda p: p.l4()),
         "l5_data_export_ai_alert": _q(lambda p: p.l5()),
         "l6_alert_evaluation": _q(lambda p: p.l6()),
+        "l6_custom_rules": _custom_rules,
+        "st1_stream_detections": _stream_detections,
+        "st1_alerts_from_stream": _alerts_from_stream,
         "st2_login_threshold_batch": _q(_st2),
         **_added()[0],
     }

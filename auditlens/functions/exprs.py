@@ -7,6 +7,7 @@ that it stays inside whole-stage codegen and can be pushed into scans.
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,42 +40,50 @@ def parse_as_of(value) -> dt.datetime:
 
 
 def ts_literal(value, like=None) -> Column:
-    """A constant timestamp column.
+    """A constant timestamp column of the type of the column it is compared with.
 
-    Built from text so the driver's local time zone never leaks in; cast to
-    the type of the column it is compared with (``timestamp_ntz`` or
-    ``timestamp``) so Catalyst folds it and pushes the comparison into the
-    parquet scan.
+    The moment is UTC wall time. For ``timestamp_ntz`` it is taken as such;
+    for ``timestamp`` (an instant) it is built from the epoch, so neither the
+    session's nor the driver's time zone changes which rows a look-back keeps.
+    Catalyst folds either form and pushes the comparison into the scan.
     """
     moment = parse_as_of(value)
-    target = "timestamp_ntz" if like is None or isinstance(like, TimestampNTZType) else "timestamp"
-    return F.lit(moment.isoformat(sep=" ")).cast(target)
+    if like is None or isinstance(like, TimestampNTZType):
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    micros = (moment.replace(tzinfo=dt.timezone.utc) - _EPOCH) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 def time_type(df: DataFrame, column: str = "event_time"):
     return df.schema[column].dataType
 
 
-PARTITION_DATE = "event_date"
+class DatePartition(NamedTuple):
+    """What a caller declares of the source's date column: rows are at most ``max_skew_days`` away from their time."""
+
+    column: str = "event_date"
+    max_skew_days: int = 1
 
 
-def since(df: DataFrame, as_of, hours: float | None, column: str = "event_time") -> DataFrame:
+def since(df: DataFrame, as_of, hours: float | None, column: str = "event_time",
+          contract: DatePartition | None = None) -> DataFrame:
     """Keep rows with ``column >= as_of - hours`` (no upper bound, as in a look-back).
 
     ``hours=None`` keeps everything (used for streams and unbounded views).
-    When the frame also carries ``event_date`` (the audit log's partition
-    column), a redundant ``event_date >= date(lower) - 1 day`` is added so
-    that the scan skips whole date partitions; the extra day keeps rows
-    whose date was cut in another time zone.
+    Only with a declared ``contract`` the date column is tested as well, so
+    that whole partitions are skipped: without it, a row whose date is
+    missing or lags its time counts like any other.
     """
     if hours is None:
         return df
     lower = parse_as_of(as_of) - dt.timedelta(hours=hours)
     cond = F.col(column) >= ts_literal(lower, time_type(df, column))
-    if column == "event_time" and PARTITION_DATE in df.columns:
-        first_day = (lower - dt.timedelta(days=1)).date().isoformat()
-        day = F.col(PARTITION_DATE)
-        # NULL-tolerant, so a frame without dates loses no rows; still prunes partitions
+    if contract is not None:
+        first_day = (lower - dt.timedelta(days=contract.max_skew_days)).date().isoformat()
+        day = F.col(contract.column)
         cond = cond & ((day >= F.lit(first_day).cast("date")) | day.isNull())
     return df.filter(cond)
 

@@ -6,15 +6,15 @@ by its count. A user scorer (for example a model client) is plugged in as
 an Arrow-batched pandas UDF over the prompt column. Either way the score is
 computed once per summary group, after aggregation.
 
-Contract kept from the source rules: the prompt is a plain concatenation,
-so any NULL field makes the prompt NULL, and a NULL prompt gets a NULL
-assessment.
+Contract kept from the source rules: any NULL field makes the prompt NULL,
+and a NULL prompt gets a NULL assessment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -80,7 +80,7 @@ class Family:
     bands: tuple[tuple[str, int], ...]      # (level, count strictly above), first match wins
     floor: str                              # level when no band matches
     extra_fields: tuple[str, ...]
-    prompt_parts: tuple = ()                # text pieces and column names, concatenated
+    prompt_fields: tuple = ()               # what the scorer is told: column names, or (label, from, to) for hours
     multiple_entities_col: str | None = None
     sensitive_target: bool = False
     span: tuple[str, str] = ("first_activity", "last_activity")
@@ -90,6 +90,11 @@ class Family:
     def top_level(self) -> str:
         return self.bands[0][0]
 
+    @property
+    def levels(self) -> tuple[str, ...]:
+        """The risk levels an answer may give, highest first."""
+        return tuple(name for name, _ in self.bands) + (self.floor,)
+
 
 def response_schema(fields) -> str:
     """R2: the structured response as a DDL schema (first field text, the rest text lists)."""
@@ -97,32 +102,43 @@ def response_schema(fields) -> str:
     return ", ".join([f"{first} STRING"] + [f"{name} ARRAY<STRING>" for name in rest])
 
 
-def family_schema(family: "Family") -> str:
+def response_fields(family: Family) -> tuple[str, ...]:
     if family.name == "security_posture_summary":
-        return response_schema(POSTURE_FIELDS)
-    return response_schema(("risk_level", "risk_factors", "immediate_actions") + tuple(family.extra_fields))
+        return POSTURE_FIELDS
+    return ("risk_level", "risk_factors", "immediate_actions", *family.extra_fields)
+
 
+def family_schema(family: Family) -> str:
+    return response_schema(response_fields(family))
 
-def parse_assessment(column: Column, family: "Family") -> Column:
+
+def parse_assessment(column: Column, family: Family) -> Column:
     """The assessment JSON as a struct of its response schema."""
     return F.from_json(column, family_schema(family))
 
 
-def _col_text(name: str) -> Column:
-    return F.col(name).cast("string")
+def instruction(family: Family) -> str:
+    """What the scorer is asked for, from the response schema."""
+    level, *lists = response_fields(family)
+    return (f"{family.name}: answer with one JSON object. {level} is one of {', '.join(family.levels)}; "
+            f"{', '.join(lists)} are lists of short texts. Data: ")
 
 
 def prompt(family: Family) -> Column:
-    """The prompt text; NULL as soon as one field is NULL (plain ``concat``)."""
-    pieces = []
-    for part in family.prompt_parts:
-        if isinstance(part, tuple) and part[0] == "col":
-            pieces.append(_col_text(part[1]))
-        elif isinstance(part, tuple) and part[0] == "hours":
-            pieces.append(hours_between(F.col(part[1]), F.col(part[2])).cast("string"))
+    """Instruction and data as JSON text; NULL as soon as one field is NULL."""
+    values = []
+    for part in family.prompt_fields:
+        if isinstance(part, tuple):
+            label, start, end = part
+            values.append(hours_between(F.col(start), F.col(end)).cast("string").alias(label))
         else:
-            pieces.append(F.lit(part))
-    return F.concat(*pieces)
+            values.append(F.col(part).cast("string").alias(part))
+    return prompt_of(family, values)
+
+
+def prompt_of(family: Family, values: list[Column]) -> Column:
+    known = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
+    return F.when(known, F.concat(F.lit(instruction(family)), F.to_json(F.struct(*values))))
 
 
 def risk_level(family: Family) -> Column:
@@ -196,7 +212,8 @@ def pandas_scorer(fn: Callable, conform: bool = True) -> Scorer:
                 out[mask] = list(fn(prompts[mask], name))
             return out
 
-        raw = _score(prompt_col)
+        # a model need not answer twice alike: never duplicated or pushed through a filter by the optimizer
+        raw = _score.asNondeterministic()(prompt_col)
         if not conform:
             return raw
         return F.when(raw.isNotNull(), F.to_json(parse_assessment(raw, family)))

@@ -1,24 +1,29 @@
 """Alerts as data.
 
-A rule is a metric over a detection, a window, an operator and a
-threshold. L1-L5 compute one-row metrics, L7 turns the catalogue into a
-definitions DataFrame, L6 evaluates metrics against definitions, L8 renders
-the alert document, L9 flattens an alert listing, L10 summarises rules.
+A rule is a metric over a layer, a window, an operator and a threshold.
+A metric is the id of a packaged one, or declared in the catalogue: source
+layer, aggregate, column, filters. L1-L5 compute one-row metrics, L7 turns
+the catalogue into a definitions DataFrame, L6 evaluates each rule's own
+metric over its own window, L8 renders the alert document, L9 flattens an
+alert listing, L10 summarises rules.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import warnings
+from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.functions.exprs import json_field, since, ts_literal
+from auditlens.functions.exprs import json_field, parse_as_of, since, ts_literal
 from auditlens.functions.scoring import ANALYSIS_COLUMN
-from auditlens.plans import shared_scan
 from auditlens.sources.rules import DEFAULT_CRON, load_rules
 
-HIGH_RISK_EXPORTS = "high_risk_export_sum"
 
 # Comparison operators and the alert document's source block.
 OPERATORS = {
@@ -39,17 +44,66 @@ DEFINITION_SCHEMA = (
     "notify_on_ok boolean, retrigger_seconds int, user_email string, warehouse_id string"
 )
 
+# The fields of the host's alert listing that the inventory reads.
 LISTING_SCHEMA = (
     "results ARRAY<STRUCT<id: STRING, display_name: STRING, owner_user_name: STRING, "
-    "run_as_user_name: STRING, create_time: STRING, update_time: STRING, parent_path: STRING, "
-    "query_text: STRING, warehouse_id: STRING, lifecycle_state: STRING, "
-    "evaluation: STRUCT<comparison_operator: STRING, empty_result_state: STRING, state: STRING, "
-    "source: STRUCT<name: STRING, display: STRING>, "
-    "threshold: STRUCT<value: STRUCT<double_value: DOUBLE>>>, "
-    "notification: STRUCT<notify_on_ok: BOOLEAN, retrigger_seconds: INT>, "
-    "schedule: STRUCT<quartz_cron_schedule: STRING, timezone_id: STRING, pause_status: STRING>>>"
+    "create_time: STRING, update_time: STRING, "
+    "schedule: STRUCT<quartz_cron_schedule: STRING, pause_status: STRING>, "
+    "evaluation: STRUCT<comparison_operator: STRING, "
+    "threshold: STRUCT<value: STRUCT<double_value: DOUBLE>>>>>"
 )
 
+AGGREGATES = {
+    "count": lambda hit, col: F.count_if(hit),
+    "count_distinct": lambda hit, col: F.count_distinct(F.when(hit, col)),
+    "sum": lambda hit, col: F.sum(F.when(hit, col)),
+    "avg": lambda hit, col: F.avg(F.when(hit, col)),
+    "min": lambda hit, col: F.min(F.when(hit, col)),
+    "max": lambda hit, col: F.max(F.when(hit, col)),
+}
+EVENT_LAYERS = ("d1", "d2", "d3", "d4", "d5", "d6", "d7", "d8")
+#: The layers a metric may read, and the time column its window bounds (none: the layer is bounded already).
+METRIC_SOURCES = {**dict.fromkeys(EVENT_LAYERS, "event_time"),
+                  **dict.fromkeys(("a1", "a2", "a3", "r_fl"), "last_attempt"),
+                  **dict.fromkeys(("a4", "a5", "a6", "a7", "a8", "a9", "r_de", "r_aa", "r_wa", "r_sg", "r_uc", "r_as"), "last_activity"),
+                  "c1": "actor_last_activity", "c2": None, "c3": None}
+
+
+class Filter(NamedTuple):
+    """``column operator value``; with ``json_field`` that field of the column's JSON text."""
+
+    column: str
+    operator: str
+    value: object
+    json_field: str | None = None
+
+    def test(self) -> Column:
+        col = F.col(self.column) if self.json_field is None else json_field(self.column, self.json_field)
+        if self.operator == "IN":
+            return col.isin(*self.value)
+        return OPERATORS[self.operator](col, F.lit(self.value))
+
+
+class Metric(NamedTuple):
+    """A layer, an aggregate over a column of it, filters, and the time column of the window (None: no window)."""
+
+    source: str
+    aggregate: str = "count"
+    column: str | None = None
+    filters: tuple[Filter, ...] = ()
+    time_column: str | None = "event_time"
+
+
+# The packaged metrics.
+METRICS = {
+    "auth_events_count": Metric("d1"),
+    "account_admin_assignments_count": Metric("d2"),
+    "data_export_count": Metric("d8"),
+    "uc_permission_escalations_count": Metric("d6"),
+    "high_risk_export_sum": Metric("r_de", "sum", "export_count", (
+        Filter(ANALYSIS_COLUMN, "IN", ("HIGH", "CRITICAL"), "risk_level"),), None),
+}
+
 
 # --- L1-L5: metrics --------------------------------------------------------------------------
 
@@ -86,26 +140,70 @@ def data_export_ai_alert(r_de: DataFrame) -> DataFrame:
 
 # --- L7 / L10: definitions --------------------------------------------------------------------
 
+def metric_of(value, name: str) -> Metric:
+    """The metric of a rule: a packaged id, or a declaration ``{source, aggregate, column, filter, time_column}``."""
+    if isinstance(value, str):
+        if value not in METRICS:
+            raise ValueError(f"alert '{name}': unknown alert metric '{value}'")
+        return METRICS[value]
+    unknown = set(value) - {"source", "aggregate", "column", "filter", "time_column"}
+    source, aggregate, column = value.get("source"), value.get("aggregate", "count"), value.get("column")
+    if unknown or source not in METRIC_SOURCES or aggregate not in AGGREGATES or (aggregate != "count" and not column):
+        raise ValueError(f"alert '{name}': no metric: {value}")
+    filters = []
+    for f in value.get("filter", ()):
+        many = f.get("operator") == "IN"
+        if f.get("operator") not in (*OPERATORS, "IN") or many != isinstance(f.get("value"), list) or not f.get("column"):
+            raise ValueError(f"alert '{name}': no filter: {f}")
+        filters.append(Filter(f["column"], f["operator"], tuple(f["value"]) if many else f["value"], f.get("json_field")))
+    return Metric(source, aggregate, column, tuple(filters), value.get("time_column", METRIC_SOURCES[source]))
+
+
+def catalogue_alerts(rules: dict) -> list[dict]:
+    """The rules of a catalogue, which holds them as a list or keyed by name; names are unique."""
+    alerts = rules["alerts"]
+    if isinstance(alerts, dict):
+        alerts = [{"name": name, **alert} for name, alert in alerts.items()]
+    out = [{**a, "name": a.get("name", a.get("display_name"))} for a in alerts]
+    names = [a["name"] for a in out]
+    if None in names or len(set(names)) < len(names):
+        raise ValueError("every alert needs a name of its own")
+    return out
+
+
+def rule_window(alert: dict, rules: dict) -> tuple[str, int, bool]:
+    """Name of the window, its hours, and whether the catalogue's default stands in for an unknown name."""
+    intervals = rules.get("time_intervals", {})
+    interval = alert.get("time_interval", "default")
+    hours = intervals.get(interval, intervals.get("default", DEFAULT_INTERVAL_HOURS))
+    return interval, int(hours), interval not in intervals
+
+
+def rule_metrics(rules: dict | None = None) -> list[tuple[str, int, Metric]]:
+    """Name, window in hours and metric of every rule (checked)."""
+    rules = rules or load_rules()
+    return [(a["name"], rule_window(a, rules)[1], metric_of(a["metric"], a["name"])) for a in catalogue_alerts(rules)]
+
+
 def definition_rows(rules: dict | None = None) -> list[tuple]:
     """Resolve each rule's window and merge the global settings (driver-side, catalogue-sized)."""
     rules = rules or load_rules()
     glob = rules["global"]
-    intervals = rules.get("time_intervals", {})
     allowed = set(rules.get("comparison_operators", OPERATORS))
     rows = []
-    for alert in rules["alerts"]:
-        name = alert.get("name", alert["display_name"])
-        interval = alert.get("time_interval", "default")
-        fallback = interval not in intervals
-        hours = intervals.get(interval, intervals.get("default", DEFAULT_INTERVAL_HOURS))
+    for alert in catalogue_alerts(rules):
+        name = alert["name"]
+        interval, hours, fallback = rule_window(alert, rules)
         if fallback:
             warnings.warn(f"time_interval '{interval}' unknown for alert '{name}'; using {hours} hours")
         op = alert["comparison_operator"]
         if op not in OPERATORS or op not in allowed:
             raise ValueError(f"alert '{name}': unsupported comparison operator {op}")
+        metric_of(alert["metric"], name)
+        metric = alert["metric"] if isinstance(alert["metric"], str) else json.dumps(alert["metric"], sort_keys=True)
         rows.append((
-            name, alert["display_name"], alert.get("description"), alert["metric"], interval,
-            int(hours), fallback, op, float(alert["threshold_value"]),
+            name, alert.get("display_name", name), alert.get("description"), metric, interval,
+            hours, fallback, op, float(alert["threshold_value"]),
             alert.get("empty_result_state", "UNKNOWN"),
             alert.get("cron_schedule", glob.get("cron_schedule", DEFAULT_CRON)),
             glob.get("timezone_id", "UTC"), glob.get("pause_status", "PAUSED"),
@@ -137,15 +235,42 @@ def alert_state(value: Column, operator: Column, threshold: Column, empty_state:
     return state
 
 
-def evaluate_alerts(metrics: DataFrame, definitions: DataFrame, as_of) -> DataFrame:
-    """Compare each metric with its rule.
+def within(frame: DataFrame, metric: Metric, as_of, hours: float) -> Column:
+    """Rows of the frame that a rule counts: its filters, within its window."""
+    tests = [f.test() for f in metric.filters]
+    if metric.time_column is not None:
+        lower = parse_as_of(as_of) - dt.timedelta(hours=hours)
+        tests.append(F.col(metric.time_column) >= ts_literal(lower, frame.schema[metric.time_column].dataType))
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def rule_values(source: Callable[[str, float], DataFrame], metrics: list[tuple[str, int, Metric]], as_of) -> DataFrame:
+    """Rows (name, value): each rule's metric over its own window.
 
-    ``metrics`` has rows ``(metric, value)``; each rule reads the FIRST
-    value of its metric. The definitions are catalogue-sized, so they are
-    broadcast; a rule whose metric is missing gets its empty-result state.
+    ``source(layer, hours)`` gives the layer with at least so many hours of
+    history. Rules that read the same layer share one scan: a global
+    aggregate with a conditional aggregate per rule.
     """
-    first = metrics.groupBy("metric").agg(F.first("value").alias("value"))
-    joined = F.broadcast(definitions).join(first, "metric", "left")
+    by_layer: dict[str, list[tuple[str, int, Metric]]] = {}
+    for rule in metrics:
+        by_layer.setdefault(rule[2].source, []).append(rule)
+    parts = []
+    for layer, rules in by_layer.items():
+        frame = source(layer, max(hours for _, hours, _ in rules))
+        columns = [AGGREGATES[m.aggregate](within(frame, m, as_of, hours), F.col(m.column) if m.column else None)
+                   .cast("double").alias(f"v{i}") for i, (_, hours, m) in enumerate(rules)]
+        named = F.array(*(F.struct(F.lit(name).alias("name"), F.col(f"v{i}").alias("value")) for i, (name, _, _) in enumerate(rules)))
+        parts.append(frame.agg(*columns).select(F.explode(named).alias("r")).select("r.name", "r.value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evaluate_alerts(values: DataFrame, definitions: DataFrame, as_of) -> DataFrame:
+    """Compare each rule's value with its threshold.
+
+    ``values`` has rows ``(name, value)``, one per rule at most; a rule
+    without one gets its empty-result state.
+    """
+    joined = definitions.join(values.groupBy("name").agg(F.first("value").alias("value")), "name", "left")
     value = F.col("value").cast("double")
     return joined.select(
         "name", "metric", value.alias("value"), "comparison_operator", "threshold_value", "hours",
@@ -155,20 +280,6 @@ def evaluate_alerts(metrics: DataFrame, definitions: DataFrame, as_of) -> DataFr
     )
 
 
-def rule_metrics(audit: DataFrame, tags: DataFrame, r_de: DataFrame, definitions_rows: list[tuple],
-                 as_of) -> DataFrame:
-    """Every metric the rules name: count metrics in one shared scan, plus L5 over R-DE."""
-    hours = {}
-    for row in definitions_rows:
-        metric, window = row[3], row[5]
-        hours[metric] = window
-    counts = shared_scan.rule_metric_counts(audit, tags, as_of, hours)
-    if HIGH_RISK_EXPORTS in hours:
-        l5 = data_export_ai_alert(r_de).select(F.lit(HIGH_RISK_EXPORTS).alias("metric"), "value")
-        counts = counts.unionByName(l5)
-    return counts
-
-
 # --- L8 / L9: documents and listings ----------------------------------------------------------
 
 def alert_document(definitions: DataFrame) -> DataFrame:

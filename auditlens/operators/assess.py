@@ -12,32 +12,13 @@ from pyspark.sql import DataFrame
 from auditlens.functions import scoring as S
 from auditlens.functions.scoring import Family
 
-_RETURN = ". Return: 1) risk level ({levels}), 2) risk factors, 3) immediate actions, {rest}."
-_ESC_REST = "4) investigation steps, 5) long-term controls"
-_REC_REST = "4) long-term recommendations"
-
-
-def _c(name: str):
-    return ("col", name)
-
-
-def _history(count_col: str, parts: list[tuple[str, str]]) -> tuple:
-    out = [", Actor History: ", _c(count_col)]
-    for text, column in parts:
-        out += [text, _c(column)]
-    return tuple(out)
-
-
-# The assessment families (what is counted, grading bands, prompt fields).
+# The assessment families (what is counted, grading bands, the fields the scorer sees).
 FAILED_LOGIN = Family(
     name="failed_login_analysis", count_col="failed_attempts",
     bands=(("HIGH", 10), ("MEDIUM", 3)), floor="LOW",
     extra_fields=S.RECOMMENDATION_FIELDS,
-    prompt_parts=("Assess this failed login pattern. Type=", _c("detection_type"),
-                  ", Entity=", _c("entity_name"), ", Failed Attempts=", _c("failed_attempts"),
-                  ", Unique Entities=", _c("unique_entities"),
-                  ", Time Window=", ("hours", "first_attempt", "last_attempt"), " hours",
-                  _RETURN.format(levels="HIGH/MEDIUM/LOW", rest=_REC_REST)),
+    prompt_fields=("detection_type", "entity_name", "failed_attempts", "unique_entities",
+                   ("hours", "first_attempt", "last_attempt")),
     multiple_entities_col="unique_entities", span=("first_attempt", "last_attempt"),
     lists={"long_term_recommendations": S.LONG_TERM_RECOMMENDATIONS["failed_login_analysis"]},
 )
@@ -45,65 +26,39 @@ DATA_EXPORT = Family(
     name="data_export_analysis", count_col="export_count",
     bands=(("HIGH", 5), ("MEDIUM", 1)), floor="LOW",
     extra_fields=S.RECOMMENDATION_FIELDS,
-    prompt_parts=("Assess this data export activity. Actor=", _c("actor"), ", Source=", _c("source"),
-                  ", Action=", _c("action_name"), ", Artifact=", _c("artifact"),
-                  ", First Activity=", _c("first_activity"), ", Last Activity=", _c("last_activity"),
-                  ", Number of Exports=", _c("export_count"),
-                  _RETURN.format(levels="HIGH/MEDIUM/LOW", rest=_REC_REST)),
+    prompt_fields=("actor", "source", "action_name", "artifact", "first_activity", "last_activity", "export_count"),
     lists={"long_term_recommendations": S.LONG_TERM_RECOMMENDATIONS["data_export_analysis"]},
 )
 
 
-def _escalation(name, count_col, bands, floor, levels, intro, fields, history, sensitive=False):
-    parts = (intro,) + tuple(fields) + (", First Activity=", _c("first_activity"),
-                                         ", Last Activity=", _c("last_activity"))
-    parts += history + (_RETURN.format(levels=levels, rest=_ESC_REST),)
+def _escalation(name, count_col, bands, floor, fields, sensitive=False):
     return Family(
         name=name, count_col=count_col, bands=bands, floor=floor,
-        extra_fields=S.ESCALATION_FIELDS, prompt_parts=parts, sensitive_target=sensitive,
+        extra_fields=S.ESCALATION_FIELDS, prompt_fields=fields, sensitive_target=sensitive,
         lists={"investigation_steps": S.INVESTIGATION_STEPS[name],
                "long_term_controls": S.LONG_TERM_CONTROLS[name]},
     )
 
 
 _STANDARD = (("HIGH", 3), ("MEDIUM", 1))
+_SPAN = ("first_activity", "last_activity")
 ACCOUNT_ADMIN = _escalation(
     "account_admin_analysis", "admin_assignments_count", (("CRITICAL", 5), ("HIGH", 3)), "MEDIUM",
-    "CRITICAL/HIGH/MEDIUM", "Assess this account admin assignment. ",
-    ("Actor=", _c("actor"), ", Target User=", _c("target_user"), ", Action=", _c("action_name")),
-    _history("admin_assignments_count", [(" total assignments, ", "unique_targets")])
-    + (" unique targets in the look-back",), sensitive=True)
+    ("actor", "target_user", "action_name", *_SPAN, "admin_assignments_count", "unique_targets"), sensitive=True)
 WORKSPACE_ACL = _escalation(
-    "workspace_acl_analysis", "acl_changes_count", _STANDARD, "LOW", "HIGH/MEDIUM/LOW",
-    "Assess this workspace ACL change. ",
-    ("Actor=", _c("actor"), ", Target User=", _c("target_user"), ", New ACL=", _c("new_acl"),
-     ", Action=", _c("action_name")),
-    _history("acl_changes_count", [(" total ACL changes, ", "unique_targets")])
-    + (" unique targets in the look-back",))
+    "workspace_acl_analysis", "acl_changes_count", _STANDARD, "LOW",
+    ("actor", "target_user", "new_acl", "action_name", *_SPAN, "acl_changes_count", "unique_targets"))
 SENSITIVE_GROUP = _escalation(
-    "sensitive_group_analysis", "group_additions_count", _STANDARD, "LOW", "HIGH/MEDIUM/LOW",
-    "Assess this sensitive group addition. ",
-    ("Actor=", _c("actor"), ", Target User=", _c("target_user"), ", Group=", _c("group_name"),
-     ", Action=", _c("action_name")),
-    _history("group_additions_count", [(" total group additions, ", "unique_targets"),
-                                       (" unique targets, ", "unique_groups")])
-    + (" unique groups in the look-back",), sensitive=True)
+    "sensitive_group_analysis", "group_additions_count", _STANDARD, "LOW",
+    ("actor", "target_user", "group_name", "action_name", *_SPAN, "group_additions_count", "unique_targets",
+     "unique_groups"), sensitive=True)
 UC_PERMISSION = _escalation(
-    "uc_permission_analysis", "permission_changes_count", _STANDARD, "LOW", "HIGH/MEDIUM/LOW",
-    "Assess this catalog permission escalation on sensitive data. ",
-    ("Actor=", _c("actor"), ", Target Principal=", _c("target_principal"),
-     ", Securable=", _c("securable_full_name"), ", Type=", _c("securable_type"),
-     ", Permissions=", _c("permissions")),
-    _history("permission_changes_count", [(" total permission changes, ", "unique_targets"),
-                                          (" unique targets, ", "unique_securables")])
-    + (" unique securables in the look-back",), sensitive=True)
+    "uc_permission_analysis", "permission_changes_count", _STANDARD, "LOW",
+    ("actor", "target_principal", "securable_full_name", "securable_type", "permissions", *_SPAN,
+     "permission_changes_count", "unique_targets", "unique_securables"), sensitive=True)
 ACCOUNT_SETTING = _escalation(
-    "account_setting_analysis", "setting_changes_count", _STANDARD, "LOW", "HIGH/MEDIUM/LOW",
-    "Assess this account setting change. ",
-    ("Actor=", _c("actor"), ", Key Type=", _c("key_type"), ", Key Name=", _c("key_name"),
-     ", Settings=", _c("settings"), ", Action=", _c("action_name")),
-    _history("setting_changes_count", [(" total setting changes, ", "unique_keys")])
-    + (" unique keys in the look-back",))
+    "account_setting_analysis", "setting_changes_count", _STANDARD, "LOW",
+    ("actor", "key_type", "key_name", "settings", "action_name", *_SPAN, "setting_changes_count", "unique_keys"))
 
 FAMILIES = {f.name: f for f in (FAILED_LOGIN, DATA_EXPORT, ACCOUNT_ADMIN, WORKSPACE_ACL,
                                 SENSITIVE_GROUP, UC_PERMISSION, ACCOUNT_SETTING)}

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.exprs import actor, param, since, status_code
-from auditlens.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from auditlens.sources.tags import SENSITIVE_GROUPS, sensitive_tables
 
 # Service and action names the rules match, and their labels.
@@ -152,15 +151,14 @@ def uc_candidate_filter() -> Column:
     )
 
 
-def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
-                              broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bool = False) -> DataFrame:
     """Ownership / all-privileges / manage grants on sensitive securables.
 
     A securable is sensitive when its name contains ``pii``, is ``system``,
     or is tagged (left join with S2; a table with several matching tags
-    repeats the event once per tag unless ``dedupe_tags``). The tag side is
-    broadcast only when its row count is proven small; the audit side is
-    filtered before the join. Each element of ``changes`` becomes a row.
+    repeats the event once per tag unless ``dedupe_tags``). The audit side is
+    filtered before the join, and AQE picks the join from the sizes it
+    measures. Each element of ``changes`` becomes a row.
     """
     candidates = audit.filter(uc_candidate_filter()).select(
         "event_time", "service_name", "workspace_id", "action_name",
@@ -171,7 +169,6 @@ def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bo
     )
     tagged = sensitive_tables(tags, dedupe=dedupe_tags).select(
         F.col("securable_full_name").alias("_tagged_name"))
-    tagged, _ = bounded_broadcast(tagged, broadcast_max_rows)
     joined = candidates.join(tagged, candidates["securable_full_name"] == tagged["_tagged_name"], "left")
     name = F.col("securable_full_name")
     kept = joined.filter(

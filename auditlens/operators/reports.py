@@ -126,15 +126,14 @@ def _level_rank():
 def q9_risk_level_counts(r_fl: DataFrame, r_de: DataFrame, c1: DataFrame, as_of,
                          hours=168) -> DataFrame:
     """Q9: groups per risk level in three families; unknown levels sort first."""
-    def counts(frame, label, time_col):
-        return since(frame, as_of, hours, time_col).groupBy(_rl().alias("risk_level")).agg(
-            F.count(F.lit(1)).alias("event_count")).select(
-            F.lit(label).alias("detection_type"), "risk_level", "event_count")
+    def levels(frame, label, time_col):
+        return since(frame, as_of, hours, time_col).select(
+            F.lit(label).alias("detection_type"), _rl().alias("risk_level"))
     out = reduce(DataFrame.unionByName, [
-        counts(r_fl, "FAILED_LOGINS", "first_attempt"),
-        counts(r_de, "DATA_EXPORTS", "last_activity"),
-        counts(c1, "PRIVILEGE_ESCALATIONS", "actor_last_activity"),
-    ])
+        levels(r_fl, "FAILED_LOGINS", "first_attempt"),
+        levels(r_de, "DATA_EXPORTS", "last_activity"),
+        levels(c1, "PRIVILEGE_ESCALATIONS", "actor_last_activity"),
+    ]).groupBy("detection_type", "risk_level").agg(F.count(F.lit(1)).alias("event_count"))
     return out.orderBy("detection_type", _level_rank().asc_nulls_first())
 
 
@@ -177,7 +176,7 @@ def q12_cross_correlation(r_fl: DataFrame, c1: DataFrame, as_of, hours=168) -> D
     ips = since(r_fl.filter(F.col("entity_type") == "source_ip"), as_of, hours, "first_attempt") \
         .groupBy("entity_id").agg(F.max("failed_attempts").alias("_attempts")) \
         .filter(F.col("_attempts") > Q12_MIN_ATTEMPTS) \
-        .agg(F.count(F.lit(1)).alias("_ip_rows"), F.count_distinct("entity_id").alias("_ips"))
+        .agg(F.count(F.lit(1)).alias("_ip_rows"), F.count("entity_id").alias("_ips"))
     actors = since(c1.filter(_high()), as_of, hours, "actor_last_activity") \
         .agg(F.count(F.lit(1)).alias("_actor_rows"), F.count_distinct("actor").alias("_actors"))
     sides = ips.unionByName(actors, allowMissingColumns=True).agg(
@@ -193,18 +192,23 @@ def q12_cross_correlation(r_fl: DataFrame, c1: DataFrame, as_of, hours=168) -> D
 def q13_analysis_volume(r_fl: DataFrame, r_de: DataFrame, c1: DataFrame, as_of,
                         hours=24) -> DataFrame:
     """Q13: number of assessments and mean assessment length per family."""
-    def volume(frame, label, filter_col, first_col, last_col):
-        return since(frame, as_of, hours, filter_col).agg(
-            F.lit(label).alias("metric"),
-            F.count(F.lit(1)).alias("total_analyses"),
-            F.avg(F.length(F.col(ANALYSIS_COLUMN).cast("string"))).alias("avg_response_length"),
-            F.min(first_col).alias("earliest_event"),
-            F.max(last_col).alias("latest_event"))
-    return reduce(DataFrame.unionByName, [
-        volume(r_fl, Q13_METRICS[0], "first_attempt", "first_attempt", "last_attempt"),
-        volume(r_de, Q13_METRICS[1], "last_activity", "first_activity", "last_activity"),
-        volume(c1, Q13_METRICS[2], "actor_last_activity", "actor_first_activity", "actor_last_activity"),
-    ])
+    def rows(frame, label, filter_col, first_col, last_col):
+        return since(frame, as_of, hours, filter_col).select(
+            F.lit(label).alias("metric"), F.lit(1).alias("n"),
+            F.length(F.col(ANALYSIS_COLUMN).cast("string")).alias("size"),
+            F.col(first_col).alias("first"), F.col(last_col).alias("last"))
+    parts = [
+        rows(r_fl, Q13_METRICS[0], "first_attempt", "first_attempt", "last_attempt"),
+        rows(r_de, Q13_METRICS[1], "last_activity", "first_activity", "last_activity"),
+        rows(c1, Q13_METRICS[2], "actor_last_activity", "actor_first_activity", "actor_last_activity"),
+    ]
+    # a row for each family, also for one without assessments
+    none = r_fl.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, Q13_METRICS))).alias("metric"), F.lit(0).alias("n"))
+    return reduce(DataFrame.unionByName, parts).unionByName(none, allowMissingColumns=True).groupBy("metric").agg(
+        F.sum("n").cast("bigint").alias("total_analyses"),
+        F.avg("size").alias("avg_response_length"),
+        F.min("first").alias("earliest_event"),
+        F.max("last").alias("latest_event"))
 
 
 def _drill_down(frame: DataFrame, as_of, hours, columns, fields) -> DataFrame:

@@ -47,44 +47,60 @@ def _tagged_logins(d1: DataFrame, families) -> DataFrame:
     return rows.select("t.*", "user_agent", "event_time").filter(F.col("entity").isNotNull())
 
 
-def _login_patterns(d1: DataFrame, as_of, hours, families) -> DataFrame:
+_ENTITY = ["detection_type", "entity_type", "entity"]
+
+
+def _login_patterns(d1: DataFrame, as_of, hours, families, lists: bool = True) -> DataFrame:
     """Failed-login patterns, aggregated in two phases.
 
-    Phase 1 groups by (entity, counter-entity, agent) with count/min/max;
-    hashing on all three spreads a hot entity over many tasks. Phase 2
-    groups by entity; each distinct counter-entity then reaches the final
-    task about once, so the collected sets cost their distinct size, not
-    the row count of the entity.
+    Phase 1 groups by (entity, counter-entity) with count/min/max, which
+    spreads a hot entity over many tasks; phase 2 groups by entity and counts
+    the counter-entities, one row each, so no task holds a set of them.
+    ``lists`` adds the sorted arrays, which are as large as an entity's
+    counter-entities: for display, not for the reports.
     """
     rows = _tagged_logins(since(d1, as_of, hours), families)
-    keys = ["detection_type", "entity_type", "entity"]
-    phase1 = rows.groupBy(*keys, "other", "user_agent").agg(
+    phase1 = rows.groupBy(*_ENTITY, "other").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("event_time").alias("first_attempt"),
         F.max("event_time").alias("last_attempt"),
     )
-    related = F.collect_set("other")
-    phase2 = phase1.groupBy(*keys).agg(
-        F.sum("n").alias("failed_attempts"),
-        F.size(related).cast("bigint").alias("unique_entities"),
-        F.sort_array(related).alias("related_entities"),
-        F.sort_array(F.collect_set("user_agent")).alias("user_agents"),
+    phase2 = phase1.groupBy(*_ENTITY).agg(
+        F.sum("n").cast("bigint").alias("failed_attempts"),
+        F.count("other").alias("unique_entities"),
         F.min("first_attempt").alias("first_attempt"),
         F.max("last_attempt").alias("last_attempt"),
     )
-    return phase2.select(
+    out = phase2.select(
         "detection_type",
         F.col("entity").alias("entity_id"),
         F.col("entity").alias("entity_name"),
         "entity_type",
-        F.col("failed_attempts").cast("bigint").alias("failed_attempts"),
+        "failed_attempts",
         "unique_entities",
-        "related_entities",
-        "user_agents",
         "first_attempt",
         "last_attempt",
         ts_literal(as_of, d1.schema["event_time"].dataType).alias("detection_timestamp"),
     )
+    if not lists:
+        return out
+    return out.join(failed_login_lists(d1, as_of, hours, families), ["detection_type", "entity_id"])
+
+
+def failed_login_relations(d1: DataFrame, as_of, hours: float | None = LOOKBACK_HOURS,
+                           families=(IP_BASED, USER_BASED)) -> DataFrame:
+    """Who met whom, as a long relation: entity, counter-entity, agent and number of failed logins."""
+    rows = _tagged_logins(since(d1, as_of, hours), list(families))
+    return rows.groupBy(*_ENTITY, "other", "user_agent").agg(F.count(F.lit(1)).alias("failed_attempts"))
+
+
+def failed_login_lists(d1: DataFrame, as_of, hours: float | None = LOOKBACK_HOURS,
+                       families=(IP_BASED, USER_BASED)) -> DataFrame:
+    """The counter-entities and agents of every entity as sorted arrays."""
+    relations = failed_login_relations(d1, as_of, hours, families)
+    return relations.groupBy("detection_type", F.col("entity").alias("entity_id")).agg(
+        F.sort_array(F.collect_set("other")).alias("related_entities"),
+        F.sort_array(F.collect_set("user_agent")).alias("user_agents"))
 
 
 def failed_logins_by_ip(d1: DataFrame, as_of, hours: float | None = LOOKBACK_HOURS) -> DataFrame:
@@ -97,9 +113,10 @@ def failed_logins_by_user(d1: DataFrame, as_of, hours: float | None = LOOKBACK_H
     return _login_patterns(d1, as_of, hours, [USER_BASED])
 
 
-def failed_login_patterns(d1: DataFrame, as_of, hours: float | None = LOOKBACK_HOURS) -> DataFrame:
+def failed_login_patterns(d1: DataFrame, as_of, hours: float | None = LOOKBACK_HOURS,
+                          lists: bool = True) -> DataFrame:
     """A3: A1 UNION ALL A2, computed in one pass over D1 (each login tagged twice)."""
-    return _login_patterns(d1, as_of, hours, [IP_BASED, USER_BASED])
+    return _login_patterns(d1, as_of, hours, [IP_BASED, USER_BASED], lists)
 
 
 def _activity(detection: DataFrame, as_of, hours, keys: list[str], count_name: str,
@@ -167,3 +184,15 @@ def export_activity(d8: DataFrame) -> DataFrame:
         F.max("event_time").alias("last_activity"),
         F.count(F.lit(1)).alias("export_count"),
     ).select(*keys, "first_activity", "last_activity", "export_count")
+
+
+def actor_unique_targets(detection: DataFrame, as_of, target: str = "target_user",
+                         hours: float | None = LOOKBACK_HOURS) -> DataFrame:
+    """Distinct targets of every actor in the look-back: actor, actor_unique_targets (NULL targets not counted).
+
+    Two grouped aggregates, not a window over the actor, so the NULL actor and
+    hot ones are combined before the shuffle; join it to a summary with
+    ``eqNullSafe``.
+    """
+    pairs = since(detection, as_of, hours).groupBy("actor", target).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("actor").agg(F.count(target).alias("actor_unique_targets"))

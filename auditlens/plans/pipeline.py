@@ -8,9 +8,9 @@ With ``shared_scan=True`` (the default) the windowed layers (summaries,
 assessments, posture, reports, alert metrics) do not read the audit log
 per rule: one pass tags every windowed detection row
 (``shared_scan.detection_candidates``) and the rules read that small
-result. ``refresh()`` writes it, and the frames the source job keeps as
-materialised views (R-FL, R-DE, C1, C3), as parquet snapshots in the
-session's shared checkpoint folder; reports then read those snapshots.
+result. ``refresh()`` writes it, then every assessment (R-x), C1 and C3, as
+parquet snapshots in the session's shared checkpoint folder; reports then
+read those snapshots, so each summary group is scored once.
 The unbounded detection views ``d1`` .. ``d8`` always read the audit log.
 
 With ``detections=`` (a table a stream appends to with
@@ -21,11 +21,11 @@ each audit row is tagged once, when it arrives.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from auditlens.functions import scoring as S
 from auditlens.operators import alerts as L
@@ -34,7 +34,7 @@ from auditlens.operators import detections as D
 from auditlens.operators import posture as C
 from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
-from auditlens.functions.exprs import since
+from auditlens.functions.exprs import DatePartition
 from auditlens.plans import shared_scan as SS
 from auditlens.sources.audit import resolve_as_of
 from auditlens.sources.sinks import register_views, snapshot
@@ -52,7 +52,7 @@ VIEW_NAMES = {
     "sec_v_uc_permission_escalations": "d6",
     "sec_v_account_setting_changes": "d7",
     "sec_mv_data_export_detection": "d8",
-    "sec_mv_ai_failed_login_analysis": "r_fl",
+    "sec_mv_ai_failed_login_analysis": "r_fl_full",
     "sec_mv_ai_data_export_analysis": "r_de",
     "sec_v_ai_account_admin_analysis": "r_aa",
     "sec_v_ai_workspace_acl_analysis": "r_wa",
@@ -62,14 +62,16 @@ VIEW_NAMES = {
     "sec_mv_ai_privilege_escalation_consolidated": "c1",
     "sec_mv_ai_security_posture_summary": "c3",
 }
-SNAPSHOT_FRAMES = ("r_fl", "r_de", "c1", "c3")
+#: Snapshots in the order of their dependence: every assessment once, then what is built from them.
+SNAPSHOT_LAYERS = (("r_fl", "r_de", "r_aa", "r_wa", "r_sg", "r_uc", "r_as"), ("c1",), ("c3",))
+SNAPSHOT_FRAMES = tuple(name for layer in SNAPSHOT_LAYERS for name in layer)
 
 
 class SecurityPipeline:
     def __init__(self, audit: DataFrame, tags: DataFrame, as_of=None,
                  scorer: S.Scorer = S.default_scorer, lookback_hours: float = LOOKBACK_HOURS,
                  rules: dict | None = None, shared_scan: bool = True,
-                 detections: DataFrame | None = None):
+                 detections: DataFrame | None = None, date_partition: DatePartition | None = None):
         self.audit = audit
         self.tags = tags
         self.as_of = resolve_as_of(audit, as_of)
@@ -78,6 +80,7 @@ class SecurityPipeline:
         self.rules = rules
         self.shared = shared_scan or detections is not None
         self.detections = detections
+        self.contract = date_partition  # the source's date column, if the caller declares it
 
     @property
     def spark(self):
@@ -99,23 +102,25 @@ class SecurityPipeline:
     @cached_property
     def d7(self): return D.account_setting_changes(self.audit)
     @cached_property
-    def d8(self): return D.data_export_detection(self.audit, self.as_of, self.h)
+    def d8(self): return D.data_export_detection(self.audit, self.as_of)
 
     def d8_branch(self, branch: str) -> DataFrame:
-        return D.data_export_branch(self.audit, branch, self.as_of, self.h)
+        return D.data_export_branch(self.audit, branch, self.as_of)
 
     # windowed detections: one shared pass, or the views themselves
+    @cached_property
+    def rule_metrics(self): return L.rule_metrics(self.rules)
+
     @cached_property
     def uc_hours(self) -> float:
-        hours = [row[5] for row in self.definitions_rows if row[3] == SS.UC_ESCALATIONS]
-        return max([UC_ALERT_HOURS, self.h] + hours)
+        return max([UC_ALERT_HOURS, self.h] + [hours for _, hours, m in self.rule_metrics if m.source == "d6"])
 
     @cached_property
     def candidates(self) -> DataFrame:
         if self.detections is not None:
             # a detections table kept by a stream (ST1): no audit scan at all
             return SS.within_windows(self.detections, self.as_of, self.h, self.uc_hours)
-        return SS.detection_candidates(self.audit, self.as_of, self.h, self.uc_hours)
+        return SS.detection_candidates(self.audit, self.as_of, self.h, self.uc_hours, contract=self.contract)
 
     @cached_property
     def windowed(self) -> dict[str, DataFrame]:
@@ -134,6 +139,8 @@ class SecurityPipeline:
     @cached_property
     def a3(self): return A.failed_login_patterns(self.w("d1"), self.as_of, self.h)
     @cached_property
+    def a3_counts(self): return A.failed_login_patterns(self.w("d1"), self.as_of, self.h, lists=False)
+    @cached_property
     def a4(self): return A.account_admin_activity(self.w("d2"), self.as_of, self.h)
     @cached_property
     def a5(self): return A.workspace_acl_activity(self.w("d3"), self.as_of, self.h)
@@ -148,7 +155,11 @@ class SecurityPipeline:
 
     # assessments
     @cached_property
-    def r_fl(self): return R.assess_failed_logins(self.a3, self.scorer)
+    def r_fl(self): return R.assess_failed_logins(self.a3_counts, self.scorer)
+    @property
+    def r_fl_full(self):
+        """R-FL with the lists of related entities and agents (built on request; no report reads them)."""
+        return self.r_fl.join(A.failed_login_lists(self.w("d1"), self.as_of, self.h), ["detection_type", "entity_id"])
     @cached_property
     def r_de(self): return R.assess_data_exports(self.a9, self.scorer)
     @cached_property
@@ -205,47 +216,25 @@ class SecurityPipeline:
     def l4(self): return L.uc_permission_alert(self.w("d6"), self.as_of)
     def l5(self): return L.data_export_ai_alert(self.r_de)
 
-    def metrics(self) -> DataFrame:
-        """Every metric the rules name.
+    def metric_source(self, layer: str, hours: float) -> DataFrame:
+        """A layer with at least ``hours`` of history for a rule's metric.
 
-        Shared mode: counted over the (snapshotted) windowed detections, no
-        further audit scan. Otherwise one shared aggregate over the audit.
+        The windowed rows where they reach back far enough (D8 is bounded by
+        its own look-back in any case), else all history: the stream-kept
+        detections table, or the view over the audit log.
         """
-        if not self.shared:
-            return L.rule_metrics(self.audit, self.tags, self.r_de, self.definitions_rows, self.as_of)
-        plain = {SS.AUTH_EVENTS: SS.D1, SS.ADMIN_ASSIGNMENTS: SS.D2, SS.DATA_EXPORTS: SS.D8}
-        parts, conditional, names, wide = [], [], [], {}
-        for row in self.definitions_rows:
-            metric, hours = row[3], row[5]
-            if metric in plain and metric != SS.DATA_EXPORTS and hours > self.h:
-                # the tagged rows cover ``self.h`` only (D8 is bounded by it anyway)
-                wide[metric] = hours
-            elif metric in plain:
-                # one rule of the tagged rows, within the metric's window
-                hit = (F.col("rule") == plain[metric]) & SS._after(self.candidates, self.as_of, hours)
-                conditional.append(F.count_if(hit).cast("bigint").alias(metric))
-                names.append(metric)
-            elif metric == SS.UC_ESCALATIONS:
-                frame = L.count_metric(self.w("d6"), self.as_of, hours)
-                parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
-            elif metric == L.HIGH_RISK_EXPORTS:
-                frame = L.data_export_ai_alert(self.r_de)
-                parts.append(frame.select(F.lit(metric).alias("metric"), F.col("value").cast("bigint")))
-            else:
-                raise ValueError(f"unknown alert metric '{metric}'")
-        if conditional:
-            rules = sorted(set(plain[m] for m in names))
-            counts = self.candidates.filter(F.col("rule").isin(*rules)).agg(*conditional)
-            parts.append(counts.unpivot([], names, "metric", "value"))
-        if wide and self.detections is not None:
-            # the stream-kept table holds all history: count there, no audit scan
-            rows = since(self.detections, self.as_of, max(wide.values()))
-            aggs = [F.count_if((F.col("rule") == plain[m]) & SS._after(rows, self.as_of, h))
-                    .cast("bigint").alias(m) for m, h in wide.items()]
-            parts.append(rows.agg(*aggs).unpivot([], list(wide), "metric", "value"))
-        elif wide:
-            parts.append(SS.rule_metric_counts(self.audit, self.tags, self.as_of, wide))
-        return reduce(DataFrame.unionByName, parts)
+        if layer not in L.EVENT_LAYERS:
+            return getattr(self, layer)
+        reach = {"d6": self.uc_hours, "d8": math.inf}.get(layer, self.h)
+        if self.shared and layer in self.windowed and hours <= reach:
+            return self.w(layer)
+        if self.detections is not None and layer in self.windowed:
+            return SS.windowed_detections(self.detections, self.tags)[layer]
+        return getattr(self, layer)
+
+    def metrics(self) -> DataFrame:
+        """Rows (name, value): every rule's metric over its own window."""
+        return L.rule_values(self.metric_source, self.rule_metrics, self.as_of)
 
     def l6(self) -> DataFrame:
         return L.evaluate_alerts(self.metrics(), self.definitions, self.as_of)
@@ -273,8 +262,8 @@ class SecurityPipeline:
             self.candidates, "detections", None if base is None else f"{base}/detections",
             partition_by=["rule"])
         # frames are built here (lazily, one thread); the independent writes run as concurrent jobs
-        layers = [[n for n in frames if n != "c3"], [n for n in frames if n == "c3"]]
-        for layer in layers:
+        layers = [[n for n in layer if n in frames] for layer in SNAPSHOT_LAYERS]
+        for layer in filter(None, layers):
             built = {name: getattr(self, name) for name in layer}
             with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
                 done = {name: pool.submit(snapshot, frame, name,
@@ -307,6 +296,6 @@ class SecurityPipeline:
 
 
 _DERIVED = {
-    "candidates", "windowed", "a1", "a2", "a3", "a4", "a5", "a6", "a7", "a8", "a9",
+    "candidates", "windowed", "a1", "a2", "a3", "a3_counts", "a4", "a5", "a6", "a7", "a8", "a9",
     "r_fl", "r_de", "r_aa", "r_wa", "r_sg", "r_uc", "r_as", "c1", "c2", "c3",
 }

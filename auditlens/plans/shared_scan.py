@@ -1,18 +1,12 @@
-"""Shared scans: one pass over the audit log instead of one per rule.
-
-Written as separate views, every rule reads the audit log again (eleven
-scans for a full refresh), and Catalyst does not merge the scans of a
-union. Two shared plans replace them:
-
-* ``rule_metric_counts``: the count-based alert metrics as one global
-  aggregate with a conditional count per metric (one scan, partial counts
-  per task, one tiny final row).
-* ``detection_candidates``: every windowed detection row, tagged with its
-  rule, in one shape; written once (``SecurityPipeline.refresh``) and split
-  back into the detection shapes by ``windowed_detections``.
-
-Both bound the scan by the widest look-back and push the rule predicates
-on ``service_name`` / ``action_name`` into the parquet scan.
+"""One pass over the audit log for every windowed detection.
+
+Written as separate views, every rule reads the audit log again, and
+Catalyst does not merge the scans of a union. ``detection_candidates`` reads
+the common look-back once, tags each row with its rule and brings all rules
+into one shape; it is written once (``SecurityPipeline.refresh``) and split
+back into the detection shapes by ``windowed_detections``. Only D6, whose
+alert looks back further than the summaries, adds a second, narrow scan of
+the older days: its own service, action and columns.
 """
 
 from __future__ import annotations
@@ -22,88 +16,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.exprs import actor, param, parse_as_of, since, ts_literal, time_type  # noqa: F401
+from auditlens.functions.exprs import DatePartition, actor, param, parse_as_of, since, time_type, ts_literal
 from auditlens.operators import detections as D
-from auditlens.plans.broadcast import DEFAULT_MAX_ROWS, bounded_broadcast
 from auditlens.sources.tags import sensitive_tables
 
-# Metric ids of the count-based alert metrics.
-AUTH_EVENTS = "auth_events_count"
-ADMIN_ASSIGNMENTS = "account_admin_assignments_count"
-DATA_EXPORTS = "data_export_count"
-UC_ESCALATIONS = "uc_permission_escalations_count"
-COUNT_METRICS = (AUTH_EVENTS, ADMIN_ASSIGNMENTS, DATA_EXPORTS, UC_ESCALATIONS)
-
 
-def _after(df: DataFrame, as_of, hours: float) -> Column:
+def after(df: DataFrame, as_of, hours: float) -> Column:
     bound = parse_as_of(as_of) - dt.timedelta(hours=hours)
     return F.col("event_time") >= ts_literal(bound, time_type(df))
 
 
-def _uc_items() -> Column:
-    """Rows D6 makes from one event: the number of ``changes`` elements (0 if unparsable)."""
-    items = F.from_json(param("changes"), D.CHANGES_SCHEMA)
-    return F.when(items.isNotNull(), F.size(items)).otherwise(F.lit(0))
-
-
-def rule_metric_counts(audit: DataFrame, tags: DataFrame, as_of, hours: dict[str, float],
-                       broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Counts of D1, D2, D8 and D6 rows, each over its own look-back, in one scan.
-
-    ``hours`` maps metric id -> look-back; D8 keeps its own 168 h bound on
-    top. D6 rows are ``changes`` elements times the number of matching
-    tags; the tag side is pre-aggregated to one row per table name and
-    joined only when it is provably small (broadcast, no shuffle).
-    Otherwise D6 is counted by its own, separately filtered plan.
-    Returns rows ``(metric, value)``.
-    """
-    wanted = {m: h for m, h in hours.items() if m in COUNT_METRICS}
-    widest = max(wanted.values())
-    tag_counts = sensitive_tables(tags).groupBy("securable_full_name").agg(
-        F.count(F.lit(1)).alias("_tag_n")).select(
-        F.col("securable_full_name").alias("_tagged_name"), "_tag_n")
-    tag_counts, small = bounded_broadcast(tag_counts, broadcast_max_rows)
-    with_uc = UC_ESCALATIONS in wanted and small
-
-    rows = since(audit, as_of, widest)
-    predicates = {
-        AUTH_EVENTS: D.auth_failure_filter(),
-        ADMIN_ASSIGNMENTS: D.account_admin_filter(),
-        DATA_EXPORTS: D.export_filter(),
-        UC_ESCALATIONS: D.uc_candidate_filter(),
-    }
-    used = [m for m in COUNT_METRICS if m in wanted and (m != UC_ESCALATIONS or with_uc)]
-    any_rule = None
-    for metric in used:
-        any_rule = predicates[metric] if any_rule is None else any_rule | predicates[metric]
-    rows = rows.filter(any_rule)
-    if with_uc:
-        rows = rows.join(tag_counts, param("securable_full_name") == F.col("_tagged_name"), "left")
-
-    aggs = []
-    for metric in used:
-        hit = predicates[metric] & _after(audit, as_of, wanted[metric])
-        if metric == DATA_EXPORTS:
-            hit = hit & _after(audit, as_of, D.EXPORT_LOOKBACK_HOURS)
-        if metric == UC_ESCALATIONS:
-            name = param("securable_full_name")
-            sensitive = name.like("%pii%") | (name == D.UC_SYSTEM_NAME) | F.col("_tag_n").isNotNull()
-            weight = _uc_items() * F.coalesce(F.col("_tag_n"), F.lit(1))
-            aggs.append(F.sum(F.when(hit & sensitive, weight).otherwise(F.lit(0))).cast("bigint").alias(metric))
-        else:
-            aggs.append(F.count_if(hit).cast("bigint").alias(metric))
-    counts = rows.agg(*aggs).unpivot([], used, "metric", "value")
-
-    if UC_ESCALATIONS in wanted and not small:
-        d6 = since(D.uc_permission_escalations(audit, tags, broadcast_max_rows=broadcast_max_rows),
-                   as_of, wanted[UC_ESCALATIONS])
-        counts = counts.unionByName(
-            d6.agg(F.lit(UC_ESCALATIONS).alias("metric"), F.count(F.lit(1)).alias("value")))
-    return counts
-
-
-# --- one pass for every windowed detection -----------------------------------------------------
-
 # Rule ids of the windowed detections.
 D1, D2, D3, D4, D6, D7, D8 = "D1", "D2", "D3", "D4", "D6", "D7", "D8"
 CANDIDATE_COLUMNS = (
@@ -114,16 +36,16 @@ CANDIDATE_COLUMNS = (
 )
 
 
-def detection_candidates(audit: DataFrame, as_of=None, hours: float | None = 168,
-                         uc_hours: float | None = 720) -> DataFrame:
+def detection_candidates(audit: DataFrame, as_of=None, hours: float | None = 168, uc_hours: float | None = 720,
+                         export_hours: float = D.EXPORT_LOOKBACK_HOURS, contract: DatePartition | None = None) -> DataFrame:
     """Every audit row any windowed rule keeps, tagged with its rule, in one shape.
 
-    One scan over the widest look-back; each rule matches its own action
-    names, so a row belongs to at most one rule and a ``when`` chain tags
-    it. D6 keeps its raw ``changes`` here: the tag lookup and the explode
-    run later on the small D6 subset. ``uc_hours`` widens the window for D6
-    only (its alert looks back 30 days). ``hours=None`` keeps every row
-    (a stream appending to a detections table; see ``within_windows``).
+    Each rule matches its own action names, so a row belongs to at most one
+    rule and a ``when`` chain tags it. D8 keeps its own look-back
+    (``export_hours``) whatever ``hours`` is, and D6 is kept for ``uc_hours``
+    with its raw ``changes``: the tag lookup and the explode run later on the
+    small D6 subset. ``hours=None`` keeps every row (a stream appending to a
+    detections table; see ``within_windows``).
     """
     predicates = [
         (D1, D.auth_failure_filter()),
@@ -144,17 +66,24 @@ def detection_candidates(audit: DataFrame, as_of=None, hours: float | None = 168
         actions |= set(acts)
     rule_actions = F.col("action_name").isin(*sorted(actions))
     if hours is None:
-        kept = audit.filter(rule_actions).select("*", rule.alias("rule")).filter(F.col("rule").isNotNull())
-    else:
-        uc_hours = max(hours, uc_hours or hours)
-        inner = _after(audit, as_of, hours)
-        # the widest bound prunes partitions; older than ``hours`` only D6 rows count, which a
-        # pushed (event_time OR service/action) filter lets row-group statistics skip
-        uc_rows = (F.col("service_name") == D.UC_SERVICE) & (F.col("action_name") == D.UC_ACTION)
-        scanned = since(audit, as_of, uc_hours).filter((inner | uc_rows) & rule_actions)
-        tagged = scanned.select("*", rule.alias("rule"))
-        kept = tagged.filter(F.col("rule").isNotNull() & ((F.col("rule") == D6) | inner))
+        return _shaped(audit.filter(rule_actions).select("*", rule.alias("rule")).filter(F.col("rule").isNotNull()))
+    recent = max(hours, export_hours)
+    tagged = since(audit, as_of, recent, contract=contract).filter(rule_actions).select("*", rule.alias("rule"))
+    kept = _shaped(tagged.filter(F.col("rule").isNotNull() & _in_window(audit, as_of, hours, export_hours)))
+    if uc_hours is None or uc_hours <= recent:
+        return kept
+    older = since(audit, as_of, uc_hours, contract=contract).filter(
+        ~after(audit, as_of, recent) & D.uc_candidate_filter()).select("*", F.lit(D6).alias("rule"))
+    return kept.unionByName(_shaped(older))
+
+
+def _in_window(df: DataFrame, as_of, hours: float, export_hours: float) -> Column:
+    """Rows within the look-back of their rule (D6 rows all pass)."""
+    return (F.when(F.col("rule") == D6, F.lit(True)).when(F.col("rule") == D8, after(df, as_of, export_hours))
+            .otherwise(after(df, as_of, hours)))
 
+
+def _shaped(kept: DataFrame) -> DataFrame:
     def only(rules, value):
         return F.when(F.col("rule").isin(*rules), value)
 
@@ -190,20 +119,14 @@ def detection_candidates(audit: DataFrame, as_of=None, hours: float | None = 168
     )
 
 
-def within_windows(candidates: DataFrame, as_of, hours: float = 168, uc_hours: float = 720) -> DataFrame:
-    """The rows of a full detections table that a run at ``as_of`` uses.
-
-    D6 rows within ``uc_hours``, all others within ``hours`` (the same rows
-    the windowed scan keeps); on a date-partitioned table the widest bound
-    prunes whole days.
-    """
-    uc_hours = max(hours, uc_hours)
-    widest = since(candidates, as_of, uc_hours)
-    return widest.filter((F.col("rule") == D6) | _after(candidates, as_of, hours))
+def within_windows(candidates: DataFrame, as_of, hours: float = 168, uc_hours: float = 720,
+                   export_hours: float = D.EXPORT_LOOKBACK_HOURS) -> DataFrame:
+    """The rows of a full detections table that a run at ``as_of`` uses (the same rows the windowed scan keeps)."""
+    widest = since(candidates, as_of, max(hours, export_hours, uc_hours))
+    return widest.filter(_in_window(candidates, as_of, hours, export_hours))
 
 
-def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
-                        broadcast_max_rows: int = DEFAULT_MAX_ROWS) -> dict[str, DataFrame]:
+def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False) -> dict[str, DataFrame]:
     """Split the tagged rows back into the detection shapes (same columns as D1-D8)."""
     def rule(name):
         return candidates.filter(F.col("rule") == name)
@@ -228,7 +151,6 @@ def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: boo
     uc = rule(D6)
     tagged = sensitive_tables(tags, dedupe=dedupe_tags).select(
         F.col("securable_full_name").alias("_tagged_name"))
-    tagged, _ = bounded_broadcast(tagged, broadcast_max_rows)
     joined = uc.join(tagged, uc["securable_full_name"] == tagged["_tagged_name"], "left")
     name = F.col("securable_full_name")
     kept = joined.filter(name.like("%pii%") | (name == D.UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())

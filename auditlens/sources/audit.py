@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from auditlens.functions.exprs import parse_as_of
 
@@ -26,18 +27,19 @@ AUDIT_COLUMNS = [
 def audit(source, spark: SparkSession | None = None, fmt: str = "parquet") -> DataFrame:
     """Open the audit log.
 
-    ``source`` is a DataFrame (returned as is), a table name, or a path read
-    with ``fmt``. Nothing is read here: filters and column lists of the
-    operators reach the scan through Catalyst.
+    ``source`` is a DataFrame (returned as is), a path (it holds a ``/``, a
+    backslash or a ``:``, or ends in ``.<fmt>``) read with ``fmt``, or a table
+    name with or without a dot. Nothing is read here: filters and column
+    lists of the operators reach the scan through Catalyst.
     """
     if isinstance(source, DataFrame):
         return source
     if spark is None:
         spark = SparkSession.getActiveSession()
     text = str(source)
-    if "/" not in text and "." in text and not text.endswith(f".{fmt}"):
-        return spark.table(text)
-    return spark.read.format(fmt).load(text)
+    if any(c in text for c in "/\\:") or text.endswith(f".{fmt}"):
+        return spark.read.format(fmt).load(text)
+    return spark.table(text)
 
 
 def missing_columns(df: DataFrame) -> list[str]:
@@ -47,26 +49,21 @@ def missing_columns(df: DataFrame) -> list[str]:
 
 
 def resolve_as_of(df: DataFrame, as_of=None, column: str = "event_time") -> dt.datetime:
-    """The evaluation instant.
+    """The evaluation instant (UTC wall time).
 
     An explicit value wins (a scheduled job passes its run time). Otherwise
-    the latest ``column`` value is taken with a global aggregate: a single
-    scalar comes back to the driver, and the result becomes a literal that
-    Catalyst pushes into every later scan. On a date-partitioned log the
-    latest date is found first, so the timestamp column is read for two
-    days only, not for the whole retention.
+    the latest ``column`` value of the whole log is taken with a global
+    aggregate over that one column: a scalar comes back to the driver and
+    becomes a literal that Catalyst pushes into every later scan.
     """
     if as_of is not None:
         return parse_as_of(as_of)
-    scope = df
-    if column == "event_time" and "event_date" in df.columns:
-        # latest partition first (reads the partition column only), then the
-        # exact instant from the last two days of partitions
-        last_day = df.agg(F.max("event_date").alias("d")).first()["d"]
-        if last_day is not None:
-            scope = df.filter(F.col("event_date") >= F.lit(
-                (last_day - dt.timedelta(days=1)).isoformat()).cast("date"))
-    latest = scope.agg(F.max(column).cast("string").alias("t")).first()["t"]
-    if latest is None:
-        raise ValueError("cannot derive as_of from an empty audit log")
-    return parse_as_of(latest)
+    if isinstance(df.schema[column].dataType, TimestampType):
+        micros = df.agg(F.unix_micros(F.max(column)).alias("t")).first()["t"]
+        if micros is not None:
+            return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    else:
+        text = df.agg(F.max(column).cast("string").alias("t")).first()["t"]
+        if text is not None:
+            return parse_as_of(text)
+    raise ValueError("cannot derive as_of from an empty audit log")

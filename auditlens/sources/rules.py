@@ -1,8 +1,8 @@
 """The alert-rule catalogue.
 
-Rules are data: a metric id plus parameters (window name, operator,
-threshold, schedule), never SQL text, so no template formatting or quoting
-can break them. The catalogue is a small configuration file read once on
+Rules are data: a metric (a packaged id or a declaration) plus parameters
+(window name, operator, threshold, schedule), never SQL text, so no template
+formatting or quoting can break them; they are a list or keyed by name. The catalogue is a small configuration file read once on
 the driver; the definitions built from it are a DataFrame (L7).
 """
 

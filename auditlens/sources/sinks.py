@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,26 +23,58 @@ def snapshot_root(spark: SparkSession) -> str:
 
 
 def snapshot(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet",
-             partition_by: list[str] | None = None) -> DataFrame:
-    """Materialise a frame (overwrite) in a shared folder and read it back.
+             partition_by: list[str] | None = None, keep: int = 2) -> DataFrame:
+    """Materialise a frame in a shared folder and read it back.
 
     This is the refresh of a materialised view: later readers see a fixed
     result and a short lineage, and a lost executor cannot force the
-    upstream scans to rerun. Without ``path`` the folder lies under the
-    session's checkpoint directory (a fresh sub-folder per call).
+    upstream scans to rerun. Each call writes a new version folder; frames
+    read before go on reading theirs, ``latest_snapshot`` gives the newest
+    whole one, and of a snapshot's versions the ``keep`` newest stay. Without
+    ``path`` the versions lie under the session's checkpoint directory.
     """
     spark = df.sparkSession
-    target = path or f"{snapshot_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    base = path or f"{snapshot_root(spark)}/{name}"
+    target = f"{base}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     # rebalance: AQE sizes the output partitions (no flood of small files from a wide
     # scan, skewed partitions split), clustered by the partition columns if any
     balanced = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    writer = balanced.write.mode("overwrite").format(fmt)
+    writer = balanced.write.mode("error").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
+    if path is not None:  # under the checkpoint folder versions belong to their session
+        prune_snapshots(spark, base, keep)
     return spark.read.format(fmt).load(target)
 
 
+def _versions(spark: SparkSession, base: str) -> tuple[object, list]:
+    """The file system of a snapshot's folder, and its version folders, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in fs.listStatus(folder) if x.isDirectory() and x.getPath().getName().startswith("v")] if fs.exists(
+        folder) else []
+    return fs, sorted(found, key=lambda p: p.getName())
+
+
+def latest_snapshot(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version of a snapshot that was written to its end."""
+    fs, versions = _versions(spark, base)
+    whole = [v for v in versions if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v, "_SUCCESS"))]
+    if not whole:
+        raise ValueError(f"no snapshot in {base}")
+    return spark.read.format(fmt).load(whole[-1].toString())
+
+
+def prune_snapshots(spark: SparkSession, base: str, keep: int = 2) -> int:
+    """Delete all but the ``keep`` newest versions; returns how many went."""
+    fs, versions = _versions(spark, base)
+    old = versions[:-keep] if keep else versions
+    for version in old:
+        fs.delete(version, True)
+    return len(old)
+
+
 def preview(df: DataFrame, analysis_col: str | None, key_col: str | None, n: int = 10) -> DataFrame:
     """A few assessed rows with a key (the notebooks' smoke reads)."""
     out = df

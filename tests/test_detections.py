@@ -37,7 +37,7 @@ def test_d8_status_rules_differ_between_branches(make_audit):
 
 
 def test_d8_single_scan_equals_union_of_branches(spark):
-    from auditlens.sources.fixture import audit_fixture
+    from tools.audit_fixture import audit_fixture
     audit = audit_fixture(spark, "/root/testdata/sf0.001")
     from auditlens.sources.audit import resolve_as_of
     as_of = resolve_as_of(audit)

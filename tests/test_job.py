@@ -4,7 +4,7 @@ import datetime as dt
 
 from auditlens.plans.job import run_job
 from auditlens.plans.pipeline import VIEW_NAMES, SecurityPipeline
-from auditlens.sources.fixture import audit_table, tags_fixture
+from tools.audit_fixture import audit_table, tags_fixture
 from conftest import SF_SMALL, bag
 
 

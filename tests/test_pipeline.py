@@ -3,7 +3,7 @@
 import pytest
 
 from auditlens.plans.pipeline import SecurityPipeline
-from auditlens.sources.fixture import audit_table, tags_fixture
+from tools.audit_fixture import audit_table, tags_fixture
 from conftest import SF_SMALL, bag
 from test_plans import _explain, _scans
 

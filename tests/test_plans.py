@@ -3,7 +3,7 @@
 from auditlens.operators import detections as D
 from auditlens.plans import shared_scan
 from auditlens.plans.pipeline import SecurityPipeline
-from auditlens.sources.fixture import audit_table, tags_fixture
+from tools.audit_fixture import audit_table, tags_fixture
 from conftest import SF_SMALL
 
 

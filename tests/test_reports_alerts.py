@@ -11,7 +11,7 @@ from auditlens.operators import alerts as L
 from auditlens.operators import reports as Q
 from auditlens.plans import shared_scan
 from auditlens.plans.pipeline import SecurityPipeline
-from auditlens.sources.fixture import audit_fixture, tags_fixture
+from tools.audit_fixture import audit_fixture, tags_fixture
 from conftest import AS_OF, SF_SMALL
 
 C1_SCHEMA = ("escalation_type string, actor string, target_user string, actor_activity_count bigint, "

@@ -4,7 +4,7 @@ import datetime as dt
 
 from auditlens.operators import detections as D
 from auditlens.sources.audit import resolve_as_of
-from auditlens.sources.fixture import audit_fixture, audit_table
+from tools.audit_fixture import audit_fixture, audit_table
 from auditlens.sources.rules import load_rules
 from auditlens.sources.sinks import preview, register_views, snapshot
 from conftest import SF_SMALL, bag

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlens.operators import detections as D
-from auditlens.sources.fixture import audit_from_events, tags_fixture
+from tools.audit_fixture import audit_from_events, tags_fixture
 from auditlens.streaming.detections import stream_detections
 from auditlens.streaming.thresholds import login_threshold
 from conftest import SF_MID, bag
@@ -106,7 +106,7 @@ def test_st2_both_entities_in_one_pass_equals_separate(spark):
 
 def test_streaming_job_cli_keeps_the_detections_table(spark, tmp_path):
     from auditlens.plans import shared_scan as SS
-    from auditlens.sources.fixture import audit_table
+    from tools.audit_fixture import audit_table
     from auditlens.streaming import detections as ST
 
     audit = audit_table(spark, "/root/testdata/sf0.001")

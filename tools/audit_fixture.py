@@ -25,7 +25,7 @@ S_EXPR = "(event_id*7+user_id)%20"
 FLAT_COLUMNS: list[tuple[str, str]] = [
     ("event_id", "event_id"),
     ("event_time", "ts"),
-    ("event_date", "CAST(ts AS DATE)"),
+    ("event_date", "CASE WHEN event_id%29=0 THEN NULL WHEN event_id%31=0 THEN CAST(ts AS DATE) - 3 ELSE CAST(ts AS DATE) END"),
     ("workspace_id", "CAST(user_id%2 AS BIGINT)"),
     ("service_name", "CASE WHEN s IN (12,13) THEN 'unityCatalog' WHEN s=15 THEN 'databrickssql' "
                      "WHEN s=16 THEN 'filesystem' WHEN s=17 THEN 'notebook' WHEN s=18 THEN 'dashboards' "
@@ -38,26 +38,28 @@ FLAT_COLUMNS: list[tuple[str, str]] = [
                     "WHEN s=16 THEN 'filesGet' WHEN s=17 AND k%2=0 THEN 'downloadLargeResults' "
                     "WHEN s=17 THEN 'downloadPreviewResults' WHEN s=18 THEN 'triggerDashboardSnapshot' "
                     "ELSE 'create' END"),
-    ("email", "CASE WHEN event_id%11<>0 THEN 'user'||CAST(user_id%10 AS STRING)||'@example.com' END"),
-    ("run_by", "CASE WHEN event_id%22<>0 THEN 'svc'||CAST(user_id%3 AS STRING) END"),
-    ("source_ip", "CASE WHEN event_id%13=0 THEN NULL WHEN event_id%4=0 THEN '10.0.1.'||CAST(event_id%37 AS STRING) "
-                  "ELSE '10.0.0.'||CAST((user_id*3+k)%16 AS STRING) END"),
+    ("email", "CASE WHEN event_id%7>1 THEN 'user'||CAST(CASE WHEN event_id%5<3 THEN user_id%4 ELSE user_id END AS STRING)"
+              "||'@example.com' END"),
+    ("run_by", "CASE WHEN event_id%7<>0 THEN 'svc'||CAST(user_id%3 AS STRING) END"),
+    ("source_ip", "CASE WHEN event_id%13=0 THEN NULL WHEN event_id%3=0 THEN '10.0.0.1' WHEN event_id%4=0 "
+                  "THEN '10.0.1.'||CAST(event_id%37 AS STRING) ELSE '10.1.'||CAST(event_id-event_id%40 AS STRING) END"),
     ("user_agent", "'agent/'||CAST(k%4 AS STRING)"),
     ("status_code", "CASE WHEN event_type='error' THEN 401 WHEN event_type='signup' AND s<=5 THEN 403 "
                     "WHEN event_type='view' THEN NULL ELSE 200 END"),
     ("error_message", "CASE WHEN event_type='error' THEN 'denied' END"),
     ("result", "CASE WHEN event_type='error' THEN 'fail' ELSE 'ok' END"),
-    ("p_user", "CASE WHEN s<=5 AND k%5<>0 THEN 'user'||CAST(user_id%10 AS STRING)||'@example.com' END"),
+    ("p_user", "CASE WHEN s<=5 AND k%5<>0 THEN 'user'||CAST(user_id AS STRING)||'@example.com' END"),
     ("p_auth", "CASE WHEN s>5 THEN NULL WHEN k%3=0 THEN 'password' WHEN k%3=1 THEN 'sso' ELSE 'token' END"),
-    ("p_target_name", "CASE WHEN s IN (6,7,9,10) AND event_id%17<>0 THEN 'target'||CAST(k%2 AS STRING) END"),
-    ("p_target_id", "CASE WHEN s IN (8,11) AND event_id%17<>0 THEN 'target'||CAST(k%2 AS STRING) END"),
+    ("p_target_name", "CASE WHEN s IN (6,7,9,10) AND event_id%17<>0 THEN 'target'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
+    ("p_target_id", "CASE WHEN s IN (8,11) AND event_id%17<>0 THEN 'target'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
     ("p_acl", "CASE WHEN s IN (8,11) THEN 'acl'||CAST(k%2 AS STRING) END"),
     ("p_group", "CASE WHEN s NOT IN (9,10) THEN NULL WHEN k%6=0 THEN 'admins' WHEN k%6=1 THEN 'account_admins' "
                 "WHEN k%6=2 THEN 'metastore_admins' WHEN k%6=3 THEN 'security-admins' ELSE 'analysts' END"),
     ("p_sec_type", "CASE WHEN s NOT IN (12,13) THEN NULL WHEN k%5=4 THEN 'FUNCTION' WHEN k%4=2 THEN 'CATALOG' "
                    "ELSE 'TABLE' END"),
-    ("p_sec_name", "CASE WHEN s NOT IN (12,13) THEN NULL WHEN k%4=0 THEN 'main.pii.t1' WHEN k%4=1 THEN 'main.hr.t2' "
-                   "WHEN k%4=2 THEN 'system' ELSE 'main.sales.t3' END"),
+    ("p_sec_name", "CASE WHEN s NOT IN (12,13) THEN NULL WHEN k%4=0 THEN 'main.pii.t1' "
+                   "WHEN k%4=1 THEN 'main.hr.t'||CAST(user_id%500+1 AS STRING) "
+                   "WHEN k%4=2 THEN 'system' ELSE 'main.sales.t'||CAST(user_id AS STRING) END"),
     ("p_changes", "CASE WHEN s NOT IN (12,13) THEN NULL "
                   "WHEN k%3=0 THEN '[{\"principal\":\"p1\",\"add\":[\"ALL_PRIVILEGES\"]},{\"principal\":\"p2\",\"add\":[\"SELECT\"]}]' "
                   "WHEN k%3=1 THEN '[{\"principal\":\"p1\",\"add\":[\"MANAGE\"]}]' "
@@ -66,10 +68,10 @@ FLAT_COLUMNS: list[tuple[str, str]] = [
     ("p_key_type", "CASE WHEN s=14 THEN 'type'||CAST(k%2 AS STRING) END"),
     ("p_key_name", "CASE WHEN s=14 THEN 'key'||CAST(k%3 AS STRING) END"),
     ("p_setting", "CASE WHEN s=14 AND k%7<>0 THEN 'on' END"),
-    ("p_query_id", "CASE WHEN s=15 THEN 'query'||CAST(k%2 AS STRING) END"),
-    ("p_path", "CASE WHEN s=16 THEN '/data/f'||CAST(k%2 AS STRING) END"),
-    ("p_notebook", "CASE WHEN s=17 THEN '/nb/n'||CAST(k%2 AS STRING) END"),
-    ("p_dashboard", "CASE WHEN s=18 THEN 'dash'||CAST(k%2 AS STRING) END"),
+    ("p_query_id", "CASE WHEN s=15 THEN 'query'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
+    ("p_path", "CASE WHEN s=16 THEN '/data/f'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
+    ("p_notebook", "CASE WHEN s=17 THEN '/nb/n'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
+    ("p_dashboard", "CASE WHEN s=18 THEN 'dash'||CAST(CASE WHEN k%3=0 THEN user_id ELSE user_id%2 END AS STRING) END"),
 ]
 
 # request_params key carried by each flat fixture column.
@@ -92,12 +94,13 @@ PARAM_KEYS: list[tuple[str, str]] = [
     ("dashboard_id", "p_dashboard"),
 ]
 
-# The table-tag fixture (catalog, schema, table, tag value).
-TAG_ROWS: list[tuple[str, str, str, str]] = [
-    ("main", "hr", "t2", "pii_email"),
-    ("main", "hr", "t2", "pii_name"),
-    ("main", "sales", "t3", "public"),
-]
+#: The table-tag fixture as SQL over ``supplier`` (every tenth table has two tags).
+TAGS_SQL = """
+SELECT 'main' AS catalog_name, 'hr' AS schema_name, 't' || CAST(s_suppkey AS STRING) AS table_name,
+       CASE s_suppkey % 3 WHEN 0 THEN 'pii_email' WHEN 1 THEN 'public' ELSE 'pii_name' END AS tag_value FROM supplier
+UNION ALL
+SELECT 'main', 'hr', 't' || CAST(s_suppkey AS STRING), 'pii_phone' FROM supplier WHERE s_suppkey % 10 = 2
+"""
 
 
 def flat_audit(events: DataFrame) -> DataFrame:
@@ -160,8 +163,8 @@ def audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole days) where ``service_name`` / ``action_name`` / ``event_time``
     predicates are pushed into parquet. The table is built by Spark from
     ``events`` (one pass, whole table) into the session's checkpoint
-    folder, one file per day sorted by service and action so row-group
-    statistics can skip unrelated rows, and reused for the session.
+    folder, files of AQE's advisory size, sorted by day, service and action so that
+    row-group statistics can skip unrelated rows, and reused for the session.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     key = _fixture_key(sf_dir)
@@ -170,13 +173,13 @@ def audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         if path is None:
             path = f"{root}/auditlens-fixture-{key}"
             frame = audit_from_events(events(spark, sf_dir))
-            (frame.repartition("event_date")
-                  .sortWithinPartitions("service_name", "action_name", "event_time")
+            (frame.hint("rebalance", "event_date")
+                  .sortWithinPartitions("event_date", "service_name", "action_name", "event_time")
                   .write.mode("overwrite").partitionBy("event_date").parquet(path))
             _BUILT[key] = path
     return spark.read.parquet(path)
 
 
-def tags_fixture(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        TAG_ROWS, "catalog_name string, schema_name string, table_name string, tag_value string")
+def tags_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(TAGS_SQL.replace("supplier", "{supplier}"),
+                     supplier=spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet"))

@@ -21,7 +21,7 @@ import pyarrow.parquet as pq  # noqa: E402
 
 from auditlens.operators import detections as D  # noqa: E402
 from auditlens.session import local_session  # noqa: E402
-from auditlens.sources.fixture import audit_from_events  # noqa: E402
+from tools.audit_fixture import audit_from_events  # noqa: E402
 from auditlens.streaming.thresholds import login_threshold  # noqa: E402
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
