@@ -216,7 +216,7 @@ def pandas_scorer(fn: Callable, conform: bool = True) -> Scorer:
         raw = _score.asNondeterministic()(prompt_col)
         if not conform:
             return raw
-        return F.when(raw.isNotNull(), F.to_json(parse_assessment(raw, family)))
+        return F.to_json(parse_assessment(raw, family))  # NULL stays NULL; one reference, so one call
 
     return scorer
 

@@ -8,9 +8,12 @@ ROOT = Path(__file__).resolve().parents[1]
 if str(ROOT) not in sys.path:
     sys.path.insert(0, str(ROOT))
 
+import __spark_entry__ as entry_point  # noqa: E402
 from auditlens.session import local_session  # noqa: E402
 from auditlens.sources.audit import AUDIT_SCHEMA  # noqa: E402
 
+#: The registered queries of the library itself (those of the training-data operators have tests of their own).
+OWN = {k for k in entry_point.queries() if not k.startswith("op") and k != "pipeline"}
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 AS_OF = dt.datetime(2024, 1, 30, 12, 0, 0)

@@ -81,13 +81,20 @@ def test_d6_fanout_wildcard_malformed(spark, make_audit):
     assert deduped == 3
 
 
-def test_d6_join_without_broadcast_gives_same_rows(spark, make_audit):
+def test_d6_join_is_chosen_by_size(spark, make_audit):
     tags = spark.createDataFrame([("main", "hr", "t2", "pii")],
                                  "catalog_name string, schema_name string, table_name string, tag_value string")
     audit = make_audit([_uc('[{"principal":"p1","add":["MANAGE"]}]')])
     small = D.uc_permission_escalations(audit, tags).count()
-    forced_shuffle = D.uc_permission_escalations(audit, tags, broadcast_max_rows=0).count()
-    assert small == forced_shuffle == 1
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        forced_shuffle = D.uc_permission_escalations(audit, tags)
+        from test_plans import _explain
+        assert "BroadcastHashJoin" not in _explain(forced_shuffle)
+        assert small == forced_shuffle.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_d4_only_sensitive_groups(make_audit):

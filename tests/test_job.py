@@ -11,17 +11,17 @@ from conftest import SF_SMALL, bag
 def test_run_job_writes_reports_and_alerts(spark, tmp_path):
     audit = audit_table(spark, SF_SMALL)
     tags_path = str(tmp_path / "tags")
-    tags_fixture(spark).write.parquet(tags_path)
+    tags_fixture(spark, SF_SMALL).write.parquet(tags_path)
     out = run_job(spark, audit, tags_path, str(tmp_path / "out"))
     assert set(out) == {f"q{i}" for i in range(1, 19)} | {"l6"}
     states = spark.read.parquet(out["l6"])
     assert states.count() == 5
-    ref = SecurityPipeline(audit, tags_fixture(spark))
+    ref = SecurityPipeline(audit, tags_fixture(spark, SF_SMALL))
     assert bag(spark.read.parquet(out["q9"])) == bag(ref.q9())
 
 
 def test_report_sql_runs_on_registered_views(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
+    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL))
     assert set(p.register_views()) == set(VIEW_NAMES)
     since = (p.as_of - dt.timedelta(hours=168)).isoformat(sep=" ")
     by_sql = spark.sql(f"""
@@ -40,8 +40,31 @@ def test_report_sql_runs_on_registered_views(spark):
 def test_job_with_a_pluggable_scorer(spark, tmp_path):
     from auditlens.plans.job import load_scorer
     audit = audit_table(spark, SF_SMALL)
-    out = run_job(spark, audit, tags_fixture(spark), str(tmp_path / "out"), scorer=load_scorer("fake_model:score"))
+    out = run_job(spark, audit, tags_fixture(spark, SF_SMALL), str(tmp_path / "out"), scorer=load_scorer("fake_model:score", spark))
     q3 = spark.read.parquet(out["q3"])
     assert q3.count() > 0 and {r.risk_level for r in q3.collect()} == {"HIGH"}
     q5 = spark.read.parquet(out["q5"]).first()
     assert q5.overall_risk_level == "LOW"
+
+
+def test_each_group_is_scored_once(spark):
+    from auditlens.functions import scoring as S
+    audit, tags = audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL)
+    sent = spark.sparkContext.accumulator(0)
+
+    def count(prompts, family):
+        sent.add(len(prompts))
+        return prompts.map(lambda p: '{"risk_level":"HIGH"}')
+
+    p = SecurityPipeline(audit, tags, scorer=S.pandas_scorer(count)).refresh()
+    for i in range(1, 19):
+        getattr(p, f"q{i}")().collect()
+    scored = sum(f.where("ai_comprehensive_analysis IS NOT NULL").count() for f in (
+        p.r_fl, p.r_de, p.r_aa, p.r_wa, p.r_sg, p.r_uc, p.r_as))
+    assert sent.value == scored + 1  # and the posture
+
+
+def test_job_takes_a_catalogue(spark, tmp_path):
+    rules = {"global": {}, "alerts": {"mine": {"metric": {"source": "d7"}, "comparison_operator": "GREATER_THAN", "threshold_value": 0}}}
+    out = run_job(spark, audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL), str(tmp_path / "out"), rules=rules)
+    assert [r.name for r in spark.read.parquet(out["l6"]).collect()] == ["mine"]

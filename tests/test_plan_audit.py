@@ -6,7 +6,7 @@ import contextlib
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from conftest import OWN, SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
@@ -18,7 +18,7 @@ def _explain(df):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_plan_has_no_product_and_no_python(spark, name):
     text = _explain(E.queries()[name](spark, SF_SMALL))
     found = [op for op in FORBIDDEN if op in text]

@@ -1,7 +1,6 @@
 """Plan shape: pushdown, one scan where promised, broadcast only behind a bound."""
 
 from auditlens.operators import detections as D
-from auditlens.plans import shared_scan
 from auditlens.plans.pipeline import SecurityPipeline
 from tools.audit_fixture import audit_table, tags_fixture
 from conftest import SF_SMALL
@@ -31,34 +30,39 @@ def test_detection_predicates_reach_the_scan(spark):
 
 
 def test_lookback_reaches_the_scan(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
+    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL))
     text = _explain(p.a4)
     assert "GreaterThanOrEqual(event_time," in text
 
 
 def test_d8_is_one_scan(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
+    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL))
     assert _scans(_explain(p.d8)) == 1
 
 
-def test_shared_metric_scan_is_one_scan_and_one_aggregate(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
-    hours = {shared_scan.AUTH_EVENTS: 24, shared_scan.ADMIN_ASSIGNMENTS: 24,
-             shared_scan.DATA_EXPORTS: 168, shared_scan.UC_ESCALATIONS: 720}
-    text = _explain(shared_scan.rule_metric_counts(p.audit, p.tags, p.as_of, hours))
-    assert _scans(text) == 1
-    assert "BroadcastHashJoin" in text
+def test_building_a_frame_runs_no_job(spark):
+    audit, tags = audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL)
+    as_of = SecurityPipeline(audit, tags).as_of
+    tracker, group = spark.sparkContext.statusTracker(), "lazy-frames"
+    spark.sparkContext.setJobGroup(group, "frames are only built")
+    p = SecurityPipeline(audit, tags, as_of=as_of)
+    for name in ("d6", "d8", "a3", "r_uc", "c1", "c3"):
+        getattr(p, name)
+    p.l6()
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_tags_side_not_broadcast_beyond_bound(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
-    small = _explain(D.uc_permission_escalations(p.audit, p.tags))
-    large = _explain(D.uc_permission_escalations(p.audit, p.tags, broadcast_max_rows=0))
-    assert "BroadcastHashJoin" in small
-    assert "SortMergeJoin" in large or "ShuffledHashJoin" in large or "BroadcastHashJoin" in large
+def test_rules_on_one_layer_share_a_scan(spark):
+    from auditlens.operators import alerts as L
+    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL))
+    rules = [("a", 24, L.METRICS["auth_events_count"]), ("b", 168, L.METRICS["auth_events_count"])]
+    text = _explain(L.rule_values(lambda layer, hours: p.d1, rules, p.as_of))
+    assert _scans(text) == 1 and "GreaterThanOrEqual" not in text.split("PushedFilters")[0]
 
 
 def test_summaries_use_partial_aggregation(spark):
-    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark))
-    text = _explain(p.a3)
-    assert "partial_count" in text and "partial_collect_set" in text
+    p = SecurityPipeline(audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL))
+    assert "partial_collect_set" in _explain(p.a3)
+    lean = _explain(p.a3_counts)
+    assert "partial_count" in lean and "collect_set" not in lean

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from auditlens.functions.scoring import ANALYSIS_COLUMN
 from auditlens.operators import alerts as L
 from auditlens.operators import reports as Q
-from auditlens.plans import shared_scan
+from auditlens.functions.exprs import since
+from auditlens.operators import detections as D
 from auditlens.plans.pipeline import SecurityPipeline
 from tools.audit_fixture import audit_fixture, tags_fixture
 from conftest import AS_OF, SF_SMALL
@@ -69,16 +70,16 @@ def test_q4_counts_groups_and_having(spark):
 ])
 def test_alert_operators_and_empty_state(spark, op, value, threshold, state):
     rules = {"global": {}, "time_intervals": {"short": 24},
-             "alerts": [{"name": "r", "display_name": "r", "metric": "m", "time_interval": "short",
+             "alerts": [{"name": "r", "display_name": "r", "metric": "auth_events_count", "time_interval": "short",
                          "comparison_operator": op, "threshold_value": threshold}]}
     defs = L.alert_definitions(spark, rules)
-    metrics = spark.createDataFrame([("m", value)], "metric string, value bigint")
-    assert L.evaluate_alerts(metrics, defs, AS_OF).first().state == state
+    values = spark.createDataFrame([("r", value)], "name string, value bigint")
+    assert L.evaluate_alerts(values, defs, AS_OF).first().state == state
 
 
 def test_unknown_interval_falls_back_and_bad_operator_fails(spark):
     rules = {"global": {}, "time_intervals": {"default": 168},
-             "alerts": [{"name": "r", "display_name": "r", "metric": "m", "time_interval": "weird",
+             "alerts": [{"name": "r", "display_name": "r", "metric": "auth_events_count", "time_interval": "weird",
                          "comparison_operator": "GREATER_THAN", "threshold_value": 1}]}
     with pytest.warns(UserWarning):
         row = L.definition_rows(rules)[0]
@@ -105,17 +106,63 @@ def test_alert_document_round_trip(spark):
     assert one["notification"]["subscriptions"] == [{}]          # NULL e-mail left out
 
 
-def test_shared_scan_equals_separate_counts(spark):
-    p = SecurityPipeline(audit_fixture(spark, SF_SMALL), tags_fixture(spark))
-    hours = {shared_scan.AUTH_EVENTS: 24, shared_scan.ADMIN_ASSIGNMENTS: 24,
-             shared_scan.DATA_EXPORTS: 168, shared_scan.UC_ESCALATIONS: 720}
-    shared = {r.metric: r.value for r in shared_scan.rule_metric_counts(p.audit, p.tags, p.as_of, hours).collect()}
-    separate = {shared_scan.AUTH_EVENTS: p.l1().first().value, shared_scan.ADMIN_ASSIGNMENTS: p.l2().first().value,
-                shared_scan.DATA_EXPORTS: p.l3().first().value, shared_scan.UC_ESCALATIONS: p.l4().first().value}
-    assert shared == separate
-    forced = {r.metric: r.value for r in shared_scan.rule_metric_counts(
-        p.audit, p.tags, p.as_of, hours, broadcast_max_rows=0).collect()}
-    assert forced == separate
+def _catalogue(*alerts, **intervals):
+    return {"global": {}, "time_intervals": {"day": 24, "week": 168, "month": 720, **intervals}, "alerts": list(alerts)}
+
+
+def _alert(name, metric, interval="day", op="GREATER_THAN", threshold=0):
+    return {"name": name, "metric": metric, "time_interval": interval, "comparison_operator": op, "threshold_value": threshold}
+
+
+def test_two_rules_on_one_metric_keep_their_windows(spark):
+    from auditlens.streaming.detections import stream_candidates
+    audit, tags = audit_fixture(spark, SF_SMALL), tags_fixture(spark, SF_SMALL)
+    rules = _catalogue(_alert("d", "auth_events_count"), _alert("w", "auth_events_count", "week"),
+                       _alert("m", "auth_events_count", "month"), _alert("x", "data_export_count", "month"),
+                       _alert("u", "uc_permission_escalations_count", "month"),
+                       _alert("s", {"source": "d7", "aggregate": "count_distinct", "column": "key_name"}, "month"))
+    table = stream_candidates(audit)
+    for hours in (24, 168, 336):
+        plain = SecurityPipeline(audit, tags, lookback_hours=hours, rules=rules, shared_scan=False)
+        got = {r.name: r.value for r in plain.l6().collect()}
+        d1 = D.auth_events(audit)
+        for name, h in (("d", 24), ("w", 168), ("m", 720)):
+            assert got[name] == since(d1, plain.as_of, h).count()
+        assert got["x"] == D.data_export_detection(audit, plain.as_of).count() == plain.l3().first().value
+        for other in (SecurityPipeline(audit, tags, as_of=plain.as_of, lookback_hours=hours, rules=rules),
+                      SecurityPipeline(audit, tags, as_of=plain.as_of, lookback_hours=hours, rules=rules, detections=table)):
+            assert {r.name: r.value for r in other.l6().collect()} == got
+            assert other.l3().first().value == got["x"]
+
+
+def test_catalogue_as_mapping_and_its_errors():
+    listed = _catalogue(_alert("a", "auth_events_count"))
+    keyed = {**listed, "alerts": {"a": {k: v for k, v in listed["alerts"][0].items() if k != "name"}}}
+    assert L.definition_rows(listed) == L.definition_rows(keyed)
+    for bad in ("no_such_metric", {"source": "d9"}, {"source": "d1", "aggregate": "median", "column": "user"},
+                {"source": "d1", "aggregate": "sum"}, {"source": "d1", "sql": "x"},
+                {"source": "d1", "filter": [{"column": "user", "operator": "LIKE", "value": "x"}]}):
+        with pytest.raises(ValueError):
+            L.definition_rows(_catalogue(_alert("a", bad)))
+    with pytest.raises(ValueError):
+        L.definition_rows(_catalogue(_alert("a", "auth_events_count"), _alert("a", "data_export_count")))
+
+
+def test_the_same_instant_in_any_session_time_zone(spark, tmp_path):
+    from auditlens.sources.audit import resolve_as_of
+    path = str(tmp_path / "audit")  # instants on disk, as a real log has them
+    audit_fixture(spark, SF_SMALL).withColumn("event_time", F.col("event_time").cast("timestamp")).write.parquet(path)
+    tags, got = tags_fixture(spark, SF_SMALL), {}
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            audit = spark.read.parquet(path)
+            p = SecurityPipeline(audit, tags, as_of=dt.datetime(2024, 1, 30, 20, tzinfo=dt.timezone.utc))
+            got[zone] = [resolve_as_of(audit), p.as_of, *(f().first()[0] for f in (p.l1, p.l2, p.l3, p.l4)),
+                         sorted((r.name, r.value) for r in p.l6().collect())]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got["UTC"] == got["America/New_York"] and got["UTC"][2] > 0
 
 
 def test_l5_sum_is_null_when_nothing_high(spark):
@@ -124,9 +171,9 @@ def test_l5_sum_is_null_when_nothing_high(spark):
 
 
 def test_l6_states_on_fixture(spark):
-    p = SecurityPipeline(audit_fixture(spark, "/root/testdata/sf0.01"), tags_fixture(spark))
+    p = SecurityPipeline(audit_fixture(spark, "/root/testdata/sf0.01"), tags_fixture(spark, "/root/testdata/sf0.01"))
     states = {r.name: (r.value, r.state) for r in p.l6().collect()}
-    assert states["failed_login_alert"] == (38.0, "TRIGGERED")
-    assert states["account_admin_assignment"] == (26.0, "TRIGGERED")
+    for name, layer, hours in (("failed_login_alert", p.d1, 24), ("account_admin_assignment", p.d2, 24)):
+        assert states[name] == (since(layer, p.as_of, hours).count(), "TRIGGERED")
     assert set(states) == {"failed_login_alert", "account_admin_assignment", "data_export_alert",
                            "uc_permission_escalation", "data_export_ai_alert"}

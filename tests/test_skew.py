@@ -41,4 +41,7 @@ def test_two_phase_equals_naive_under_skew(spark):
         F.max("event_time").alias("last_attempt"))
     assert bag(got) == bag(naive)
     hot = got.filter(F.col("entity_id") == "10.9.9.9").first()
+    lean = A.failed_login_patterns(d1, AS_OF, hours=None, lists=False).filter("detection_type = 'IP_BASED'")
+    assert bag(lean.select("entity_id", "failed_attempts", "unique_entities")) == bag(
+        naive.select("entity_id", "failed_attempts", "unique_entities"))
     assert hot.failed_attempts == 10_000 and hot.unique_entities == len(hot.related_entities) > 1000

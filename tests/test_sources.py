@@ -28,6 +28,24 @@ def test_views_and_snapshots(spark):
     assert "auditlens-fixture" not in _explain(snap)
 
 
+def test_snapshot_versions(spark, tmp_path):
+    from auditlens.sources.sinks import latest_snapshot
+    base = str(tmp_path / "snap")
+    first = snapshot(spark.range(1), "s", base)
+    snapshot(spark.range(2), "s", base)
+    assert first.count() == 1                                     # a reader keeps its version
+    snapshot(spark.range(3), "s", base)
+    assert latest_snapshot(spark, base).count() == 3 and len(list((tmp_path / "snap").iterdir())) == 2
+
+
+def test_table_names_and_paths(spark, tmp_path):
+    from auditlens.sources.audit import audit
+    path = str(tmp_path / "log")
+    spark.range(2).write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("audit_log")
+    assert audit("audit_log", spark).count() == audit(path, spark).count() == 2
+
+
 def test_preview_filters_and_limits(spark):
     df = spark.createDataFrame([(i, None if i % 2 else "x") for i in range(30)], "k int, a string")
     rows = preview(df, "a", "k").collect()

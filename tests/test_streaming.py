@@ -42,7 +42,7 @@ def _run(spark, df, name, checkpoint):
 def test_st1_stream_equals_batch(spark, event_files, tmp_path):
     stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 3).parquet(str(event_files))
     batch_audit = audit_from_events(spark.read.parquet(f"{SF_MID}/events.parquet"))
-    tags = tags_fixture(spark)
+    tags = tags_fixture(spark, SF_MID)
     frames = stream_detections(audit_from_events(stream), tags)
     for key, batch in (("d2", D.account_admin_assignments(batch_audit)),
                        ("d6", D.uc_permission_escalations(batch_audit, tags)),
@@ -88,7 +88,7 @@ def test_stream_kept_detections_table_feeds_the_job(spark, event_files, tmp_path
     q.awaitTermination(600)
 
     audit = audit_from_events(spark.read.parquet(f"{SF_MID}/events.parquet"))
-    tags = tags_fixture(spark)
+    tags = tags_fixture(spark, SF_MID)
     batch = SecurityPipeline(audit, tags)
     fed = SecurityPipeline(audit, tags, as_of=batch.as_of, detections=spark.read.parquet(table))
     for name in ("a3", "a7", "a9", "c1", "c2"):

@@ -1,5 +1,7 @@
 """Summaries, scoring and consolidation: unit rows and properties."""
 
+import json
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -98,7 +100,7 @@ def test_pandas_scorer_is_called_per_batch_and_keeps_nulls(make_audit):
 
 def test_consolidation_row_count_and_posture(spark):
     audit = audit_fixture(spark, SF_SMALL)
-    tags = tags_fixture(spark)
+    tags = tags_fixture(spark, SF_SMALL)
     as_of = resolve_as_of(audit)
     r = [R.assess_account_admin(A.account_admin_activity(D.account_admin_assignments(audit), as_of)),
          R.assess_workspace_acl(A.workspace_acl_activity(D.workspace_acl_assignments(audit), as_of)),
@@ -127,12 +129,12 @@ def test_posture_with_pluggable_scorer(spark):
                                "event_type string, event_count bigint, last_event timestamp_ntz")
 
     def fake(prompts: pd.Series, family: str) -> pd.Series:
-        return prompts.map(lambda p: '{"overall_risk_level":"%s","seen":"%s"}' % (family, p[-20:]))
+        return prompts.map(lambda p: '{"overall_risk_level":"%s","seen":%d}' % (family, len(p)))
 
     row = C.posture_summary(c2, AS_OF, S.pandas_scorer(fake)).first()
     assert row[S.POSTURE_COLUMN] == '{"overall_risk_level":"security_posture_summary"}'
     row = C.posture_summary(c2, AS_OF, S.pandas_scorer(fake, conform=False)).first()
-    assert '"seen":"' in row[S.POSTURE_COLUMN]
+    assert '"seen":' in row[S.POSTURE_COLUMN]
     default = C.posture_summary(c2, AS_OF).first()[S.POSTURE_COLUMN]
     assert default.startswith('{"overall_risk_level":"HIGH","key_risk_areas":["failed_logins","privilege_escalations"]')
 
@@ -143,7 +145,9 @@ def test_prompt_is_null_when_a_field_is_null(make_audit):
     a9 = A.export_activity(D.data_export_detection(make_audit(rows), AS_OF))
     out = {r.artifact: r.prompt for r in R.with_prompt(a9, R.DATA_EXPORT).collect()}
     assert out[None] is None
-    assert out["/f"].startswith("Assess this data export activity. Actor=a@x, Source=filesystem")
+    asked, _, data = out["/f"].partition(" Data: ")
+    assert "risk_level is one of HIGH, MEDIUM, LOW; risk_factors, immediate_actions, long_term_recommendations" in asked
+    assert json.loads(data)["actor"] == "a@x" and json.loads(data)["source"] == "filesystem"
 
 
 def test_property_group_counts_sum_to_window_rows(spark):
@@ -164,3 +168,22 @@ def test_lookback_keeps_rows_without_a_date(make_audit):
     from auditlens.functions.exprs import since
     d1 = D.auth_events(make_audit([audit_row(status=401, email="a@x", ip="1.1.1.1")]))
     assert since(d1.withColumn("event_date", F.lit(None).cast("date")), AS_OF, 24).count() == 1
+
+
+def test_lagging_dates_lose_no_row_and_a_declared_contract_prunes(spark):
+    from auditlens.functions.exprs import DatePartition, since
+    from auditlens.operators import alerts as L
+    audit = audit_fixture(spark, "/root/testdata/sf0.01")
+    as_of = resolve_as_of(audit)
+    late = audit.withColumn("event_date", F.date_sub(F.col("event_time").cast("date"), 3))
+    assert resolve_as_of(late) == resolve_as_of(late.withColumn("event_date", F.lit(None).cast("date"))) == as_of
+    want = L.failed_login_alert(D.auth_events(audit), as_of).first().value
+    assert want > 0 and L.failed_login_alert(D.auth_events(late), as_of).first().value == want
+    assert since(late, as_of, 24, contract=DatePartition("event_date", 3)).count() == since(late, as_of, 24).count()
+
+
+def test_actor_unique_targets_with_a_null_actor(make_audit):
+    rows = [audit_row(action="setAdmin", email=e, params={"targetUserName": t} if t else {})
+            for e, t in (("a@x", "t1"), ("a@x", "t2"), ("a@x", "t2"), (None, "t1"), (None, None))]
+    got = A.actor_unique_targets(D.account_admin_assignments(make_audit(rows)), AS_OF)
+    assert {(r.actor, r.actor_unique_targets) for r in got.collect()} == {("a@x", 2), (None, 1)}
