@@ -76,6 +76,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def places(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(known, values)`` for many values: asked in order, so that memory is read in order."""
+    order = np.argsort(values)
+    out = np.empty(len(values), np.int64)
+    out[order] = np.searchsorted(known, values[order])
+    return out
+
+
 def crc_of_id(column: str | Column) -> Column:
     """crc32 of the id as text (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string") if isinstance(column, str) else column.cast("string"),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.llm.chunks import CHUNK_BYTES, Chunks, answers_at, by_slot
-from auditlens.llm.shared import blocks, run_folder
+from auditlens.llm.shared import blocks, places, run_folder
 from auditlens.llm.words import Words
 
 WINDOW = 35
@@ -186,7 +186,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
 
 def member(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which values a sorted array holds."""
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    at = np.minimum(places(known, values), len(known) - 1)
     return known[at] == values
 
 
