@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.shared import blocks, mix, run_folder, written
+from auditlens.llm.shared import blocks, mix, run_folder, unboxed, written
 from auditlens.llm.words import Words, shingles
 
 WORDS = 5
@@ -349,8 +349,11 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
                    f"{folder}/stay")
     repeated = found.where("class_id is not null").join(best.select("row_key"), "row_key").groupBy("row_key").count().where(
         "count > 1")
-    out = docs.withColumn("_key", row_key()).join(stay.withColumnRenamed("row_key", "_key"), "_key", "left_semi")
+    columns = docs.columns
+    kept = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"),
+                       F.struct(*(F.col(f"`{c}`") for c in columns if c != "text"), F.lit(True).alias("_")).alias("row"))
+    out = kept.join(stay, "row_key", "left_semi")
     if repeated.limit(1).count():
         words = F.regexp_like(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-        out = out.where(~words).unionByName(out.where(words).dropDuplicates(["_key"]))
-    return out.drop("_key")
+        out = out.where(~words).unionByName(out.where(words).dropDuplicates(["row_key"]))
+    return unboxed(out, columns)

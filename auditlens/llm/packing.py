@@ -142,14 +142,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", folder
     """
     spark = pieces.sparkSession
     folder = folder or run_folder(spark, "pack")
-    kept = pieces.drop("sequence_id", "offset")
-    position = kept.columns.index(length)
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    kept = pieces.select(F.col(length).cast("long").alias("_l"), F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Adds the task and the rank of each row among the task's rows of its length."""
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            size = batch.column(position).fill_null(0).to_numpy()
+            size = batch.column(0).fill_null(0).to_numpy()
             if len(size) and (size.min() < 1 or size.max() > capacity):
                 raise ValueError(f"lengths must lie in 1..{capacity}")
             order = np.argsort(size, kind="stable")
@@ -163,15 +163,15 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", folder
     numbered = T.StructType([*nullable(kept.schema).fields, T.StructField("_task", T.LongType()),
                              T.StructField("_rank", T.LongType())])
     ranked = written(kept.mapInArrow(number, numbered), f"{folder}/ranked")
-    per_task = ranked.groupBy(F.col(length).alias("_l"), F.col("_task").alias("_t")).agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy("_l").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    per_task = ranked.groupBy("_l", "_task").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy("_l").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     before = per_task.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
     counts = {r["_l"]: r["n"] for r in per_task.groupBy("_l").agg(F.sum("_n").alias("n")).collect()}  # <= capacity rows
     rows = plan({int(k): int(v) for k, v in counts.items()}, capacity)
-    steps = F.broadcast(spark.createDataFrame(rows, PLAN).withColumnRenamed("length", "_pl"))  # bounded by capacity
-    placed = ranked.join(before.drop("_n"), (F.col(length) == F.col("_l")) & (F.col("_task") == F.col("_t")))
+    steps = F.broadcast(spark.createDataFrame(rows, PLAN))  # bounded by capacity
+    placed = ranked.join(before.drop("_n"), ["_l", "_task"])
     placed = placed.withColumn("_r", F.col("_rank") + F.col("_before")).join(
-        steps, (F.col(length) == F.col("_pl")) & (F.col("_r") >= F.col("rank_from")) & (F.col("_r") < F.col("rank_to")))
+        steps, (F.col("_l") == F.col("length")) & (F.col("_r") >= F.col("rank_from")) & (F.col("_r") < F.col("rank_to")))
     at = F.col("_r") - F.col("rank_from")
-    return placed.select(*kept.columns, (F.col("first_bin") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
-                         (F.col("base") + at % F.col("per_bin") * F.col(length)).cast("long").alias("offset"))
+    return placed.select("_row.*", (F.col("first_bin") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
+                         (F.col("base") + at % F.col("per_bin") * F.col("_l")).cast("long").alias("offset"))

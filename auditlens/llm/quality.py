@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.llm.shared import blocks, mix, nullable
+from auditlens.llm.shared import blocks, boxed, mix, nullable, unboxed
 from auditlens.llm.words import Words, inverse, powers
 from auditlens.session import ship_module
 
@@ -145,12 +145,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int =
 def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on).
 
-    Every row keeps its columns (columns of the two names are replaced). A
+    Every row keeps its columns, whatever they are called (columns of the two names are replaced). A
     null or empty text has no n-grams and is scored by its length alone.
     """
     spark = docs.sparkSession
     ship_module(spark)
     docs = docs.drop("score", "predicted")
+    held = boxed(docs)
     shared = spark.sparkContext.broadcast(weights)
     bits = (len(weights) - 1).bit_length() - 1
 
@@ -167,4 +168,5 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7) -> DataF
                                              names=[*block.schema.names, "score", "predicted"])
 
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return docs.mapInArrow(judge, T.StructType([*nullable(docs.schema).fields, *added]))
+    scored = held.mapInArrow(judge, T.StructType([*nullable(held.schema).fields, *added]))
+    return unboxed(scored, docs.columns, F.col("score"), F.col("predicted"))

@@ -28,6 +28,17 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path)
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """``text`` and one struct ``row`` of all other columns: added columns then clash with none of them."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.col("text").cast("string").alias("text"), F.struct(*others, F.lit(True).alias("_")).alias("row"))
+
+
+def unboxed(docs: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The columns as they were before ``boxed``, and more."""
+    return docs.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns), *more)
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.llm.chunks import CHUNK_BYTES, Chunks, answers_at, by_slot
-from auditlens.llm.shared import blocks, places, run_folder
+from auditlens.llm.shared import blocks, boxed, places, run_folder, unboxed
 from auditlens.llm.words import Words
 
 WINDOW = 35
@@ -60,8 +60,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
     if not 0 < 2 * anchor <= window + 1:
         raise ValueError("a window must hold a whole anchor block wherever it stands: anchor <= (window + 1) / 2")
     folder = folder or run_folder(docs.sparkSession, "repeats")
-    docs = docs.drop("n_words", "n_removed", "kept_text").withColumn("text", F.col("text").cast("string"))
-    chunks = Chunks(docs, folder, chunk_bytes)
+    columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
+    chunks = Chunks(boxed(docs), folder, chunk_bytes)
     slots = max(1, -(-chunks.count * chunk_bytes // SLOT_BYTES))
 
     def probes(chunk: int, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
@@ -181,7 +181,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
 
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
              T.StructField("kept_text", T.StringType())]
-    return chunks.map(cut, added, second)
+    return unboxed(chunks.map(cut, added, second), columns, *(F.col(f.name) for f in added))
 
 
 def member(known: np.ndarray, values: np.ndarray) -> np.ndarray:

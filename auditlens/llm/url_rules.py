@@ -97,8 +97,11 @@ def judge(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", url:
     fetched = F.flatten(F.transform(keys, lambda t: F.element_at(filed, t)))
     whole = F.concat("host", "path")
     best = F.array_min(F.filter(fetched, lambda r: F.rlike(whole, r["pattern"])))
-    return named.withColumn("_best", best).withColumns(
-        {"rule": F.col("_best.text"), "verdict": F.coalesce(F.col("_best.verdict"), F.lit(default))}).drop("_best")
+    name = "_best"
+    while name in named.columns:
+        name += "_"
+    return named.withColumn(name, best).withColumns(
+        {"rule": F.col(f"{name}.text"), "verdict": F.coalesce(F.col(f"{name}.verdict"), F.lit(default))}).drop(name)
 
 
 ORACLE_SQL = r"""

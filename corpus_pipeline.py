@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from auditlens.llm import decontaminate, near_dup, packing, quality, substring_dedup
 from auditlens.llm.queries import byte_bpe, table
-from auditlens.llm.shared import run_folder, written
+from auditlens.llm.shared import boxed, run_folder, unboxed, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -27,7 +27,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts are judged by their length alone; rows stay as they are, repeated ones too.
     """
     weights = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights).where("predicted = 1").select(docs.columns)
+    return unboxed(quality.score(boxed(docs), weights).where("predicted = 1"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +42,11 @@ def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     by one space, with n_chars to match; a document of which nothing is left is
     left out.
     """
-    cut = substring_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.where("n_removed = 0 OR n_removed < n_words").withColumns(changed).select(docs.columns)
+    cut = substring_dedup.remove_repeats(boxed(docs)).where("n_removed = 0 OR n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    size = F.when(changed, F.char_length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))
+    cut = cut.withColumn("row", F.col("row").withField("n_chars", size)) if "n_chars" in docs.columns else cut
+    return unboxed(cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text"))), docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
