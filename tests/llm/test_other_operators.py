@@ -1,0 +1,232 @@
+"""Decontamination, quality, fingerprints, URL rules and archives: brute force, round trips, odd rows."""
+
+import collections
+import gzip
+import hashlib
+import io
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from auditlens.llm import decontaminate, fingerprints, quality, url_rules, warc
+from auditlens.llm.queries import ORACLE_SQL, QUERIES, RULES
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+BENCH = "item_id long, text string"
+
+
+def against_sql(spark, name, tables, folder):
+    got = QUERIES[name](spark, folder)
+    con = duckdb.connect()
+    for t in tables:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet{'' if folder == SF else '/*.parquet'}'")
+    result = con.execute(ORACLE_SQL[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == sorted(got.columns)
+    rows = sorted(map(repr, result.fetchall()))
+    assert sorted(repr(tuple(r[c] for c in names)) for r in got.collect()) == rows
+    return got
+
+
+# decontamination
+
+def greedy(a, b, k):
+    """Longest common run of unmarked words first, by plain search."""
+    ma, mb, out = [False] * len(a), [False] * len(b), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not ma[i + n] and not mb[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < k:
+            return out
+        ma[i:i + n] = [True] * n
+        mb[j:j + n] = [True] * n
+        out += n
+
+
+def test_tiles_equal_plain_greedy_search():
+    r = random.Random(1)
+    for _ in range(150):
+        a, b = ([r.choice("abcd") for _ in range(r.randrange(1, 25))] for _ in range(2))
+        starts = [(i, j) for i in range(len(a) - 1) for j in range(len(b) - 1) if a[i:i + 2] == b[j:j + 2]]
+        found = decontaminate.tiles(np.array(a), np.array(b), starts, 2) if starts else []
+        assert sum(t[2] for t in found) == greedy(a, b, 2)
+        assert all(a[i:i + n] == b[j:j + n] for i, j, n in found)
+
+
+def test_contaminated_documents(spark, docs_of):
+    item = [f"q{i}" for i in range(30)]
+    swapped = item[15:] + ["between"] + item[:15]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "tiny item"), (3, None), (4, ""), (None, "an item without any id")], BENCH)
+    rows = [(1, "before " + " ".join(item).upper() + " after"), (2, " ".join(swapped)), (3, " ".join(item[:14])),
+            (4, " ".join(item[:16])), (5, None), (6, ""), (7, "a TINY\nitem here"), (None, " ".join(item)), (8, "word " * 20000),
+            (9, " ".join(w for x in item for w in (x, "z"))), (1, "twice an item without any id")]
+    docs = docs_of(rows)
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 1), (7, 2), (None, 1), (1, None)}
+    assert got[2, 1].coverage == 1.0 and len(got[2, 1].tiles) == 2 and got[4, 1].matched_words == 16
+    for size in (1 << 20, 60):  # in one block and in several
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block_bytes=size).collect()} == set(got)
+    clean = decontaminate.decontaminated(docs.withColumn("item_id", F.lit(1)), bench)
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 5, 6, 8, 9] and clean.columns[-1] == "item_id"
+    assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
+    assert decontaminate.contaminated(docs.where("false"), bench).count() == 0
+    assert decontaminate.decontaminated(docs, bench.where("false")).count() == len(rows)
+
+
+# quality
+
+def test_quality_learns_shapes_and_scores_odd_rows(spark, docs_of):
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("aeiounrst") for _ in range(r.randrange(2, 8)))
+    good = lambda: " ".join(word() for _ in range(r.randrange(1, 60))).capitalize() + "."
+    bad = lambda: " ".join(word().upper() + r.choice(("!!", "###", "$$$")) for _ in range(r.randrange(1, 60)))
+    rows = [(i, bad() if i % 5 == 0 else good()) for i in range(600)]
+    docs = docs_of(rows)
+    labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i in range(300)] + [(None, 1), (7, None), (9999, 0), (3, 1)],
+                                   "doc_id long, quality int")
+    weights = quality.fit(docs, labels)
+    odd = docs_of([*rows, (None, None), (-1, ""), (-2, "x" * 200_000)]).selectExpr("*", "'mine' AS score", "1 AS row")
+    out = quality.score(odd, weights)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "row", "score", "predicted"]
+    got = out.collect()
+    assert len(got) == 603 and all(0 <= x.score <= 1 and x.predicted == int(x.score >= 0.7) for x in got)
+    unseen = [x for x in got if x.doc_id is not None and x.doc_id >= 300]
+    assert sum(x.predicted == int(x.doc_id % 5 != 0) for x in unseen) >= 0.99 * len(unseen)
+    assert not quality.fit(docs, labels.where("false")).any()
+    assert quality.score(docs.where("false"), weights).count() == 0
+
+
+def test_quality_on_held_out_rows(spark):
+    d = "/root/testdata/sf0.1"
+    got = QUERIES["op3_quality"](spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out")
+    rows = got.select("quality", "predicted").collect()
+    assert sum(r.quality == r.predicted for r in rows) >= 0.98 * len(rows) > 500
+    assert sum(r.predicted for r in rows if r.quality == 1) >= 0.995 * sum(r.quality for r in rows)
+
+
+# fingerprints
+
+def bag(text):
+    return collections.Counter(w for w in re.split(r"[\x20\x09-\x0D]+", text) if w)
+
+
+def generalised_jaccard(a, b):
+    a, b = bag(a), bag(b)
+    return sum((a & b).values()) / sum((a | b).values()) if a or b else 1.0
+
+
+def test_fingerprints_and_neighbours(spark, docs_of):
+    r = random.Random(4)
+    texts = [" ".join(f"w{min(r.randrange(60), r.randrange(60))}" for _ in range(r.randrange(0, 120))) for _ in range(150)]
+    rows = [(i * 3, t) for i, t in enumerate(texts)] + [(1, None), (2, ""), (4, texts[0]), (None, "null id"), (0, texts[0]),
+                                                        (5, "é\U0001F600x"), (7, "z " * 9000)]
+    got = fingerprints.fingerprints(docs_of(rows)).collect()
+    order = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is None, -(x[0] or 0)))
+    assert len(got) == len(rows)
+    prints, near = {}, []
+    for k, (doc, text) in enumerate(order):
+        follow = order[(k + 1) % len(order)][1]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + follow[:half]
+        own = [g for g in got if g.doc_id == doc]
+        assert len(own) == rows.count((doc, text)) + rows.count((doc, None)) * (text == "")
+        for g in own:
+            assert (g.n_chars, g.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+            assert prints.setdefault(text, g.fingerprint) == g.fingerprint
+            assert prints.setdefault(edited, g.edited_fingerprint) == g.edited_fingerprint
+            near += [(g.near_edited, generalised_jaccard(text, edited)), (g.near_next, generalised_jaccard(text, follow))]
+    x = np.array(near)
+    assert abs((x[:, 0] - x[:, 1]).mean()) < 0.02 and np.sqrt(((x[:, 0] - x[:, 1]) ** 2).mean()) < 0.11
+    assert fingerprints.fingerprints(docs_of(rows).where("false")).count() == 0
+    alone = fingerprints.fingerprints(docs_of([(1, "a b c d")])).first()
+    assert alone.near_next == 1.0
+
+
+def test_fingerprints_run_no_python(spark):
+    plan = QUERIES["op5_fingerprints"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# URL rules
+
+def test_url_rules_against_sql(spark, tmp_path):
+    against_sql(spark, "op7_url_rules", ["pages"], SF)
+    urls = ["http://example.org/es/1", "HTTP://A.EXAMPLE.ORG/en/12?x#y", "http://myexample.org/es/", "https://fr.com/fr", "x://com/fr/",
+            "https://a.com/fr/?q", "https://a.com/FR/", "no scheme.org/es/", None, "", "://", "a://b://example.org/es/",
+            "http://example.org", "http://example.org/", "http://org/", "http://É.org/x", "http://a.com:80/de/", "http://com#/de/", "q?u=http://x.com/de/1"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    against_sql(spark, "op7_url_rules", ["pages"], str(tmp_path))
+
+
+def test_url_rules_of_any_kind(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/x.y/z"), (1, "http://a.b/x.y/z"), (None, None), (2, "http://a.b/xqy/z")],
+                                  "page_id long, url string").withColumn("_best", F.lit(0)).withColumn("rule", F.lit("old"))
+    rules = [url_rules.Rule("block", "b", "/x.y/"), url_rules.Rule("allow", "a.b", "/x"), url_rules.Rule("block", "b", "/")]
+    got = url_rules.judge(pages, rules, "review")
+    assert got.columns == ["page_id", "url", "_best", "host", "path", "rule", "verdict"]
+    assert sorted(map(repr, ((r.page_id, r.rule, r.verdict) for r in got.collect()))) == sorted(map(repr, [
+        (1, "b/x.y/", "block"), (1, "b/x.y/", "block"), (None, None, "review"), (2, "a.b/x", "allow")]))
+    assert url_rules.judge(pages, []).where("rule IS NULL AND verdict = 'allow'").count() == 4
+    assert url_rules.judge(pages.where("false"), RULES).count() == 0
+    with pytest.raises(ValueError):
+        url_rules.judge(pages, [url_rules.Rule("block", "b", "x")])
+    plan = QUERIES["op7_url_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+# archives
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_records_and_their_warc_form(version):
+    http = b"HTTP/1.1 200 OK\r\nX-Page-Id: 7\r\nContent-Length: 4\r\n\r\n<a>\n"
+    data = warc.arc_file_header("f.arc", version) + warc.arc_record(version, "http://a b/\n", http, "f.arc", 0)
+    data += warc.arc_record(version, "dns:x", b"1.2.3.4", "f.arc", 0, "text/dns") + b"http://cut 0.0.0.0 2024 t" + (b" 200 - - 0 f 9" if version == 2 else b" 9") + b"\nabc"
+    records = list(warc.read_arc(io.BytesIO(data)))
+    assert [r.body for r in records[1:]] == [http, b"1.2.3.4", b"abc"] and records[1].fields["url"] == "http://a%20b/%0A"
+    assert [r.truncated for r in records] == [False, False, False, True]
+    stream = io.BytesIO(b"".join(warc.warc_record(r, "f.arc", i) for i, r in enumerate(records)))
+    out = list(warc.read_warc(stream))
+    assert [f["warc-type"] for f, _ in out] == ["warcinfo", "response", "resource", "resource"]
+    fields, block = out[1]
+    assert block == http and fields["x-page-id"] == "7" and fields["warc-date"] == "2024-01-01T00:00:00Z"
+    assert fields["warc-payload-digest"] == warc.sha1_32(b"<a>\n") and fields["warc-block-digest"] == warc.sha1_32(http)
+    assert out[3][0]["warc-truncated"] == "unspecified" and len({f["warc-record-id"] for f, _ in out}) == 4
+    for broken in (b"http://x 0.0.0.0 2024 t 3\nabc", warc.arc_file_header("f", version) + b"a b\n", b"filedesc://f 0.0.0.0 2024 t 2\n9 "):
+        with pytest.raises(ValueError):
+            list(warc.read_arc(io.BytesIO(broken)))
+
+
+def test_archives_against_sql(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_PER_FILE", 7)
+    big, bytes_999 = "<p>é</p>" * 200, "x" * 999
+    pages = [(i, f"http://x/{i}", [big, bytes_999, "y" * 1000, "", None, f"only {i}"][i % 6]) for i in range(60)]
+    pages += [(100, None, big), (101, "http://a b\n", "HTTP/1.1 404\r\n\r\nno header\n\nof ours")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).write.parquet(str(tmp_path / "pages.parquet"))
+    got = against_sql(spark, "op10_warc", ["pages"], str(tmp_path))
+    assert got.where("record_type = 'revisit'").count() == 10 + 9
+    with_null = spark.createDataFrame([(None, "u", big), (None, "u", big), (3, "u", big), (3, "u", big)], "page_id long, url string, html string")
+    folder = warc.archive(with_null.withColumn("file", F.lit(1)), str(tmp_path / "w"))
+    rows = warc.read_archives(spark, folder).collect()
+    assert sorted((r.record_type, str(r.page_id), str(r.refers_to)) for r in rows) == [
+        ("response", "3", "None"), ("revisit", "3", "3"), ("revisit", "None", "3"), ("revisit", "None", "3")]
+    names = [r.file for r in spark.read.parquet(f"{folder}/warc-files").collect()]
+    for name in names:
+        with gzip.open(f"{folder}/warc/{name}") as f:
+            assert f.read(10) == b"WARC/1.1\r\n"
+    assert warc.read_archives(spark, warc.archive(with_null.where("false"), str(tmp_path / "e"))).count() == 0
+
+
+def test_registered_queries_and_ids():
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert zlib.crc32(b"7") % 4 in range(4)
