@@ -23,7 +23,8 @@ from auditlens.llm.shared import run_folder, slots, written
 
 SAMPLES = 32
 _SPACE = r"[\x20\x09-\x0D]+"
-KEY = ("doc_id", "text_hash")
+#: A document's key, without nulls: so joins and groups on it share one partitioning.
+KEY = ("id", "no_id", "text_hash")
 
 
 def uniform(bits: Column, shift: int, width: int) -> Column:
@@ -74,13 +75,13 @@ def likeness(a: Column, b: Column, samples: int) -> Column:
 
 
 def neighbours(docs: DataFrame, folder: str) -> DataFrame:
-    """For each distinct (doc_id, text_hash) n_chars, copies, and key and n_chars of the row that it follows.
+    """For each distinct key n_chars, copies, and key and n_chars of the row that it follows.
 
-    The order is descending by doc_id (null ids last), then by text_hash; the first row follows the last.
+    The order is descending by id (null ids last), then by text_hash; the first row follows the last.
     """
     spark = docs.sparkSession
     rows = docs.groupBy(*KEY).agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("text_hash")]
+    order = [F.asc("no_id"), F.desc("id"), F.asc("text_hash")]
     held = written(rows.repartitionByRange(slots(spark), *order).withColumn("part", F.spark_partition_id()), f"{folder}/keys")
     own = F.struct(*KEY, "n_chars")
     within = Window.partitionBy("part").orderBy(*order)
@@ -93,10 +94,6 @@ def neighbours(docs: DataFrame, folder: str) -> DataFrame:
         *KEY, "n_chars", "copies", F.coalesce("before", "entry").alias("before"))
 
 
-def same_key(a: str, b: str) -> Column:
-    return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.text_hash") == F.col(f"{b}.text_hash"))
-
-
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, folder: str | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -110,32 +107,32 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, folder: str | None = N
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "fingerprints")
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    docs = docs.select(F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"), body.alias("text")).select(
+        "id", "no_id", F.xxhash64("text").alias("text_hash"), "text")
     order = written(neighbours(docs.select(*KEY, F.char_length("text").alias("n_chars")), folder), f"{folder}/order")
     if order.where("copies > 1").limit(1).count():
         docs = docs.dropDuplicates(list(KEY))
     # more partitions than usual, as the words of all texts of a partition are counted at once
     dealt = docs.repartition(4 * slots(spark), *KEY)
-    ahead = dealt.alias("d").join(order.alias("o"), same_key("d", "o")).select(
-        F.col("o.before.doc_id").alias("doc_id"), F.col("o.before.text_hash").alias("text_hash"),
-        F.expr("substring(d.text, 1, CAST(o.before.n_chars DIV 2 AS INT))").alias("ahead"),
-        F.col("d.doc_id").alias("next_id"), F.col("d.text_hash").alias("next_hash"))
-    n = F.char_length("d.text")
-    both = dealt.alias("d").join(ahead.alias("a"), same_key("d", "a")).select(
-        F.col("d.doc_id").alias("doc_id"), F.col("d.text_hash").alias("text_hash"), F.col("d.text").alias("text"),
-        F.concat(F.substring("d.text", F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("ahead")).alias("edited"), "next_id", "next_hash")
+    ahead = dealt.join(order.select(*KEY, "before"), list(KEY)).select(
+        *(F.col(f"before.{k}").alias(k) for k in KEY),
+        F.expr("substring(text, 1, CAST(before.n_chars DIV 2 AS INT))").alias("ahead"),
+        *(F.col(k).alias(f"next_{k}") for k in KEY))
+    n = F.char_length("text")
+    following = [f"next_{k}" for k in KEY]
+    both = dealt.join(ahead, list(KEY)).select(
+        *KEY, "text", F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("ahead")).alias("edited"),
+        *following)
     drawn = signatures(both, ["text", "edited"], list(KEY), samples)
     base = both.select(*KEY, F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "next_id", "next_hash")
-    made = base.alias("b").join(drawn.alias("s"), same_key("b", "s"), "left").select(
-        "b.*", printed("s.text", samples).alias("fingerprint"), printed("s.edited", samples).alias("edited_fingerprint"))
+                       *following)
+    made = base.join(drawn, list(KEY), "left").select(
+        *base.columns, printed("text", samples).alias("fingerprint"), printed("edited", samples).alias("edited_fingerprint"))
     made = written(made, f"{folder}/made")
-    following = made.select("doc_id", "text_hash", F.col("fingerprint").alias("next_fingerprint"))
-    near = made.alias("m").join(following.alias("f"), F.col("m.next_id").eqNullSafe(F.col("f.doc_id"))
-                                & (F.col("m.next_hash") == F.col("f.text_hash")))
-    out = near.select("m.*", likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
+    nexts = made.select(*(F.col(k).alias(f"next_{k}") for k in KEY), F.col("fingerprint").alias("next_fingerprint"))
+    near = made.join(nexts, following).join(order.select(*KEY, "copies"), list(KEY))
+    out = near.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                      likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
                       likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"))
-    out = out.alias("x").join(order.where("copies > 1").alias("o"), same_key("x", "o"), "left").select(
-        "x.*", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("o.copies"), F.lit(1)).cast("int"))).alias("copy"))
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
