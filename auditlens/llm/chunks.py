@@ -125,10 +125,10 @@ class Answers:
     def __init__(self, path: str, spark):
         self.path, self.spark = path, spark
 
-    def notes(self) -> list[tuple[int, bytes]]:
-        """The notes to the caller: slot and payload, a few bytes for each slot."""
+    def notes(self) -> DataFrame:
+        """The notes to the caller: slot and payload."""
         found = self.spark.read.schema("chunk long, slot int, payload binary, part long").parquet(self.path)
-        return [(r["slot"], bytes(r["payload"])) for r in found.where(F.col("part") == -1).select("slot", "payload").collect()]
+        return found.where(F.col("part") == -1).select("slot", "payload")
 
 
 class Reader:
