@@ -7,7 +7,7 @@ to the batch refresh). D6 joins the stream with a static tag table.
 As a job (keeps the detections table the periodic job reads)::
 
     spark-submit -m auditlens.streaming.detections --audit <folder> --schema-from <table>
-        --out <detections table> --checkpoint <shared folder> [--available-now]
+        --out <detections table> --checkpoint <shared folder> [--available-now] [--trigger "10 minutes"]
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from auditlens.operators import detections as D
 from auditlens.plans import shared_scan
 from auditlens.sources.audit import AUDIT_SCHEMA
+from auditlens.sources.sinks import snapshot
 
 
 def read_audit_stream(spark: SparkSession, path: str, schema: str = AUDIT_SCHEMA,
@@ -79,6 +80,15 @@ def start_append(df: DataFrame, checkpoint: str, sink: Callable | str = "parquet
     return writer.start()
 
 
+def compact(spark: SparkSession, table: str, path: str, fmt: str = "parquet", keep: int = 2) -> DataFrame:
+    """The detections table so far as a new snapshot version of few, large files (read it with ``latest_snapshot``).
+
+    The stream's own folder and file log stay as they are; a periodic job
+    that reads the compacted version lists a few files for each rule.
+    """
+    return snapshot(spark.read.format(fmt).load(table), "detections", path, fmt, partition_by=["rule"], keep=keep)
+
+
 def main(argv=None) -> None:
     import argparse
 
@@ -89,6 +99,7 @@ def main(argv=None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--available-now", action="store_true")
+    parser.add_argument("--trigger", default="10 minutes", help="time between micro-batches: longer ones write fewer, larger files")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("auditlens-detections-stream").getOrCreate()
     schema = AUDIT_SCHEMA
@@ -96,7 +107,7 @@ def main(argv=None) -> None:
         from auditlens.sources.audit import audit as open_source
         schema = open_source(args.schema_from, spark, args.format).schema
     stream = read_audit_stream(spark, args.audit, schema, args.format)
-    trigger = {"availableNow": True} if args.available_now else {"processingTime": "1 minute"}
+    trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
     query = start_append(stream_candidates(stream), args.checkpoint, args.format, path=args.out,
                          trigger=trigger, partition_by=["rule", "event_date"])
     query.awaitTermination()

@@ -96,6 +96,13 @@ def test_stream_kept_detections_table_feeds_the_job(spark, event_files, tmp_path
     assert bag(fed.l6()) == bag(batch.l6())
     assert bag(fed.q9()) == bag(batch.q9())
 
+    from auditlens.sources.sinks import latest_snapshot
+    from auditlens.streaming.detections import compact
+    compact(spark, table, str(tmp_path / "compacted"))
+    small = latest_snapshot(spark, str(tmp_path / "compacted"))
+    assert bag(small.select("rule", "event_time", "actor")) == bag(spark.read.parquet(table).select("rule", "event_time", "actor"))
+    assert len(small.inputFiles()) < len(spark.read.parquet(table).inputFiles())
+
 
 def test_st2_both_entities_in_one_pass_equals_separate(spark):
     d1 = D.auth_events(audit_from_events(spark.read.parquet(f"{SF_MID}/events.parquet")))
