@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.llm.shared import blocks, filesystem, nullable, written
+from auditlens.llm.shared import blocks, filesystem, nullable, tidy, written
 
 CHUNK_BYTES = 8 << 20
 _SHIFT = 20  # chunk = task << 20 | number within the task
@@ -92,6 +92,7 @@ class Chunks:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([slot], pa.int32()), pa.array([chunk], pa.int64()), pa.array([payload], pa.binary())],
                             names=["slot", "chunk", "payload"])
+            tidy()
 
         def answers(table: pa.Table) -> pa.Table:
             slot = table.column("slot")[0].as_py()
@@ -117,6 +118,7 @@ class Chunks:
             for batch in batches:
                 for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     yield from fn(chunk, unpacked(body), reader.of(chunk))
+            tidy()
 
         return self.rows.mapInArrow(run, schema)
 

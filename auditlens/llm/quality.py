@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.llm.shared import blocks, boxed, mix, nullable, unboxed
+from auditlens.llm.shared import blocks, boxed, mix, nullable, tidy, unboxed
 from auditlens.llm.words import Words, inverse, powers
 from auditlens.session import ship_module
 
-MAX_ROWS = 20_000
+MAX_ROWS = 10_000
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[0x80:] = ord("a")
 _SHAPE[ord("a"):ord("z") + 1] = ord("a")
@@ -136,6 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int =
             for at, value, y in examples:
                 model.learn(at, value, y)
         weights = model.weights(slice(None)).astype("<f4")
+        del examples, model
+        tidy()
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
     fitted = rows.repartition(1).sortWithinPartitions("_o").mapInArrow(train, "weights binary").collect()
