@@ -6,17 +6,18 @@ import contextlib
 import ctypes
 import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.session import ensure_checkpoint_dir, ship_module
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -69,10 +70,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def blocks(batches: Iterable[pa.RecordBatch], text: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``size`` bytes of text (always one row at least)."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text)).fill_null("").cast(pa.large_binary())
+        column = batch.column(batch.schema.get_field_index(text))
         if not len(column):
             continue
-        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+        ends = np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1]  # no copy
         at = 0
         while at < len(column):
             to = int(np.searchsorted(ends, ends[at] + size, "right")) - 1
@@ -83,8 +85,29 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str, size: int = BLOCK_BYTES
         tidy()
 
 
+#: What a worker keeps from task to task (by name: the task that used it last, and the thing itself).
+HELD: dict[str, tuple[int, object]] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """A costly thing that later tasks of the same operator use again."""
+    thing = HELD[name][1] if name in HELD else make()
+    HELD[name] = (task_id(), thing)
+    return thing
+
+
+def task_id() -> int:
+    context = TaskContext.get()
+    return context.taskAttemptId() if context else 0
+
+
 def tidy() -> None:
-    """Gives memory that a task no longer needs back to the system: workers stay for later tasks."""
+    """Gives memory that a task no longer needs back to the system: workers stay for later tasks.
+
+    Things held for another operator's tasks go too.
+    """
+    for name in [name for name, (task, _) in HELD.items() if task != task_id()]:
+        del HELD[name]
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # glibc only

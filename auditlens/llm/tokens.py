@@ -14,6 +14,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from auditlens.llm.shared import held, text_bytes
 from auditlens.llm.words import Words
 
 #: First bytes of the white space outside ASCII, in UTF-8 (fixed values of the vocabulary's pattern).
@@ -21,7 +22,6 @@ _WIDE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", *(b"\xe2\x80" + bytes([x]) f
          b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _LEADS = np.zeros(256, bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
-_encoders: dict[str, Encoder] = {}
 
 
 class Table:
@@ -164,8 +164,6 @@ class Encoder:
     @staticmethod
     def with_wide_space(column: pa.Array) -> np.ndarray:
         """Texts that hold white space outside ASCII (rare: encoded as a whole)."""
-        from auditlens.llm.shared import text_bytes
-
         data, offsets = text_bytes(column)
         out = np.zeros(len(column), bool)
         at = np.flatnonzero(_LEADS[data])
@@ -180,6 +178,4 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return held(f"encoder of {path}", lambda: Encoder(path))
