@@ -62,20 +62,20 @@ def signatures(texts: DataFrame, columns: list[str], keys: list[str], samples: i
     return counts.groupBy(*keys).agg(*drawn)
 
 
-def printed(column: str, samples: int) -> Column:
-    """Samples as text, eight hexadecimal digits each."""
-    return F.concat(*(F.lower(F.lpad(F.hex(F.xxhash64(F.col(f"{column}_{k}")).bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
-                      for k in range(samples)))
+def compact(column: str, samples: int) -> Column:
+    """Samples in binary, four bytes each."""
+    return F.unhex(F.concat(*(F.lpad(F.hex(F.xxhash64(F.col(f"{column}_{k}")).bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")
+                              for k in range(samples))))
 
 
 def likeness(a: Column, b: Column, samples: int) -> Column:
-    """Share of equal samples of two fingerprints."""
-    same = [(F.substring(a, 8 * k + 1, 8) == F.substring(b, 8 * k + 1, 8)).cast("int") for k in range(samples)]
+    """Share of equal samples of two binary fingerprints."""
+    same = [(F.substring(a, 4 * k + 1, 4) == F.substring(b, 4 * k + 1, 4)).cast("int") for k in range(samples)]
     return sum(same[1:], same[0]) / float(samples)
 
 
 def neighbours(docs: DataFrame, folder: str) -> DataFrame:
-    """For each distinct key n_chars, copies, and key and n_chars of the row that it follows.
+    """For each distinct key the key, n_chars and copies of the row that it follows.
 
     The order is descending by id (null ids last), then by text_hash; the first row follows the last.
     """
@@ -83,7 +83,7 @@ def neighbours(docs: DataFrame, folder: str) -> DataFrame:
     rows = docs.groupBy(*KEY).agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
     order = [F.asc("no_id"), F.desc("id"), F.asc("text_hash")]
     held = written(rows.repartitionByRange(slots(spark), *order).withColumn("part", F.spark_partition_id()), f"{folder}/keys")
-    own = F.struct(*KEY, "n_chars")
+    own = F.struct(*KEY, "n_chars", "copies")
     within = Window.partitionBy("part").orderBy(*order)
     ranked = held.select("*", F.lag(own).over(within).alias("before"), F.lead(own).over(within).isNull().alias("is_last"))
     ends = ranked.where("is_last").select("part", own.alias("own"))  # a row for each range of ids
@@ -91,7 +91,7 @@ def neighbours(docs: DataFrame, folder: str) -> DataFrame:
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     entries = ends.select("part", F.coalesce(F.lag("own").over(along), F.last("own").over(whole)).alias("entry"))
     return ranked.join(F.broadcast(entries), "part").select(
-        *KEY, "n_chars", "copies", F.coalesce("before", "entry").alias("before"))
+        *KEY, F.coalesce("before", "entry").alias("before"))
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, folder: str | None = None) -> DataFrame:
@@ -111,28 +111,28 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, folder: str | None = N
     docs = docs.select(F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"), body.alias("text")).select(
         "id", "no_id", F.xxhash64("text").alias("text_hash"), "text")
     order = written(neighbours(docs.select(*KEY, F.char_length("text").alias("n_chars")), folder), f"{folder}/order")
-    if order.where("copies > 1").limit(1).count():
+    if order.where("before.copies > 1").limit(1).count():
         docs = docs.dropDuplicates(list(KEY))
     # more partitions than usual, as the words of all texts of a partition are counted at once
     dealt = docs.repartition(4 * slots(spark), *KEY)
-    ahead = dealt.join(order.select(*KEY, "before"), list(KEY)).select(
-        *(F.col(f"before.{k}").alias(k) for k in KEY),
+    ahead = dealt.join(order, list(KEY)).select(
+        *(F.col(f"before.{k}").alias(k) for k in KEY), F.col("before.copies").alias("copies"),
         F.expr("substring(text, 1, CAST(before.n_chars DIV 2 AS INT))").alias("ahead"),
         *(F.col(k).alias(f"next_{k}") for k in KEY))
     n = F.char_length("text")
     following = [f"next_{k}" for k in KEY]
     both = dealt.join(ahead, list(KEY)).select(
         *KEY, "text", F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("ahead")).alias("edited"),
-        *following)
+        "copies", *following)
     drawn = signatures(both, ["text", "edited"], list(KEY), samples)
-    base = both.select(*KEY, F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       *following)
+    base = both.select(*KEY, F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+                       "copies", *following)
     made = base.join(drawn, list(KEY), "left").select(
-        *base.columns, printed("text", samples).alias("fingerprint"), printed("edited", samples).alias("edited_fingerprint"))
+        *base.columns, compact("text", samples).alias("fingerprint"), compact("edited", samples).alias("edited_fingerprint"))
     made = written(made, f"{folder}/made")
     nexts = made.select(*(F.col(k).alias(f"next_{k}") for k in KEY), F.col("fingerprint").alias("next_fingerprint"))
-    near = made.join(nexts, following).join(order.select(*KEY, "copies"), list(KEY))
-    out = near.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    out = made.join(nexts, following).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    text = [F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
+    return out.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_chars", *text,
                       likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
                       likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"))
