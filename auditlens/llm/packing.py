@@ -21,12 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from auditlens.llm.shared import blocks, nullable, run_folder, written
+from auditlens.llm.shared import blocks, run_folder, written
 from auditlens.llm.tokens import encoder
 from auditlens.session import ship_module
 
@@ -143,35 +141,23 @@ def pack(pieces: DataFrame, capacity: int = 2048, length: str = "length", folder
     spark = pieces.sparkSession
     folder = folder or run_folder(spark, "pack")
     columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    kept = pieces.select(F.col(length).cast("long").alias("_l"), F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the task and the rank of each row among the task's rows of its length."""
-        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            size = batch.column(0).fill_null(0).to_numpy()
-            if len(size) and (size.min() < 1 or size.max() > capacity):
-                raise ValueError(f"lengths must lie in 1..{capacity}")
-            order = np.argsort(size, kind="stable")
-            first = np.searchsorted(size[order], size[order])
-            rank = np.empty(len(size), np.int64)
-            rank[order] = np.arange(len(size)) - first + seen[size[order]]
-            seen += np.bincount(size, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(size), task)), pa.array(rank)],
-                                             names=[*batch.schema.names, "_task", "_rank"])
-
-    numbered = T.StructType([*nullable(kept.schema).fields, T.StructField("_task", T.LongType()),
-                             T.StructField("_rank", T.LongType())])
-    ranked = written(kept.mapInArrow(number, numbered), f"{folder}/ranked")
-    per_task = ranked.groupBy("_l", "_task").agg(F.count("*").alias("_n"))
+    # one Python worker per task at most: rows are numbered by Spark, and ranked without their payload
+    held = written(pieces.select(F.col(length).cast("long").alias("_l"), F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_row"),
+                                 F.monotonically_increasing_id().alias("_id"), F.spark_partition_id().alias("_task")), f"{folder}/pieces")
+    of_task = Window.partitionBy("_l", "_task").orderBy("_id")
+    ranked = held.select("_l", "_task", "_id", (F.row_number().over(of_task) - 1).alias("_rank"))
+    per_task = held.groupBy("_l", "_task").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy("_l").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     before = per_task.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
     counts = {r["_l"]: r["n"] for r in per_task.groupBy("_l").agg(F.sum("_n").alias("n")).collect()}  # <= capacity rows
+    if any(n is None or not 0 < n <= capacity for n in counts):
+        raise ValueError(f"lengths must lie in 1..{capacity}")
     rows = plan({int(k): int(v) for k, v in counts.items()}, capacity)
     steps = F.broadcast(spark.createDataFrame(rows, PLAN))  # bounded by capacity
     placed = ranked.join(before.drop("_n"), ["_l", "_task"])
     placed = placed.withColumn("_r", F.col("_rank") + F.col("_before")).join(
         steps, (F.col("_l") == F.col("length")) & (F.col("_r") >= F.col("rank_from")) & (F.col("_r") < F.col("rank_to")))
     at = F.col("_r") - F.col("rank_from")
-    return placed.select("_row.*", (F.col("first_bin") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
-                         (F.col("base") + at % F.col("per_bin") * F.col("_l")).cast("long").alias("offset"))
+    placed = placed.select("_id", (F.col("first_bin") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
+                           (F.col("base") + at % F.col("per_bin") * F.col("_l")).cast("long").alias("offset"))
+    return held.select("_id", "_row").join(placed, "_id").select("_row.*", "sequence_id", "offset")
