@@ -43,8 +43,8 @@ THRESHOLD = 75  # per cent
 BANDS, ROWS = 48, 5
 MANTISSA = 10
 _VALUE_BITS = 40
-#: Below this estimate a pair is not confirmed: more than four standard errors under the threshold.
-ESTIMATE = 0.6
+#: Below this estimate a pair is not confirmed: seven standard errors under the threshold, and room for tiny sets.
+ESTIMATE = 0.5
 BLOCK = 1024  # classes of a bucket that are compared at once
 
 
