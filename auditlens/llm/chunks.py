@@ -9,7 +9,8 @@ own them (a shuffle); each slot sees all chunks' entries for its keys at
 once and answers each chunk. The answers are written to shared storage by
 the writer task of the chunk, and the next pass over the chunks reads those
 of its own. No text is shuffled, a key that is frequent in a chunk travels
-once, and a slot holds as many keys whatever the size of the corpus.
+once, and a slot holds as many keys whatever the size of the corpus, if the
+caller deals them out evenly (operator 9 splits its large contexts for that).
 """
 
 from __future__ import annotations
@@ -78,17 +79,20 @@ class Chunks:
         self.tallies = stored.where("chunk < 0").select("body")
         self.count = self.rows.select("chunk").count()
 
-    def ask(self, name: str, emit: Callable, answer: Callable) -> Answers:
+    def ask(self, name: str, emit: Callable, answer: Callable, source: DataFrame | None = None) -> Answers:
         """A round of questions and answers.
 
         ``emit(chunk, batch)`` gives (slot, payload) pairs; ``answer(slot,
         chunks, payloads)`` gives (chunk, payload) pairs, of which negative
-        chunks are notes to the caller.
+        chunks are notes to the caller. ``source``: rows of chunk and body to
+        emit from in place of the texts; ``emit`` gets the body as it is.
         """
+        plain = source is not None
+
         def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    for slot, payload in emit(chunk, unpacked(body)):
+                    for slot, payload in emit(chunk, body.as_buffer() if plain else unpacked(body)):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([slot], pa.int32()), pa.array([chunk], pa.int64()), pa.array([payload], pa.binary())],
                             names=["slot", "chunk", "payload"])
@@ -102,7 +106,7 @@ class Chunks:
             return pa.table({"part": pa.array([c >> _SHIFT for c in chunks], pa.int64()), "chunk": pa.array(chunks, pa.int64()),
                              "slot": pa.array([slot] * len(out), pa.int32()), "payload": pa.array([p for _, p in out], pa.binary())})
 
-        asked = self.rows.mapInArrow(questions, "slot int, chunk long, payload binary")
+        asked = (source if plain else self.rows).mapInArrow(questions, "slot int, chunk long, payload binary")
         given = asked.groupBy("slot").applyInArrow(answers, "part long, chunk long, slot int, payload binary")
         path = f"{self.folder}/{name}"
         given.repartition("part").write.mode("error").option("compression", "zstd").partitionBy("part").parquet(path)
