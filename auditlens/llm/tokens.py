@@ -79,7 +79,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():

@@ -58,3 +58,29 @@ def test_blocks_cover_every_row():
     got = [b for b in blocks([batch, batch.slice(0, 0)], "text", 12)]
     assert [x for b in got for x in b.column(0).to_pylist()] == list(range(7))
     assert max(b.num_rows for b in got) > 1
+
+
+MARKED = ["end <|endoftext|> next", "a<|endoftext|>b", "<|endoftext|>", "a  <|endoftext|>\n\n <|endoftext|>  b", " <|endoftext|><|endoftext|> c",
+          "x <|endoftext", "<|endoftext|> ", "a <|endoftext|>　b", "it's<|endoftext|>'s <|endoftext|>12"]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_the_end_sign_in_a_text_is_one_id(encoder, plain):
+    for texts in (MARKED, MARKED[::-1], [" ".join(MARKED)] + ODD):
+        ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+        for i, t in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "\n", "a", "B1", "'s", "<|", "\t", "　", "."])).map("".join), max_size=6))
+def test_ids_of_any_text_with_end_signs(encoder, plain, texts):
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
