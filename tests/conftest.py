@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -8,15 +7,7 @@ ROOT = Path(__file__).resolve().parents[1]
 if str(ROOT) not in sys.path:
     sys.path.insert(0, str(ROOT))
 
-import __spark_entry__ as entry_point  # noqa: E402
 from auditlens.session import local_session  # noqa: E402
-from auditlens.sources.audit import AUDIT_SCHEMA  # noqa: E402
-
-#: The registered queries of the library itself (those of the training-data operators have tests of their own).
-OWN = {k for k in entry_point.queries() if not k.startswith("op") and k != "pipeline"}
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-AS_OF = dt.datetime(2024, 1, 30, 12, 0, 0)
 
 
 @pytest.fixture(scope="session")
@@ -24,19 +15,10 @@ def spark():
     return local_session("*", shuffle_partitions=8)
 
 
-def audit_row(t_hours_ago=1.0, service="accounts", action="login", status=200, email=None, run_by=None,
-              ip=None, agent="agent/0", params=None, workspace=1):
-    """One audit row, ``t_hours_ago`` before AS_OF."""
-    t = AS_OF - dt.timedelta(hours=t_hours_ago)
-    return (t, t.date(), service, action, workspace, agent, ip, (email,), (run_by,),
-            (status, None, None), params or {})
-
-
-TEST_SCHEMA = AUDIT_SCHEMA.replace("event_time TIMESTAMP,", "event_time TIMESTAMP_NTZ,")
-
-
 @pytest.fixture
 def make_audit(spark):
+    from audit_rows import TEST_SCHEMA
+
     def build(rows):
         return spark.createDataFrame(rows, TEST_SCHEMA)
     return build
@@ -45,8 +27,3 @@ def make_audit(spark):
 @pytest.fixture
 def empty_tags(spark):
     return spark.createDataFrame([], "catalog_name string, schema_name string, table_name string, tag_value string")
-
-
-def bag(df):
-    """Rows of a DataFrame as an order-free comparable list."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

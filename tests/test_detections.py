@@ -1,7 +1,7 @@
 """Detection operators on hand-written audit rows (the traps of SURVEY section 2)."""
 
 from auditlens.operators import detections as D
-from conftest import AS_OF, audit_row, bag
+from audit_rows import AS_OF, audit_row, bag
 
 
 def test_d1_failed_logins_null_status_and_username_fallback(make_audit, empty_tags):

@@ -5,7 +5,7 @@ import datetime as dt
 from auditlens.plans.job import run_job
 from auditlens.plans.pipeline import VIEW_NAMES, SecurityPipeline
 from tools.audit_fixture import audit_table, tags_fixture
-from conftest import SF_SMALL, bag
+from audit_rows import SF_SMALL, bag
 
 
 def test_run_job_writes_reports_and_alerts(spark, tmp_path):

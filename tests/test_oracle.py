@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import OWN, SF_SMALL
+from audit_rows import OWN, SF_SMALL
 
 QUERIES = {k: v for k, v in E.queries().items() if k in OWN}
 ORACLE = {k: v for k, v in E.oracle_sql().items() if k in OWN}

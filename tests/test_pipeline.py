@@ -4,7 +4,7 @@ import pytest
 
 from auditlens.plans.pipeline import SecurityPipeline
 from tools.audit_fixture import audit_table, tags_fixture
-from conftest import SF_SMALL, bag
+from audit_rows import SF_SMALL, bag
 from test_plans import _explain, _scans
 
 LAYERS = ["a1", "a2", "a3", "a4", "a5", "a6", "a7", "a8", "a9", "r_fl", "r_de", "r_aa", "r_wa",

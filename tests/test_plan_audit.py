@@ -6,7 +6,7 @@ import contextlib
 import pytest
 
 import __spark_entry__ as E
-from conftest import OWN, SF_SMALL
+from audit_rows import OWN, SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 

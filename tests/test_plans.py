@@ -3,7 +3,7 @@
 from auditlens.operators import detections as D
 from auditlens.plans.pipeline import SecurityPipeline
 from tools.audit_fixture import audit_table, tags_fixture
-from conftest import SF_SMALL
+from audit_rows import SF_SMALL
 
 
 def _scans(text):

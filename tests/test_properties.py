@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from auditlens.functions.exprs import since
 from auditlens.operators import detections as D
 from auditlens.plans import shared_scan as SS
-from conftest import AS_OF, audit_row, bag
+from audit_rows import AS_OF, audit_row, bag
 
 SERVICES = ["accounts", "unityCatalog", "databrickssql", "filesystem", "notebook", "dashboards", "clusters"]
 ACTIONS = ["login", "setAdmin", "setAccountAdmin", "changeDatabricksWorkspaceAcl", "addPrincipalToGroup",

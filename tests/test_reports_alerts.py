@@ -13,7 +13,7 @@ from auditlens.functions.exprs import since
 from auditlens.operators import detections as D
 from auditlens.plans.pipeline import SecurityPipeline
 from tools.audit_fixture import audit_fixture, tags_fixture
-from conftest import AS_OF, SF_SMALL
+from audit_rows import AS_OF, SF_SMALL
 
 C1_SCHEMA = ("escalation_type string, actor string, target_user string, actor_activity_count bigint, "
              "actor_unique_entities bigint, actor_first_activity timestamp_ntz, "

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from auditlens.operators import summaries as A
-from conftest import AS_OF, bag
+from audit_rows import AS_OF, bag
 
 
 def _skewed_d1(spark, n=30_000):

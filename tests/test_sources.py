@@ -7,7 +7,7 @@ from auditlens.sources.audit import resolve_as_of
 from tools.audit_fixture import audit_fixture, audit_table
 from auditlens.sources.rules import load_rules
 from auditlens.sources.sinks import preview, register_views, snapshot
-from conftest import SF_SMALL, bag
+from audit_rows import SF_SMALL, bag
 
 
 def test_as_of_same_on_partitioned_table_and_projection(spark):

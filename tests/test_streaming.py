@@ -12,7 +12,7 @@ from auditlens.operators import detections as D
 from tools.audit_fixture import audit_from_events, tags_fixture
 from auditlens.streaming.detections import stream_detections
 from auditlens.streaming.thresholds import login_threshold
-from conftest import SF_MID, bag
+from audit_rows import SF_MID, bag
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 

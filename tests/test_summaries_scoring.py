@@ -12,7 +12,7 @@ from auditlens.operators import posture as C
 from auditlens.operators import summaries as A
 from auditlens.sources.audit import resolve_as_of
 from tools.audit_fixture import audit_fixture, tags_fixture
-from conftest import AS_OF, SF_SMALL, audit_row, bag
+from audit_rows import AS_OF, SF_SMALL, audit_row, bag
 
 
 def _logins(make_audit):
