@@ -9,10 +9,3 @@ def docs_of(spark):
     def build(rows):
         return spark.createDataFrame([(i, t, "en", "src0", None if t is None else len(t)) for i, t in rows], DOCS).repartition(3)
     return build
-
-
-def prose(seed, n, vocabulary=400):
-    """``n`` words from a fixed vocabulary."""
-    import random
-    r = random.Random(seed)
-    return " ".join(f"w{r.randrange(vocabulary)}" for _ in range(n))
