@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import decontaminate, fingerprints, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
+from auditlens.llm import bpe, decontaminate, fingerprints, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
 from auditlens.llm.shared import crc_of_id
 
 
@@ -15,6 +15,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_bpe_multi() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,6 +86,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, warc.archive(table(spark, sf_dir, "pages")))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = byte_bpe_multi()
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return bpe.decode(encoded, path).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                                            F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +104,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op10_warc": op10_warc,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_url_rules": url_rules.oracle(RULES),
