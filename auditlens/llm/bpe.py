@@ -279,8 +279,8 @@ def bucketed(df: DataFrame, path: str, buckets: int, key: str) -> DataFrame:
 
 def carried(docs: DataFrame) -> DataFrame:
     """``text`` as it is, all other columns in one struct."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    return docs.select(F.col("text").cast("string").alias("text"), F.struct(*others, F.lit(True).alias("_")).alias("row"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(True).alias("_")]
+    return docs.select(F.col("text").cast("string").alias("text"), F.struct(*others).alias("row"))
 
 
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlens.llm import bpe, decontaminate, fingerprints, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
+from auditlens.llm import bpe, conversations, decontaminate, fingerprints, lexical, near_dup, packing, ppm, quality, substring_dedup, token_files, url_rules, warc
 from auditlens.llm.shared import crc_of_id
 
 
@@ -86,6 +86,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, warc.archive(table(spark, sf_dir, "pages")))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(rows))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = byte_bpe_multi()
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -93,6 +98,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -104,7 +113,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op10_warc": op10_warc,
+    "op11_conversations": op11_conversations,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_url_rules": url_rules.oracle(RULES),
