@@ -330,6 +330,7 @@ def encode(docs: DataFrame, path: str, folder: str | None = None, block_bytes: i
 
     def answer(table: pa.Table) -> pa.Table:
         ranks = held(f"ranks of {path}", lambda: Ranks(file.value))
+        tidy()  # a worker has one group or block after another
         known: dict[bytes, int] = {}
         lists: list[list[int]] = []
         out = []
@@ -349,6 +350,7 @@ def encode(docs: DataFrame, path: str, folder: str | None = None, block_bytes: i
     added = T.StructType([*nullable(boxed.select("row").schema).fields, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def assemble(block: pa.Table, answered: pa.Table) -> pa.Table:
+        tidy()
         body = block.column("payload")[0].as_buffer()
         kept = int(np.frombuffer(body, "<u8", 1)[0])
         rows = pa.ipc.open_stream(body.slice(8, kept)).read_all()
