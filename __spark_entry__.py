@@ -13,6 +13,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from pathlib import Path
 
 _HERE = Path(__file__).resolve().parent
@@ -26,12 +27,21 @@ from auditlens.functions.exprs import joined_set  # noqa: E402
 from auditlens.operators import assess as R  # noqa: E402
 from auditlens.operators import posture as C  # noqa: E402
 from auditlens.operators import summaries as A  # noqa: E402
+from auditlens.plans.incremental import DailyStates  # noqa: E402
 from auditlens.plans.pipeline import SecurityPipeline  # noqa: E402
 from auditlens.session import configure  # noqa: E402
 from auditlens.sources.audit import resolve_as_of  # noqa: E402
-from tools.audit_fixture import audit_table, tags_fixture  # noqa: E402
+from auditlens.operators import detections as D  # noqa: E402
+from auditlens.operators.memory import AssessmentMemory  # noqa: E402
+from tools.audit_fixture import ARRIVAL, ARRIVALS, audit_table, tag_history_fixture, tags_fixture  # noqa: E402
 from auditlens.sources.sinks import snapshot_root  # noqa: E402
-from auditlens.streaming.detections import read_audit_stream, start_append, stream_candidates  # noqa: E402
+from auditlens.streaming.detections import (  # noqa: E402
+    read_audit_stream,
+    start_append,
+    start_uc_escalations,
+    stream_candidates,
+    stream_detections,
+)
 from auditlens.streaming.thresholds import login_threshold  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -133,23 +143,106 @@ def _custom_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SecurityPipeline(p.audit, p.tags, as_of=p.as_of, rules=CUSTOM_RULES, shared_scan=False).l6()
 
 
+#: Rules whose state changes within days, at any scale: short windows, a distinct count, a value that may be missing.
+CHANGING_RULES = {
+    "global": {"notify_on_ok": True, "retrigger_seconds": 0},
+    "time_intervals": {"hour": 1, "six": 6, "week": 168, "ten_days": 240, "default": 168},
+    "alerts": {
+        "settings_hour": {"metric": {"source": "d7"}, "time_interval": "hour", "comparison_operator": "GREATER_THAN",
+                          "threshold_value": 0, "retrigger_seconds": 50000},
+        "key_hour": {"metric": {"source": "d7", "filter": [{"column": "key_name", "operator": "EQUAL", "value": "key1"}]},
+                     "time_interval": "hour", "comparison_operator": "GREATER_THAN", "threshold_value": 0, "retrigger_seconds": 1},
+        "admin_targets": {"metric": {"source": "d2", "aggregate": "count_distinct", "column": "target_user"}, "time_interval": "six",
+                          "comparison_operator": "GREATER_THAN", "threshold_value": 3, "notify_on_ok": False, "retrigger_seconds": 40000},
+        "worst_code": {"metric": {"source": "d1", "aggregate": "max", "column": "response_code"}, "time_interval": "hour",
+                       "comparison_operator": "GREATER_THAN", "threshold_value": 401, "retrigger_seconds": 100000},
+        "exports": {"metric": {"source": "d8"}, "time_interval": "six", "comparison_operator": "LESS_THAN", "threshold_value": 10},
+        "busiest_admin": {"metric": {"source": "a4", "aggregate": "max", "column": "admin_assignments_count"}, "time_interval": "ten_days",
+                          "comparison_operator": "GREATER_THAN", "threshold_value": 2, "retrigger_seconds": 90000},
+    },
+}
+
+
+def _alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 over time: states, changes and due notifications of ten moments, five hours apart, from the kept detections."""
+    p = _incremental(spark, sf_dir)
+    job = SecurityPipeline(p.audit, p.tags, as_of=p.as_of, rules=CHANGING_RULES, detections=p.detections)
+    return job.alert_states([p.as_of - timedelta(hours=5 * k) for k in range(10)])
+
+
 _STREAMED: dict[tuple, str] = {}
 
 
+def _audit_files(audit: DataFrame) -> str:
+    """The folder of the audit table."""
+    return os.path.commonpath([f.rpartition("/event_date=")[0] for f in audit.inputFiles()]).replace("file:/", "/")
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1: the detections table that the streaming job keeps, after it has read the whole audit table."""
     key = (id(spark), str(Path(sf_dir).resolve()))
     if key not in _STREAMED:
         audit = audit_table(spark, sf_dir)
         base = f"{snapshot_root(spark)}/stream-{uuid.uuid4().hex}"
-        files = os.path.commonpath([f.rpartition("/event_date=")[0] for f in audit.inputFiles()])
-        stream = read_audit_stream(spark, files.replace("file:/", "/"), audit.schema)
+        stream = read_audit_stream(spark, _audit_files(audit), audit.schema)
         start_append(stream_candidates(stream), f"{base}/checkpoint", path=f"{base}/detections",
                      trigger={"availableNow": True}, partition_by=["rule"]).awaitTermination()
         _STREAMED[key] = f"{base}/detections"
     return spark.read.parquet(_STREAMED[key])
 
 
+def _appended(layer: str) -> Callable[[SparkSession, str], DataFrame]:
+    """ST1: one streaming detection view appended to a table, read back after the whole log went through."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        audit = audit_table(spark, sf_dir)
+        base = f"{snapshot_root(spark)}/stream-{layer}-{uuid.uuid4().hex}"
+        frame = stream_detections(read_audit_stream(spark, _audit_files(audit), audit.schema), tags_fixture(spark, sf_dir))[layer]
+        start_append(frame, f"{base}/checkpoint", path=f"{base}/rows", trigger={"availableNow": True}).awaitTermination()
+        return spark.read.schema(frame.schema).parquet(f"{base}/rows")
+    return run
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, folder: str):
+    """Writes the audit log file by file as it arrives (late rows with a later file); a step for each arrival."""
+    audit = audit_table(spark, sf_dir).withColumn("_arrival", F.expr(ARRIVAL.format(day="extract(DAY FROM event_time)")))
+    for i in range(ARRIVALS):
+        audit.where(F.col("_arrival") == i).drop("_arrival").coalesce(1).write.mode("append").parquet(folder)
+        yield i
+
+
+def _login_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 as a stream: a file for each micro-batch, a watermark of a day, late rows within and beyond it."""
+    base = f"{snapshot_root(spark)}/st2-{uuid.uuid4().hex}"
+    for _ in _arrivals(spark, sf_dir, f"{base}/arrival"):
+        pass
+    stream = read_audit_stream(spark, f"{base}/arrival", audit_table(spark, sf_dir).schema, max_files_per_trigger=1)
+    windows = login_threshold(D.auth_events(stream), ("source_ip", "user"), "72 hours", 3, "24 hours")
+    start_append(windows, f"{base}/checkpoint", path=f"{base}/windows", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{base}/windows")
+
+
+def _uc_stream_with_new_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 on a stream: half of the tables are tagged only after the third file was read."""
+    base = f"{snapshot_root(spark)}/uc-{uuid.uuid4().hex}"
+    tags, odd = tags_fixture(spark, sf_dir), F.expr("CAST(substring(table_name, 2) AS INT) % 2 = 1")
+    for i in _arrivals(spark, sf_dir, f"{base}/arrival"):
+        if i in (0, 3):
+            tags.where(odd if i else ~odd).write.mode("append").parquet(f"{base}/tags")
+        if i in (2, ARRIVALS - 1):
+            stream = read_audit_stream(spark, f"{base}/arrival", audit_table(spark, sf_dir).schema)
+            start_uc_escalations(stream, lambda s: s.read.parquet(f"{base}/tags"), f"{base}/checkpoint", f"{base}/rows").awaitTermination()
+    return spark.read.parquet(f"{base}/rows").drop("batch")
+
+
+def _remembered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 with a memory: the assessments of a week in a memory that holds those of the week up to a day before."""
+    p = pipeline(spark, sf_dir, refresh=False)
+    memory = AssessmentMemory(spark, f"{snapshot_root(spark)}/memory-{uuid.uuid4().hex}")
+    before = SecurityPipeline(p.audit, p.tags, as_of=p.as_of, memory=memory).at(p.as_of - timedelta(days=1))
+    before.r_de.count()
+    return SecurityPipeline(p.audit, p.tags, as_of=p.as_of, memory=memory).r_de
+
+
 def _stream_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).where("rule IN ('D1', 'D2', 'D3', 'D4', 'D7')").groupBy("rule").agg(
         F.count("*").alias("n"), F.min("event_time").alias("first_event"), F.max("event_time").alias("last_event"))
@@ -161,6 +254,35 @@ def _alerts_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SecurityPipeline(p.audit, p.tags, as_of=p.as_of, detections=_streamed(spark, sf_dir)).l6()
 
 
+_STATES: dict[tuple, SecurityPipeline] = {}
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> SecurityPipeline:
+    """The job over daily states, after a store took in the audit log as it arrived.
+
+    The log comes in two cuts: most of it, then the newest 36 hours together
+    with a seventh of the older rows, which are late and reopen their days.
+    """
+    key = (id(spark), str(Path(sf_dir).resolve()))
+    if key not in _STATES:
+        p = pipeline(spark, sf_dir, refresh=False)
+        base = f"{snapshot_root(spark)}/states-{uuid.uuid4().hex}"
+        early = F.expr(f"event_time < TIMESTAMP_NTZ '{p.as_of}' - INTERVAL 36 HOUR AND event_id % 7 <> 3")
+        store = DailyStates(spark, f"{base}/store")
+        for rows in (p.audit.where(early), p.audit.where(~early)):
+            rows.write.mode("append").parquet(f"{base}/arrival")
+            stream = read_audit_stream(spark, f"{base}/arrival", p.audit.schema)
+            store.advance(stream, f"{base}/checkpoint").awaitTermination()
+        store.compact()
+        _STATES[key] = SecurityPipeline(p.audit, p.tags, states=store)
+    return _STATES[key]
+
+
+def _from_states(fn: Callable[[SecurityPipeline], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A layer that builds on the daily states of two refreshes."""
+    return lambda spark, sf_dir: fn(_incremental(spark, sf_dir))
+
+
 def _prompts(fn, family, key=("actor",)):
     return _q(lambda p: R.with_prompt(fn(p), family).select(*key, "prompt"))
 
@@ -234,9 +356,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "l5_data_export_ai_alert": _q(lambda p: p.l5()),
         "l6_alert_evaluation": _q(lambda p: p.l6()),
         "l6_custom_rules": _custom_rules,
+        "l6_alert_states": _alert_states,
         "st1_stream_detections": _stream_detections,
         "st1_alerts_from_stream": _alerts_from_stream,
         "st2_login_threshold_batch": _q(_st2),
+        "d6_tags_over_time": lambda spark, sf_dir: D.uc_permission_escalations(
+            audit_table(spark, sf_dir), tag_history_fixture(spark, sf_dir)),
+        "st1_stream_d5": _appended("d5"),
+        "st1_stream_d6": _appended("d6"),
+        "st1_stream_d8": _appended("d8"),
+        "st1_stream_d6_new_tags": _uc_stream_with_new_tags,
+        "st2_login_threshold_stream": _login_windows_stream,
+        "r3_remembered_assessments": _remembered,
+        "s6_incremental_login_patterns": _from_states(lambda p: _text_sets(p.a3, *sets)),
+        "s6_incremental_group_activity": _from_states(lambda p: p.a6),
+        "s6_incremental_permission_activity": _from_states(lambda p: p.a7),
+        "s6_incremental_export_activity": _from_states(lambda p: p.a9),
+        "s6_incremental_consolidated": _from_states(lambda p: p.c1),
+        "s6_incremental_event_counts": _from_states(lambda p: p.c2),
+        "s6_incremental_alerts": _from_states(lambda p: p.l6()),
         **_added()[0],
     }
 

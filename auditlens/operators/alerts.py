@@ -207,7 +207,8 @@ def definition_rows(rules: dict | None = None) -> list[tuple]:
             alert.get("empty_result_state", "UNKNOWN"),
             alert.get("cron_schedule", glob.get("cron_schedule", DEFAULT_CRON)),
             glob.get("timezone_id", "UTC"), glob.get("pause_status", "PAUSED"),
-            bool(glob.get("notify_on_ok", True)), int(glob.get("retrigger_seconds", 0)),
+            bool(alert.get("notify_on_ok", glob.get("notify_on_ok", True))),
+            int(alert.get("retrigger_seconds", glob.get("retrigger_seconds", 0))),
             glob.get("user_email"), glob.get("warehouse_id"),
         ))
     return rows
@@ -256,7 +257,8 @@ def rule_values(source: Callable[[str, float], DataFrame], metrics: list[tuple[s
         by_layer.setdefault(rule[2].source, []).append(rule)
     parts = []
     for layer, rules in by_layer.items():
-        frame = source(layer, max(hours for _, hours, _ in rules))
+        windows = [hours for _, hours, m in rules if m.time_column is not None or layer in EVENT_LAYERS]
+        frame = source(layer, max(windows, default=0))
         columns = [AGGREGATES[m.aggregate](within(frame, m, as_of, hours), F.col(m.column) if m.column else None)
                    .cast("double").alias(f"v{i}") for i, (_, hours, m) in enumerate(rules)]
         named = F.array(*(F.struct(F.lit(name).alias("name"), F.col(f"v{i}").alias("value")) for i, (name, _, _) in enumerate(rules)))
@@ -271,12 +273,21 @@ def evaluate_alerts(values: DataFrame, definitions: DataFrame, as_of) -> DataFra
     without one gets its empty-result state.
     """
     joined = definitions.join(values.groupBy("name").agg(F.first("value").alias("value")), "name", "left")
+    return _evaluated(joined, ts_literal(as_of))
+
+
+def evaluate_over_time(values: DataFrame, definitions: DataFrame) -> DataFrame:
+    """L6 at several moments: ``values`` has rows (name, as_of, value)."""
+    return _evaluated(definitions.join(values, "name"), F.col("as_of"))
+
+
+def _evaluated(joined: DataFrame, as_of: Column) -> DataFrame:
     value = F.col("value").cast("double")
     return joined.select(
         "name", "metric", value.alias("value"), "comparison_operator", "threshold_value", "hours",
         alert_state(value, F.col("comparison_operator"), F.col("threshold_value"),
                     F.col("empty_result_state")).alias("state"),
-        ts_literal(as_of).alias("as_of"),
+        as_of.alias("as_of"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from auditlens.functions import scoring as S
 from auditlens.functions.scoring import Family
+from auditlens.operators.memory import AssessmentMemory
 
 # The assessment families (what is counted, grading bands, the fields the scorer sees).
 FAILED_LOGIN = Family(
@@ -65,9 +66,15 @@ FAMILIES = {f.name: f for f in (FAILED_LOGIN, DATA_EXPORT, ACCOUNT_ADMIN, WORKSP
 
 
 def assess(summary: DataFrame, family: Family, scorer: S.Scorer = S.default_scorer,
-           keep_prompt: bool = False) -> DataFrame:
-    """Add the assessment column to a summary (optionally keep the prompt for inspection)."""
+           keep_prompt: bool = False, memory: AssessmentMemory | None = None) -> DataFrame:
+    """Add the assessment column to a summary (optionally keep the prompt for inspection).
+
+    With a ``memory`` only prompts that it does not hold are scored, when this function is called.
+    """
     text = S.prompt(family)
+    if memory is not None:
+        found = memory.assess(summary, family, scorer)
+        return found.withColumn("prompt", text) if keep_prompt else found
     extra = [text.alias("prompt")] if keep_prompt else []
     return summary.select("*", scorer(family, text).alias(S.ANALYSIS_COLUMN), *extra)
 
@@ -77,36 +84,36 @@ def with_prompt(summary: DataFrame, family: Family) -> DataFrame:
     return summary.select("*", S.prompt(family).alias("prompt"))
 
 
-def assess_failed_logins(a3: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_failed_logins(a3: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-FL over A3."""
-    return assess(a3, FAILED_LOGIN, scorer)
+    return assess(a3, FAILED_LOGIN, scorer, memory=memory)
 
 
-def assess_data_exports(a9: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_data_exports(a9: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-DE over A9."""
-    return assess(a9, DATA_EXPORT, scorer)
+    return assess(a9, DATA_EXPORT, scorer, memory=memory)
 
 
-def assess_account_admin(a4: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_account_admin(a4: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-AA over A4."""
-    return assess(a4, ACCOUNT_ADMIN, scorer)
+    return assess(a4, ACCOUNT_ADMIN, scorer, memory=memory)
 
 
-def assess_workspace_acl(a5: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_workspace_acl(a5: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-WA over A5."""
-    return assess(a5, WORKSPACE_ACL, scorer)
+    return assess(a5, WORKSPACE_ACL, scorer, memory=memory)
 
 
-def assess_sensitive_group(a6: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_sensitive_group(a6: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-SG over A6."""
-    return assess(a6, SENSITIVE_GROUP, scorer)
+    return assess(a6, SENSITIVE_GROUP, scorer, memory=memory)
 
 
-def assess_uc_permission(a7: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_uc_permission(a7: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-UC over A7."""
-    return assess(a7, UC_PERMISSION, scorer)
+    return assess(a7, UC_PERMISSION, scorer, memory=memory)
 
 
-def assess_account_setting(a8: DataFrame, scorer=S.default_scorer) -> DataFrame:
+def assess_account_setting(a8: DataFrame, scorer=S.default_scorer, memory: AssessmentMemory | None = None) -> DataFrame:
     """R-AS over A8."""
-    return assess(a8, ACCOUNT_SETTING, scorer)
+    return assess(a8, ACCOUNT_SETTING, scorer, memory=memory)

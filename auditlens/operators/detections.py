@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions.exprs import actor, param, since, status_code
-from auditlens.sources.tags import SENSITIVE_GROUPS, sensitive_tables
+from auditlens.sources.tags import SENSITIVE_GROUPS, with_tags
 
 # Service and action names the rules match, and their labels.
 LOGIN_ACTIONS = ("login",)
@@ -158,7 +158,8 @@ def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bo
     or is tagged (left join with S2; a table with several matching tags
     repeats the event once per tag unless ``dedupe_tags``). The audit side is
     filtered before the join, and AQE picks the join from the sizes it
-    measures. Each element of ``changes`` becomes a row.
+    measures. Each element of ``changes`` becomes a row. A tag table with
+    validity intervals is joined as of the event's time.
     """
     candidates = audit.filter(uc_candidate_filter()).select(
         "event_time", "service_name", "workspace_id", "action_name",
@@ -167,9 +168,7 @@ def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bo
         param("securable_full_name").alias("securable_full_name"),
         param("changes").alias("_changes"),
     )
-    tagged = sensitive_tables(tags, dedupe=dedupe_tags).select(
-        F.col("securable_full_name").alias("_tagged_name"))
-    joined = candidates.join(tagged, candidates["securable_full_name"] == tagged["_tagged_name"], "left")
+    joined = with_tags(candidates, tags, dedupe_tags)
     name = F.col("securable_full_name")
     kept = joined.filter(
         name.like("%pii%") | (name == UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())

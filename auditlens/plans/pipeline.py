@@ -17,27 +17,37 @@ With ``detections=`` (a table a stream appends to with
 ``streaming.detections.stream_candidates``) the windowed layers read that
 table instead: the periodic job does not scan the audit log at all, and
 each audit row is tagged once, when it arrives.
+
+With ``states=`` (``plans.incremental.DailyStates``) the summaries merge the
+daily states that each batch of new rows left behind, instead of aggregating
+the look-back again; all that follows builds on those.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlens.functions import scoring as S
+from auditlens.operators import alert_states as LS
 from auditlens.operators import alerts as L
 from auditlens.operators import assess as R
 from auditlens.operators import detections as D
 from auditlens.operators import posture as C
 from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
-from auditlens.functions.exprs import DatePartition
+from auditlens.operators.memory import AssessmentMemory
+from auditlens.functions.exprs import DatePartition, parse_as_of, time_type, ts_literal
 from auditlens.plans import shared_scan as SS
+from auditlens.plans.incremental import DailyStates
 from auditlens.sources.audit import resolve_as_of
-from auditlens.sources.sinks import register_views, snapshot
+from auditlens.sources.sinks import prune_published, publish, published, register_views, snapshot, snapshot_root, write_version
 
 LOOKBACK_HOURS = 168
 UC_ALERT_HOURS = 720
@@ -71,9 +81,15 @@ class SecurityPipeline:
     def __init__(self, audit: DataFrame, tags: DataFrame, as_of=None,
                  scorer: S.Scorer = S.default_scorer, lookback_hours: float = LOOKBACK_HOURS,
                  rules: dict | None = None, shared_scan: bool = True,
-                 detections: DataFrame | None = None, date_partition: DatePartition | None = None):
+                 detections: DataFrame | None = None, date_partition: DatePartition | None = None,
+                 states: DailyStates | None = None, memory: AssessmentMemory | None = None):
         self.audit = audit
         self.tags = tags
+        self.memory = memory  # of assessments: only unseen prompts reach the scorer
+        self.states = None if states is None else states.view()
+        if self.states is not None:
+            as_of = as_of or self.states.latest()
+            detections = self.states.detections if detections is None else detections
         self.as_of = resolve_as_of(audit, as_of)
         self.scorer = scorer
         self.h = lookback_hours
@@ -123,62 +139,84 @@ class SecurityPipeline:
         return SS.detection_candidates(self.audit, self.as_of, self.h, self.uc_hours, contract=self.contract)
 
     @cached_property
-    def windowed(self) -> dict[str, DataFrame]:
-        if self.shared:
-            return SS.windowed_detections(self.candidates, self.tags)
-        return {name: getattr(self, name) for name in ("d1", "d2", "d3", "d4", "d6", "d7", "d8")}
+    def _windowed(self) -> dict[str, DataFrame]:
+        return {}
 
     def w(self, name: str) -> DataFrame:
-        return self.windowed[name]
+        """A windowed detection: of the shared pass, or the view itself."""
+        if name not in self._windowed:
+            self._windowed[name] = SS.windowed_detection(name, self.candidates, self.tags) if self.shared else getattr(self, name)
+        return self._windowed[name]
+
+    # summaries: of the windowed events, or of daily states that are windowed already
+    @cached_property
+    def partial(self) -> dict[str, DataFrame]:
+        return {}
+
+    @property
+    def measure(self) -> A.Measure: return A.EVENTS if self.states is None else A.PARTIAL
+
+    @property
+    def reach(self) -> float | None: return self.h if self.states is None else None
+
+    def counted(self, name: str) -> DataFrame:
+        if self.states is None:
+            return self.w(name)
+        if name not in self.partial:
+            self.partial[name] = self.states.layer(name, self.as_of, self.h, self.tags)
+        return self.partial[name]
+
+    def _summary(self, build, layer: str, **more) -> DataFrame:
+        return build(self.counted(layer), self.as_of, self.reach, measure=self.measure, **more)
 
-    # summaries
     @cached_property
-    def a1(self): return A.failed_logins_by_ip(self.w("d1"), self.as_of, self.h)
+    def a1(self): return self._summary(A.failed_logins_by_ip, "d1")
     @cached_property
-    def a2(self): return A.failed_logins_by_user(self.w("d1"), self.as_of, self.h)
+    def a2(self): return self._summary(A.failed_logins_by_user, "d1")
     @cached_property
-    def a3(self): return A.failed_login_patterns(self.w("d1"), self.as_of, self.h)
+    def a3(self): return self._summary(A.failed_login_patterns, "d1")
     @cached_property
-    def a3_counts(self): return A.failed_login_patterns(self.w("d1"), self.as_of, self.h, lists=False)
+    def a3_counts(self): return self._summary(A.failed_login_patterns, "d1", lists=False)
     @cached_property
-    def a4(self): return A.account_admin_activity(self.w("d2"), self.as_of, self.h)
+    def a4(self): return self._summary(A.account_admin_activity, "d2")
     @cached_property
-    def a5(self): return A.workspace_acl_activity(self.w("d3"), self.as_of, self.h)
+    def a5(self): return self._summary(A.workspace_acl_activity, "d3")
     @cached_property
-    def a6(self): return A.sensitive_group_activity(self.w("d4"), self.as_of, self.h)
+    def a6(self): return self._summary(A.sensitive_group_activity, "d4")
     @cached_property
-    def a7(self): return A.uc_permission_activity(self.w("d6"), self.as_of, self.h)
+    def a7(self): return self._summary(A.uc_permission_activity, "d6")
     @cached_property
-    def a8(self): return A.account_setting_activity(self.w("d7"), self.as_of, self.h)
+    def a8(self): return self._summary(A.account_setting_activity, "d7")
     @cached_property
-    def a9(self): return A.export_activity(self.w("d8"))
+    def a9(self): return A.export_activity(self.counted("d8"), self.measure)
 
     # assessments
     @cached_property
-    def r_fl(self): return R.assess_failed_logins(self.a3_counts, self.scorer)
+    def r_fl(self): return R.assess_failed_logins(self.a3_counts, self.scorer, self.memory)
     @property
     def r_fl_full(self):
         """R-FL with the lists of related entities and agents (built on request; no report reads them)."""
-        return self.r_fl.join(A.failed_login_lists(self.w("d1"), self.as_of, self.h), ["detection_type", "entity_id"])
+        return self.r_fl.join(self._summary(A.failed_login_lists, "d1"), ["detection_type", "entity_id"])
     @cached_property
-    def r_de(self): return R.assess_data_exports(self.a9, self.scorer)
+    def r_de(self): return R.assess_data_exports(self.a9, self.scorer, self.memory)
     @cached_property
-    def r_aa(self): return R.assess_account_admin(self.a4, self.scorer)
+    def r_aa(self): return R.assess_account_admin(self.a4, self.scorer, self.memory)
     @cached_property
-    def r_wa(self): return R.assess_workspace_acl(self.a5, self.scorer)
+    def r_wa(self): return R.assess_workspace_acl(self.a5, self.scorer, self.memory)
     @cached_property
-    def r_sg(self): return R.assess_sensitive_group(self.a6, self.scorer)
+    def r_sg(self): return R.assess_sensitive_group(self.a6, self.scorer, self.memory)
     @cached_property
-    def r_uc(self): return R.assess_uc_permission(self.a7, self.scorer)
+    def r_uc(self): return R.assess_uc_permission(self.a7, self.scorer, self.memory)
     @cached_property
-    def r_as(self): return R.assess_account_setting(self.a8, self.scorer)
+    def r_as(self): return R.assess_account_setting(self.a8, self.scorer, self.memory)
 
     # consolidation and posture
     @cached_property
     def c1(self):
         return C.privilege_escalation_consolidated(self.r_aa, self.r_wa, self.r_sg, self.r_uc, self.r_as)
     @cached_property
-    def c2(self): return C.posture_event_counts(self.w("d1"), self.w("d8"), self.c1, self.as_of, self.h)
+    def c2(self):
+        return C.posture_event_counts(self.counted("d1"), self.counted("d8"), self.c1, self.as_of, self.reach, self.measure)
     @cached_property
     def c3(self):
         scorer = None if self.scorer is S.default_scorer else self.scorer
@@ -224,14 +262,20 @@ class SecurityPipeline:
         detections table, or the view over the audit log.
         """
         if layer not in L.EVENT_LAYERS:
-            return getattr(self, layer)
+            return getattr(self if hours <= self.h else self.over(hours), layer)
         reach = {"d6": self.uc_hours, "d8": math.inf}.get(layer, self.h)
-        if self.shared and layer in self.windowed and hours <= reach:
+        if self.shared and layer in SS.WINDOWED and hours <= reach:
             return self.w(layer)
-        if self.detections is not None and layer in self.windowed:
-            return SS.windowed_detections(self.detections, self.tags)[layer]
+        if self.detections is not None and layer in SS.WINDOWED:
+            return SS.windowed_detection(layer, self.detections, self.tags)
         return getattr(self, layer)
 
+    def over(self, hours: float) -> "SecurityPipeline":
+        """The job with another look-back (exports keep theirs, which belongs to D8)."""
+        return SecurityPipeline(self.audit, self.tags, as_of=self.as_of, scorer=self.scorer, lookback_hours=hours, rules=self.rules,
+                                shared_scan=self.shared, detections=self.detections, date_partition=self.contract, states=self.states,
+                                memory=self.memory)
+
     def metrics(self) -> DataFrame:
         """Rows (name, value): every rule's metric over its own window."""
         return L.rule_values(self.metric_source, self.rule_metrics, self.as_of)
@@ -239,6 +283,40 @@ class SecurityPipeline:
     def l6(self) -> DataFrame:
         return L.evaluate_alerts(self.metrics(), self.definitions, self.as_of)
 
+    def at(self, as_of) -> "SecurityPipeline":
+        """The job as it would have been at an earlier moment: later rows are not there."""
+        moment = parse_as_of(as_of)
+
+        def until(frame: DataFrame | None) -> DataFrame | None:
+            return None if frame is None else frame.where(F.col("event_time") <= ts_literal(moment, time_type(frame)))
+
+        return SecurityPipeline(until(self.audit), self.tags, as_of=moment, scorer=self.scorer, lookback_hours=self.h, rules=self.rules,
+                                shared_scan=False, detections=until(self.detections), date_partition=self.contract, memory=self.memory)
+
+    def every_event(self, layer: str) -> DataFrame:
+        """An event layer over all history."""
+        if self.detections is not None and layer in SS.WINDOWED:
+            return SS.windowed_detection(layer, self.detections, self.tags)
+        return D.data_export_detection(self.audit, hours=None) if layer == "d8" else getattr(self, layer)
+
+    def evaluations(self, times) -> DataFrame:
+        """L6 at several moments: a row for each rule and moment.
+
+        Rules over events are counted for all moments in one scan of their layer; a rule over another layer has that
+        layer built for each moment.
+        """
+        events = [m for m in self.rule_metrics if m[2].source in L.EVENT_LAYERS and m[2].time_column == "event_time"]
+        others = [m for m in self.rule_metrics if m not in events]
+        parts = [LS.event_values_at(lambda layer, _: self.every_event(layer), events, times)] if events else []
+        for moment in map(parse_as_of, times) if others else ():
+            then = self.at(moment)
+            parts.append(L.rule_values(then.metric_source, others, moment).select("name", ts_literal(moment).alias("as_of"), "value"))
+        return L.evaluate_over_time(reduce(DataFrame.unionByName, parts), self.definitions)
+
+    def alert_states(self, times) -> DataFrame:
+        """The rules' states, changes and due notifications at several moments, in order."""
+        return LS.next_states(self.spark.createDataFrame([], LS.STATE_SCHEMA), self.evaluations(times), self.definitions)
+
     def register_views(self) -> list[str]:
         """Every layer as a temporary view under the names report SQL uses."""
         return register_views(self.spark, {view: getattr(self, name) for view, name in VIEW_NAMES.items()})
@@ -249,30 +327,52 @@ class SecurityPipeline:
 
         One audit scan in total (plus the ``as_of`` aggregate when not given).
         Later frames read the snapshots: a lost executor never re-runs the
-        audit scan, and each report reads a few small files.
+        audit scan, and each report reads a few small files. With ``path`` all
+        of them are published as one version when the last is written
+        (``open``); a refresh that fails leaves the version before.
         """
         if not self.shared:
             raise ValueError("refresh() needs shared_scan=True")
         derived = [k for k in list(self.__dict__) if k in _DERIVED]
         for key in derived:
             del self.__dict__[key]
-        base = None if path is None else path.rstrip("/")
-        # partitioned by rule: each detection shape reads its own folder only
-        self.__dict__["candidates"] = snapshot(
-            self.candidates, "detections", None if base is None else f"{base}/detections",
-            partition_by=["rule"])
+        base = snapshot_root(self.spark) if path is None else path.rstrip("/")
+        folders: dict[str, str] = {}
+
+        def put(name: str, frame: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+            folders[name] = write_version(frame, f"{base}/{name}", partition_by=partition_by)
+            return self.spark.read.schema(frame.schema).parquet(folders[name])
+
+        if self.states is None:
+            # partitioned by rule: each detection shape reads its own folder only
+            self.__dict__["candidates"] = put("detections", self.candidates, ["rule"])
         # frames are built here (lazily, one thread); the independent writes run as concurrent jobs
         layers = [[n for n in layer if n in frames] for layer in SNAPSHOT_LAYERS]
         for layer in filter(None, layers):
             built = {name: getattr(self, name) for name in layer}
             with ThreadPoolExecutor(max_workers=max(1, len(built))) as pool:
-                done = {name: pool.submit(snapshot, frame, name,
-                                          None if base is None else f"{base}/{name}")
-                        for name, frame in built.items()}
+                done = {name: pool.submit(put, name, frame) for name, frame in built.items()}
             for name, future in done.items():
                 self.__dict__[name] = future.result()
+        if path is not None:
+            schemas = {name: json.loads(self.__dict__["candidates" if name == "detections" else name].schema.json()) for name in folders}
+            publish(self.spark, base, {"as_of": self.as_of.isoformat(sep=" "), "hours": self.h, "frames": folders, "schemas": schemas})
+            prune_published(self.spark, base, lambda c: c["frames"].values())
         return self
 
+    @classmethod
+    def open(cls, audit: DataFrame, tags: DataFrame, path: str, **options) -> "SecurityPipeline":
+        """The job as its last whole refresh into ``path`` left it: reports read that version, whatever is written meanwhile."""
+        spark, base = audit.sparkSession, path.rstrip("/")
+        content = published(spark, base)
+        if content is None:
+            raise ValueError(f"no refresh was published in {path}")
+        job = cls(audit, tags, as_of=content["as_of"], lookback_hours=content["hours"], **options)
+        for name, folder in content["frames"].items():
+            schema = T.StructType.fromJson(content["schemas"][name])
+            job.__dict__["candidates" if name == "detections" else name] = spark.read.schema(schema).parquet(folder)
+        return job
+
     # lineage cuts
     def materialize(self, names=("d1", "d6", "d8", "r_fl", "r_de", "c1"), how: str = "checkpoint",
                     path: str | None = None) -> "SecurityPipeline":
@@ -296,6 +396,6 @@ class SecurityPipeline:
 
 
 _DERIVED = {
-    "candidates", "windowed", "a1", "a2", "a3", "a3_counts", "a4", "a5", "a6", "a7", "a8", "a9",
+    "candidates", "_windowed", "partial", "a1", "a2", "a3", "a3_counts", "a4", "a5", "a6", "a7", "a8", "a9",
     "r_fl", "r_de", "r_aa", "r_wa", "r_sg", "r_uc", "r_as", "c1", "c2", "c3",
 }

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from auditlens.functions.exprs import DatePartition, actor, param, parse_as_of, since, time_type, ts_literal
 from auditlens.operators import detections as D
-from auditlens.sources.tags import sensitive_tables
+from auditlens.sources.tags import with_tags
 
 
 def after(df: DataFrame, as_of, hours: float) -> Column:
@@ -122,41 +122,49 @@ def _shaped(kept: DataFrame) -> DataFrame:
 def within_windows(candidates: DataFrame, as_of, hours: float = 168, uc_hours: float = 720,
                    export_hours: float = D.EXPORT_LOOKBACK_HOURS) -> DataFrame:
     """The rows of a full detections table that a run at ``as_of`` uses (the same rows the windowed scan keeps)."""
-    widest = since(candidates, as_of, max(hours, export_hours, uc_hours))
+    reach = max(hours, export_hours, uc_hours)
+    widest = since(candidates, as_of, reach)
+    if "day" in candidates.columns:  # the UTC day of the event, by which kept detections are partitioned
+        widest = widest.filter(F.col("day") >= F.lit((parse_as_of(as_of) - dt.timedelta(hours=reach)).date()))
     return widest.filter(_in_window(candidates, as_of, hours, export_hours))
 
 
-def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False) -> dict[str, DataFrame]:
-    """Split the tagged rows back into the detection shapes (same columns as D1-D8)."""
-    def rule(name):
-        return candidates.filter(F.col("rule") == name)
-
-    out = {
-        "d1": rule(D1).select("event_time", "event_date", "service_name", "username",
-                              "authentication_method", "user_agent", "action_name", "response_code",
-                              "response_message", "result", "source_ip"),
-        "d2": rule(D2).select("event_time", "service_name", "workspace_id", "actor", "target_user",
-                              "action_name", F.lit("ACCOUNT_ADMIN_GRANTED").alias("indicator"),
-                              F.lit("Critical").alias("severity")),
-        "d3": rule(D3).select("event_time", "service_name", "workspace_id", "actor", "target_user",
-                              "action_name", "new_acl", F.lit("WORKSPACE_ACL_CHANGED").alias("indicator"),
-                              F.lit("Medium").alias("severity")),
-        "d4": rule(D4).select("event_time", "service_name", "workspace_id", "actor", "target_user",
-                              "group_name", "action_name", F.lit("SENSITIVE_GROUP_ADDED").alias("indicator"),
-                              F.lit("Medium").alias("severity")),
-        "d7": rule(D7).select("event_time", "service_name", "workspace_id", "actor", "action_name",
-                              "key_type", "key_name", "settings"),
-        "d8": rule(D8).select("workspace_id", "actor", "source", "action_name", "artifact", "event_time"),
-    }
-    uc = rule(D6)
-    tagged = sensitive_tables(tags, dedupe=dedupe_tags).select(
-        F.col("securable_full_name").alias("_tagged_name"))
-    joined = uc.join(tagged, uc["securable_full_name"] == tagged["_tagged_name"], "left")
-    name = F.col("securable_full_name")
-    kept = joined.filter(name.like("%pii%") | (name == D.UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())
+#: The detections that the tagged rows hold.
+WINDOWED = {"d1": D1, "d2": D2, "d3": D3, "d4": D4, "d6": D6, "d7": D7, "d8": D8}
+_BY = ("event_time", "service_name", "workspace_id", "actor")
+
+
+def windowed_detections(candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
+                        carry: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Split the tagged rows back into the detection shapes (same columns as D1-D8, and those of ``carry``)."""
+    return {name: windowed_detection(name, candidates, tags, dedupe_tags, carry) for name in WINDOWED}
+
+
+def windowed_detection(name: str, candidates: DataFrame, tags: DataFrame, dedupe_tags: bool = False,
+                       carry: tuple[str, ...] = ()) -> DataFrame:
+    """One detection of the tagged rows."""
+    rows = candidates.filter(F.col("rule") == WINDOWED[name])
+
+    def labelled(indicator: str, severity: str, *columns: str) -> DataFrame:
+        return rows.select(*_BY, *columns, F.lit(indicator).alias("indicator"), F.lit(severity).alias("severity"), *carry)
+
+    if name == "d1":
+        return rows.select("event_time", "event_date", "service_name", "username", "authentication_method", "user_agent", "action_name",
+                           "response_code", "response_message", "result", "source_ip", *carry)
+    if name == "d2":
+        return labelled("ACCOUNT_ADMIN_GRANTED", "Critical", "target_user", "action_name")
+    if name == "d3":
+        return labelled("WORKSPACE_ACL_CHANGED", "Medium", "target_user", "action_name", "new_acl")
+    if name == "d4":
+        return labelled("SENSITIVE_GROUP_ADDED", "Medium", "target_user", "group_name", "action_name")
+    if name == "d7":
+        return rows.select(*_BY, "action_name", "key_type", "key_name", "settings", *carry)
+    if name == "d8":
+        return rows.select("workspace_id", "actor", "source", "action_name", "artifact", "event_time", *carry)
+    securable = F.col("securable_full_name")
+    kept = with_tags(rows, tags, dedupe_tags).filter(
+        securable.like("%pii%") | (securable == D.UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())
     item = F.explode(F.from_json(F.col("changes"), D.CHANGES_SCHEMA)).alias("_item")
-    out["d6"] = kept.select("*", item).select(
-        "event_time", "service_name", "workspace_id", "actor", "securable_type", "securable_full_name",
-        "action_name", F.lit("UC_PERMISSION_CHANGE").alias("escalation_type"),
-        F.col("_item.principal").alias("target_principal"), F.col("_item.add").alias("permissions"))
-    return out
+    return kept.select("*", item).select(
+        *_BY, "securable_type", "securable_full_name", "action_name", F.lit("UC_PERMISSION_CHANGE").alias("escalation_type"),
+        F.col("_item.principal").alias("target_principal"), F.col("_item.add").alias("permissions"), *carry)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
@@ -35,6 +36,14 @@ def snapshot(df: DataFrame, name: str, path: str | None = None, fmt: str = "parq
     """
     spark = df.sparkSession
     base = path or f"{snapshot_root(spark)}/{name}"
+    target = write_version(df, base, fmt, partition_by)
+    if path is not None:  # under the checkpoint folder versions belong to their session
+        prune_snapshots(spark, base, keep)
+    return spark.read.format(fmt).load(target)
+
+
+def write_version(df: DataFrame, base: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
+    """Write a frame as a new version folder under ``base``; returns the folder."""
     target = f"{base}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     # rebalance: AQE sizes the output partitions (no flood of small files from a wide
     # scan, skewed partitions split), clustered by the partition columns if any
@@ -43,9 +52,7 @@ def snapshot(df: DataFrame, name: str, path: str | None = None, fmt: str = "parq
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
-    if path is not None:  # under the checkpoint folder versions belong to their session
-        prune_snapshots(spark, base, keep)
-    return spark.read.format(fmt).load(target)
+    return target
 
 
 def _versions(spark: SparkSession, base: str) -> tuple[object, list]:
@@ -75,6 +82,81 @@ def prune_snapshots(spark: SparkSession, base: str, keep: int = 2) -> int:
     return len(old)
 
 
+# --- one version for many folders ---------------------------------------------------------------
+
+_MANIFESTS = "_manifests"
+
+
+def _files(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def publish(spark: SparkSession, base: str, content: dict) -> str:
+    """Make ``content`` (any JSON; folders by name, for example) the published state of ``base``.
+
+    A manifest is written beside the older ones under a hidden name and gets
+    its own with one rename, after all that it names was written: a reader sees the state before or the state
+    after, never a mix, and a run that fails on its way changes nothing. One writer at a time.
+    """
+    fs, folder = _files(spark, f"{base}/{_MANIFESTS}")
+    fs.mkdirs(folder)
+    name = f"m{time.time_ns():020d}.json"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    hidden, final = path(folder, f"_{name}"), path(folder, name)
+    out = fs.create(hidden, True)
+    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.close()
+    if not fs.rename(hidden, final):
+        raise OSError(f"manifest {final.toString()} could not be published")
+    return final.toString()
+
+
+def manifests(spark: SparkSession, base: str) -> list[str]:
+    """The published manifests of ``base``, oldest first."""
+    fs, folder = _files(spark, f"{base}/{_MANIFESTS}")
+    if not fs.exists(folder):
+        return []
+    return sorted(x.getPath().toString() for x in fs.listStatus(folder) if x.getPath().getName().startswith("m"))
+
+
+def published(spark: SparkSession, base: str, manifest: str | None = None) -> dict | None:
+    """What the newest (or the given) manifest of ``base`` says; None before the first."""
+    known = manifests(spark, base)
+    if manifest is None and not known:
+        return None
+    fs, path = _files(spark, manifest or known[-1])
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def prune_published(spark: SparkSession, base: str, folders, keep: int = 2) -> int:
+    """Delete all but the ``keep`` newest manifests, and the version folders that none of those names.
+
+    ``folders``: what ``content`` names, as a function of it. Folders written after the newest manifest (by a run
+    that is under way) stay. Returns how many folders went.
+    """
+    known = manifests(spark, base)
+    held = {f.rstrip("/") for m in known[-keep:] for f in folders(published(spark, base, m))}
+    newest = known[-1].rpartition("/m")[2].partition(".")[0] if known else ""
+    gone = 0
+    for parent in {f.rpartition("/")[0] for m in known for f in folders(published(spark, base, m))}:
+        fs, place = _files(spark, parent)
+        for x in fs.listStatus(place) if fs.exists(place) else []:
+            name = x.getPath().getName()
+            if x.isDirectory() and name.startswith("v") and f"{parent}/{name}" not in held and name[1:].partition("-")[0] < newest:
+                fs.delete(x.getPath(), True)
+                gone += 1
+    for m in known[:-keep]:
+        fs, place = _files(spark, m)
+        fs.delete(place, False)
+    return gone
+
+
 def preview(df: DataFrame, analysis_col: str | None, key_col: str | None, n: int = 10) -> DataFrame:
     """A few assessed rows with a key (the notebooks' smoke reads)."""
     out = df

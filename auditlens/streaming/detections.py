@@ -2,7 +2,8 @@
 
 D1-D8 are stateless filter/project operators, so the batch functions take
 a streaming DataFrame unchanged (D8 without its look-back, which belongs
-to the batch refresh). D6 joins the stream with a static tag table.
+to the batch refresh). D6 joins the stream with a static tag table, or
+(``start_uc_escalations``) with the tags as each micro-batch finds them.
 
 As a job (keeps the detections table the periodic job reads)::
 
@@ -80,6 +81,23 @@ def start_append(df: DataFrame, checkpoint: str, sink: Callable | str = "parquet
     return writer.start()
 
 
+def start_uc_escalations(audit_stream: DataFrame, tags: Callable[[SparkSession], DataFrame], checkpoint: str, path: str,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """D6 on a stream whose tag table changes meanwhile.
+
+    ``tags(spark)`` is read again for every micro-batch, so a tag that is
+    added between two batches counts from the next one on; a tag table with
+    validity intervals is joined as of each event's time, whenever the event
+    arrives. A micro-batch that is run again replaces its own folder.
+    """
+    def write(rows: DataFrame, number: int) -> None:
+        found = D.uc_permission_escalations(rows, tags(rows.sparkSession))
+        found.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (audit_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def compact(spark: SparkSession, table: str, path: str, fmt: str = "parquet", keep: int = 2) -> DataFrame:
     """The detections table so far as a new snapshot version of few, large files (read it with ``latest_snapshot``).
 

@@ -103,6 +103,19 @@ SELECT 'main', 'hr', 't' || CAST(s_suppkey AS STRING), 'pii_phone' FROM supplier
 """
 
 
+#: The tag fixture with its history as SQL: tags begin on different days, and every fourth table's end after six days.
+TAG_HISTORY_SQL = """
+SELECT t.*, CAST(DATE '2024-01-05' + CAST(s.s_suppkey % 20 AS INT) AS {ts}) AS valid_from,
+       CASE WHEN s.s_suppkey % 4 = 0 THEN CAST(DATE '2024-01-11' + CAST(s.s_suppkey % 20 AS INT) AS {ts}) END AS valid_to
+FROM (""" + TAGS_SQL + """) t JOIN supplier s ON t.table_name = 't' || CAST(s.s_suppkey AS STRING)
+"""
+
+ARRIVALS = 6
+#: When a row arrives: with the five days of its time, and some rows one or two such spans late (the same SQL for both sides).
+ARRIVAL = (f"LEAST({ARRIVALS - 1}, CAST(FLOOR((CAST({{day}} AS INT) - 1) / 5) AS INT) + CASE WHEN event_id % 23 = 7 THEN 2 "
+           "WHEN event_id % 11 = 5 THEN 1 ELSE 0 END)")
+
+
 def flat_audit(events: DataFrame) -> DataFrame:
     """The flat fixture columns, one row per event."""
     base = events.selectExpr("*", f"{K_SPARK} AS k", f"{S_EXPR} AS s")
@@ -180,6 +193,12 @@ def audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def tag_history_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags with the time each holds."""
+    return spark.sql(TAG_HISTORY_SQL.format(ts="TIMESTAMP_NTZ").replace("supplier", "{supplier}"),
+                     supplier=spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet"))
+
+
 def tags_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TAGS_SQL.replace("supplier", "{supplier}"),
                      supplier=spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet"))
