@@ -31,6 +31,7 @@ from auditlens.session import ship_module
 MIN_MATCH = 5
 COVERAGE = 0.5
 BLOCK = 8 << 20
+PAIRS = 1 << 20  # of a text's distinct seeds and their places in items, at once (always one text at least)
 
 
 def tiles(a: np.ndarray, b: np.ndarray, starts: list[tuple[int, int]], k: int) -> list[tuple[int, int, int]]:
@@ -77,44 +78,65 @@ class Index:
         self.ids = ids
         self.items = [words.hashes[x:y] for x, y in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
         counts = words.counts()
-        self.seeds = {}
+        self.seeds, self.windows = {}, {}
         owner = words.doc_of_word()
         for k in sorted({min(int(n), min_match) for n in counts if n}):
             at, hashes = words.windows(k)
             mine = (counts[owner[at]] >= k) & ((k == min_match) | (counts[owner[at]] == k))
             at, hashes = at[mine], hashes[mine]
+            self.windows[k] = (hashes, np.searchsorted(at, words.bounds))  # item by item
             order = np.argsort(hashes, kind="stable")
             item = owner[at[order]]
             self.seeds[k] = (hashes[order], item, at[order] - words.bounds[item])
 
     def matches(self, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
-        """Row of the text, number of the item, tiles: of all pairs at or above the threshold."""
+        """Row of the text, number of the item, tiles: of all pairs at or above the threshold.
+
+        A seed that a text repeats counts once as long as it is only asked how much of an item its seeds could
+        cover; the places of a seed in the text are looked up for the pairs that can reach the threshold alone.
+        """
         words = Words(column, lower=True)
         owner = words.doc_of_word()
+        size = np.fromiter(map(len, self.items), np.int64, len(self.items))
         for k, (seeds, item, place) in self.seeds.items():
             at, hashes = words.windows(k)
+            first_window = np.searchsorted(at, words.bounds)
             lo, hi = np.searchsorted(seeds, hashes), np.searchsorted(seeds, hashes, "right")
             hit = np.flatnonzero(hi > lo)
-            n = (hi - lo)[hit]
-            which = np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            row, at, item_of, place_of = np.repeat(owner[at[hit]], n), np.repeat(at[hit], n), item[which], place[which]
-            order = np.lexsort((item_of, row))
-            row, at, item_of, place_of = row[order], at[order], item_of[order], place_of[order]
-            if not len(row):
-                continue
-            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (item_of[1:] != item_of[:-1])]))
-            for x, y in zip(new, [*new[1:], len(row)], strict=True):
-                r, i = int(row[x]), int(item_of[x])
-                goal = self.items[i]
-                most = np.zeros(len(goal), bool)
-                for d in range(k):
-                    most[place_of[x:y] + d] = True
-                if most.sum() < threshold * len(goal):
-                    continue
-                text = words.hashes[words.bounds[r]:words.bounds[r + 1]]
-                found = tiles(text, goal, list(zip((at[x:y] - words.bounds[r]).tolist(), place_of[x:y].tolist(), strict=True)), k)
-                if sum(t[2] for t in found) >= threshold * len(goal):
-                    yield r, i, found
+            seen, once = np.unique(owner[at[hit]] * (len(seeds) + 1) + lo[hit], return_index=True)  # by row, then seed
+            row, lo, n = seen // (len(seeds) + 1), lo[hit][once], (hi - lo)[hit][once]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ends = np.flatnonzero(np.diff(row, append=-1)) + 1  # of each text's seeds
+            x = 0
+            while x < len(row):
+                y = int(ends[max(np.searchsorted(upto[ends], upto[x] + PAIRS, "right") - 1, np.searchsorted(ends, x, "right"))])
+                yield from self.some(words, hashes, first_window, k, row[x:y], lo[x:y], n[x:y], item, place, threshold * size)
+                x = y
+
+    def some(self, words: Words, hashes: np.ndarray, first_window: np.ndarray, k: int, row: np.ndarray, lo: np.ndarray, n: np.ndarray,
+             item: np.ndarray, place: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+        """Matches of some texts, given as their distinct seeds; ``least``: words of each item that must be covered."""
+        which = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        row, item, place = np.repeat(row, n), item[which], place[which]
+        order = np.lexsort((place, item, row))
+        row, item, place = row[order], item[order], place[order]
+        new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0))
+        step = np.minimum(np.diff(place, append=0), k)  # words that a seed covers before the next one begins
+        step[np.append(new[1:] - 1, len(row) - 1)] = k
+        covered = np.add.reduceat(step, new)
+        for p in np.flatnonzero(covered >= least[item[new]]).tolist():
+            r, i = int(row[new[p]]), int(item[new[p]])
+            a, b = first_window[r], first_window[r + 1]
+            own, cut = self.windows[k]
+            goal = own[cut[i]:cut[i + 1]]
+            by = np.argsort(goal, kind="stable")
+            left, right = np.searchsorted(goal[by], hashes[a:b]), np.searchsorted(goal[by], hashes[a:b], "right")
+            m = right - left
+            starts = np.repeat(np.arange(b - a), m), by[np.repeat(left - np.cumsum(m) + m, m) + np.arange(m.sum())]
+            text = words.hashes[words.bounds[r]:words.bounds[r + 1]]
+            found = tiles(text, self.items[i], list(zip(starts[0].tolist(), starts[1].tolist(), strict=True)), k)
+            if sum(t[2] for t in found) >= least[i]:
+                yield r, i, found
 
 
 def benchmark_blocks(benchmark: DataFrame, min_match: int, block_bytes: int) -> Iterator[Index]:
