@@ -19,6 +19,7 @@ the manifest and so do not count.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import gzip
 import hashlib
 import re
@@ -75,27 +76,62 @@ def arc_record(version: int, url: str, body: bytes, name: str, offset: int, kind
     return line.encode() + b"\n" + body + b"\n"
 
 
-def read_arc(stream: BinaryIO) -> Iterator[Arc]:
-    """Records of an ARC file, the file description first; raises ValueError for a line that fits no version."""
+#: Header lines. The URL may hold blanks and the type parameters, so the fixed fields between them are looked for.
+_PLACE = r"(?P<url>.*) (?P<ip>[0-9A-Fa-f.:]+|-) (?P<date>\d{4,17}) (?P<type>.*)"
+LINES = {
+    1: re.compile(_PLACE + r" (?P<length>\d+)"),
+    2: re.compile(_PLACE + r" (?P<result>\d+|-) (?P<checksum>\S+) (?P<location>\S+) (?P<offset>\d+|-) (?P<filename>\S+) (?P<length>\d+)"),
+}
+
+
+def read_arc(stream: BinaryIO, refused: list[str] | None = None) -> Iterator[Arc]:
+    """Records of an ARC file, the file description first; raises ValueError if that is missing or of no known version.
+
+    A line that is no header line goes to ``refused``; if it ends with a length, so many bytes are skipped, else the
+    next header line is looked for.
+    """
     version = None
     while line := stream.readline():
         if not line.strip():
             continue
-        words = line.decode("utf-8", "replace").rstrip("\r\n").split(" ")
-        if version is None and not words[0].startswith("filedesc:"):
-            raise ValueError("an ARC file begins with a filedesc record")
-        names = FIELDS[version] if version else FIELDS[1] if len(words) == 5 else FIELDS[2]
-        if len(words) != len(names) or not words[-1].isdigit():
-            raise ValueError(f"no ARC header line: {line[:200]!r}")
-        fields = dict(zip(names, words, strict=True))
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if version is None:
+            if not text.startswith("filedesc:"):
+                raise ValueError("an ARC file begins with a filedesc record")
+            found = LINES[2].fullmatch(text) or LINES[1].fullmatch(text)
+            if not found:
+                raise ValueError(f"no ARC header line: {text[:200]!r}")
+        else:
+            found = LINES[version].fullmatch(text)
+        if not found:
+            if refused is not None:
+                refused.append(text[:200])
+            length = text.rpartition(" ")[2]
+            if length.isdigit():
+                stream.read(int(length))
+            continue
+        fields = {name: found[name] for name in found.groupdict()}
         body = stream.read(int(fields["length"]))
         if version is None:
-            version = int(body.split(b" ", 1)[0])
+            head = body.split(b" ", 1)[0]
+            version = int(head) if head.isdigit() else None
             if version not in FIELDS:
-                raise ValueError(f"unknown ARC version {version}")
+                raise ValueError(f"unknown ARC version {head[:20]!r}")
         yield Arc(fields, body, len(body) < int(fields["length"]))
 
 
+def iso_date(date: str) -> str:
+    """A WARC date from the digits of an ARC one; what is missing or impossible is the least possible (month and day 01)."""
+    for n in (14, 12, 10, 8, 6, 4):
+        if len(date) >= n:
+            whole = date[:n] + "YYYY0101000000"[n:]
+            try:
+                return dt.datetime.strptime(whole, "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0")
+            except ValueError:
+                continue
+    return "0001-01-01T00:00:00Z"
+
+
 def split_http(body: bytes) -> tuple[bytes, bytes]:
     """HTTP headers with their blank line, and payload."""
     ends = [m.end() for m in (re.search(rb"\r\n\r\n", body), re.search(rb"\n\n", body)) if m]
@@ -114,8 +150,7 @@ def sha1_32(data: bytes) -> str:
 
 def warc_record(arc: Arc, name: str, number: int, revisit_of: dict | None = None) -> bytes:
     """The WARC record of an ARC record; ``revisit_of`` has id, page and url of the response it repeats."""
-    date = arc.fields["date"].ljust(14, "0")
-    iso = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+    iso = iso_date(arc.fields["date"])
     headers, payload = split_http(arc.body)
     block = arc.body
     page = http_field(headers, "X-Page-Id")
@@ -222,17 +257,19 @@ def index_arc(manifest: DataFrame, folder: str) -> DataFrame:
         run, "file string, number long, page_id long, url string, bytes long, sha1 binary"), f"{folder}/index")
 
 
-def revisits(index: DataFrame, min_bytes: int, salts: int = 16) -> DataFrame:
+def revisits(index: DataFrame, min_bytes: int, rows_per_salt: int = 50_000) -> DataFrame:
     """file and its revisit records: number, and the file, number and page of the response.
 
     The response is the record with the largest page id (null: smallest;
     then by file and number). Salted on both sides, so that a payload that
-    many pages share is split.
+    many pages share is split: into as many parts as its number asks for.
     """
     large = index.where(F.col("bytes") >= min_bytes)
     best = large.groupBy("sha1", "bytes").agg(
         F.max(F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("o"), "file", "number", "page_id")).alias("r"),
         F.count("*").alias("n")).where("n > 1")
+    salts = -(-int(best.agg(F.max("n")).first()[0] or 1) // rows_per_salt)
+    salts = max(16, salts)
     best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     mine = large.withColumn("salt", F.pmod(F.xxhash64("file", "number"), F.lit(salts)).cast("int"))
     both = mine.join(best, ["sha1", "bytes", "salt"]).where("file <> r.file or number <> r.number")
@@ -242,7 +279,7 @@ def revisits(index: DataFrame, min_bytes: int, salts: int = 16) -> DataFrame:
 
 
 def convert(manifest: DataFrame, repeated: DataFrame, folder: str) -> DataFrame:
-    """A WARC file for each ARC file; the manifest: file, records."""
+    """A WARC file for each ARC file; the manifest: file, records, refused (lines that are no header line)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = filesystem(folder)
         store.create_dir(f"{root}/warc", recursive=True)
@@ -250,13 +287,13 @@ def convert(manifest: DataFrame, repeated: DataFrame, folder: str) -> DataFrame:
             for name, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 again = {r["number"]: {"id": record_id(r["of_file"], r["of_number"]), "page": r["page_id"]} for r in own or ()}
                 target = f"{name.removesuffix('.arc.gz')}-{uuid.uuid4().hex[:8]}.warc.gz"
-                n = 0
+                n, refused = 0, []
                 with (store.open_input_stream(f"{root}/arc/{name}", compression=None) as f, gzip.GzipFile(fileobj=f) as records,
                       store.open_output_stream(f"{root}/warc/{target}", compression=None) as out):
-                    for number, arc in enumerate(read_arc(records)):
+                    for number, arc in enumerate(read_arc(records, refused)):
                         out.write(member(warc_record(arc, name, number, again.get(number))))
                         n += 1
-                yield pa.RecordBatch.from_pydict({"file": [target], "records": [n]})
+                yield pa.RecordBatch.from_pydict({"file": [target], "records": [n], "refused": [len(refused)]})
 
     rows = manifest.select("file").join(repeated, "file", "left")
     return written(spread(rows).mapInArrow(run, "file string, records long"), f"{folder}/warc-files")
