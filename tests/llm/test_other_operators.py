@@ -9,6 +9,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from auditlens.llm import decontaminate, fingerprints, quality, url_rules, warc
 from auditlens.llm.queries import ORACLE_SQL, QUERIES, RULES
@@ -63,6 +64,40 @@ def test_tiles_equal_plain_greedy_search():
         assert all(a[i:i + n] == b[j:j + n] for i, j, n in found)
 
 
+def test_a_shared_prefix_multiplies_nothing():
+    """5,000 items of one prefix against a text that repeats it: few pairs at once, and the same matches."""
+    import tracemalloc
+    prefix = " ".join(f"p{i}" for i in range(9))
+    items = [f"{prefix} {' '.join(f'x{n}y{i}' for i in range(11))}" for n in range(5000)]
+    text = " ".join([prefix] * 2000) + " " + items[77] + " " + " ".join(items[4321].split()[4:])
+    index = decontaminate.Index(list(range(5000)), items, 5)
+    tracemalloc.start()
+    got = {(r, i): sum(x[2] for x in t) for r, i, t in index.matches(pa.array(["nothing here at all to see", text, None]), 0.5)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got) == {(1, 77), (1, 4321)} and peak < 100 << 20
+    words = text.split()
+    assert got == {(1, i): greedy(words, items[i].split(), 5) for i in (77, 4321)}
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 20])
+def test_slices_of_texts_give_the_same_matches(monkeypatch, pairs):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    r = random.Random(4)
+    items = [" ".join(f"w{r.randrange(12)}" for _ in range(r.choice([2, 6, 20]))) for _ in range(30)]
+    texts = [" ".join(f"w{r.randrange(12)}" for _ in range(r.choice([0, 3, 30, 200]))) + " " + r.choice(items) for _ in range(25)]
+    index = decontaminate.Index(list(range(30)), items, 5)
+    got = {(row, i): sum(x[2] for x in t) for row, i, t in index.matches(pa.array(texts), 0.5)}
+    want = {}
+    for row, text in enumerate(texts):
+        for i, item in enumerate(items):
+            k = min(5, len(item.split()))
+            found = greedy(text.split(), item.split(), k)
+            if found >= 0.5 * len(item.split()):
+                want[row, i] = found
+    assert got == want
+
+
 def test_contaminated_documents(spark, docs_of):
     item = [f"q{i}" for i in range(30)]
     swapped = item[15:] + ["between"] + item[:15]
@@ -201,11 +236,28 @@ def test_arc_records_and_their_warc_form(version):
     assert block == http and fields["x-page-id"] == "7" and fields["warc-date"] == "2024-01-01T00:00:00Z"
     assert fields["warc-payload-digest"] == warc.sha1_32(b"<a>\n") and fields["warc-block-digest"] == warc.sha1_32(http)
     assert out[3][0]["warc-truncated"] == "unspecified" and len({f["warc-record-id"] for f, _ in out}) == 4
-    for broken in (b"http://x 0.0.0.0 2024 t 3\nabc", warc.arc_file_header("f", version) + b"a b\n", b"filedesc://f 0.0.0.0 2024 t 2\n9 "):
+    for broken in (b"http://x 0.0.0.0 2024 t 3\nabc", b"filedesc://f x\n", b"filedesc://f 0.0.0.0 2024 t 2\n9 "):
         with pytest.raises(ValueError):
             list(warc.read_arc(io.BytesIO(broken)))
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_real_header_lines(version):
+    """URLs with blanks, types with parameters, short dates; what is no header line is refused, and the rest is read."""
+    tail = " 200 - - 0 f.arc" if version == 2 else ""
+    data = warc.arc_file_header("f.arc", version)
+    data += f"http://x/a b?q=1 2 10.0.0.1 2024 text/html; charset=utf-8{tail} 3\nabc\n".encode()
+    data += b"no header at all 4\nskip\n" + b"garbage without a length\n"
+    data += f"http://y/ :: 20241399 -{tail} 2\nde\n".encode() + f"http://z/ - 20240229123456 text/plain{tail} 0\n".encode()
+    refused = []
+    records = list(warc.read_arc(io.BytesIO(data), refused))[1:]
+    assert [(r.fields["url"], r.fields["type"], r.body) for r in records] == [
+        ("http://x/a b?q=1 2", "text/html; charset=utf-8", b"abc"), ("http://y/", "-", b"de"), ("http://z/", "text/plain", b"")]
+    assert refused == ["no header at all 4", "garbage without a length"]
+    dates = [next(warc.read_warc(io.BytesIO(warc.warc_record(r, "f", i))))[0]["warc-date"] for i, r in enumerate(records)]
+    assert dates == ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z", "2024-02-29T12:34:56Z"]
+
+
 def test_archives_against_sql(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "_PER_FILE", 7)
     big, bytes_999 = "<p>é</p>" * 200, "x" * 999
@@ -227,4 +279,4 @@ def test_archives_against_sql(spark, tmp_path, monkeypatch):
 
 
 def test_registered_queries():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{i}" for i in range(1, 14)]

@@ -93,8 +93,7 @@ def test_query_against_plain_python(spark):
     d = "/root/testdata/sf0.001"
     got = QUERIES["op1_packing"](spark, d).toPandas()
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{d}/documents.parquet'").fetchall())
+    texts = dict(duckdb.connect().execute(f"SELECT doc_id, text FROM '{d}/documents.parquet'").fetchall())
     want = set()
     for doc, text in texts.items():
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
