@@ -25,6 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from auditlens.functions.exprs import joined_set  # noqa: E402
 from auditlens.operators import assess as R  # noqa: E402
+from auditlens.operators import correlation as X  # noqa: E402
 from auditlens.operators import posture as C  # noqa: E402
 from auditlens.operators import summaries as A  # noqa: E402
 from auditlens.plans.incremental import DailyStates  # noqa: E402
@@ -343,6 +344,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q10_high_frequency_actors": _q(lambda p: p.q10()),
         "q11_compliance_report": _q(lambda p: p.q11()),
         "q12_cross_correlation": _q(lambda p: p.q12()),
+        "q12_actions_after_failed_logins": _q(lambda p: p.actions_after_failed_logins(6)),
+        "q12_actors_after_failed_logins": _q(lambda p: X.actors_after_failed_logins(p.actions_after_failed_logins(48, 2))),
         "q13_analysis_volume": _q(lambda p: _round(p.q13(), "avg_response_length")),
         "q14_account_admin_drilldown": _q(lambda p: p.q14()),
         "q15_workspace_acl_drilldown": _q(lambda p: p.q15()),

@@ -38,12 +38,13 @@ from auditlens.functions import scoring as S
 from auditlens.operators import alert_states as LS
 from auditlens.operators import alerts as L
 from auditlens.operators import assess as R
+from auditlens.operators import correlation as X
 from auditlens.operators import detections as D
 from auditlens.operators import posture as C
 from auditlens.operators import reports as Q
 from auditlens.operators import summaries as A
 from auditlens.operators.memory import AssessmentMemory
-from auditlens.functions.exprs import DatePartition, parse_as_of, time_type, ts_literal
+from auditlens.functions.exprs import DatePartition, parse_as_of, since, time_type, ts_literal
 from auditlens.plans import shared_scan as SS
 from auditlens.plans.incremental import DailyStates
 from auditlens.sources.audit import resolve_as_of
@@ -242,6 +243,12 @@ class SecurityPipeline:
     def q17(self): return Q.q17_uc_permission(self.r_uc, self.as_of)
     def q18(self): return Q.q18_account_setting(self.r_as, self.as_of)
 
+    def actions_after_failed_logins(self, hours: int = 6, least: int = 1) -> DataFrame:
+        """Privileged actions of the look-back soon after failed logins of the same user."""
+        actions = X.privileged_actions({name: since(self.w(name), self.as_of, self.h) for name in X.PRIVILEGED})
+        logins = since(self.w("d1"), self.as_of, self.h)
+        return X.actions_after_failed_logins(logins, actions, hours, least)
+
     # alerts
     @cached_property
     def definitions_rows(self): return L.definition_rows(self.rules)
