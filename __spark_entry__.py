@@ -235,6 +235,13 @@ def _uc_stream_with_new_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows").drop("batch")
 
 
+def _damaged_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit log with ``changes`` cut off, replaced by a text or by a list of texts in three of five events."""
+    params = F.expr("""transform_values(request_params, (k, v) -> CASE WHEN k <> 'changes' THEN v WHEN event_id % 5 = 0 THEN
+        substring(v, 1, length(v) - 2) WHEN event_id % 5 = 1 THEN '"OWNERSHIP"' WHEN event_id % 5 = 2 THEN '["MANAGE"]' ELSE v END)""")
+    return audit_table(spark, sf_dir).withColumn("request_params", params)
+
+
 def _remembered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 with a memory: the assessments of a week in a memory that holds those of the week up to a day before."""
     p = pipeline(spark, sf_dir, refresh=False)
@@ -365,6 +372,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "st2_login_threshold_batch": _q(_st2),
         "d6_tags_over_time": lambda spark, sf_dir: D.uc_permission_escalations(
             audit_table(spark, sf_dir), tag_history_fixture(spark, sf_dir)),
+        "d6_refused_changes": lambda spark, sf_dir: D.uc_refused_changes(_damaged_changes(spark, sf_dir), tags_fixture(spark, sf_dir)),
+        "d6_kept_changes": lambda spark, sf_dir: D.uc_permission_escalations(_damaged_changes(spark, sf_dir), tags_fixture(spark, sf_dir)),
         "st1_stream_d5": _appended("d5"),
         "st1_stream_d6": _appended("d6"),
         "st1_stream_d8": _appended("d8"),

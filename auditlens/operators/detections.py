@@ -161,6 +161,18 @@ def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bo
     measures. Each element of ``changes`` becomes a row. A tag table with
     validity intervals is joined as of the event's time.
     """
+    item = F.explode(F.from_json(F.col("_changes"), CHANGES_SCHEMA)).alias("_item")
+    return _sensitive_changes(audit, tags, dedupe_tags).select("*", item).select(
+        "event_time", "service_name", "workspace_id", "actor",
+        "securable_type", "securable_full_name", "action_name",
+        F.lit("UC_PERMISSION_CHANGE").alias("escalation_type"),
+        F.col("_item.principal").alias("target_principal"),
+        F.col("_item.add").alias("permissions"),
+    )
+
+
+def _sensitive_changes(audit: DataFrame, tags: DataFrame, dedupe_tags: bool) -> DataFrame:
+    """The events of D6 before their ``changes`` are taken apart."""
     candidates = audit.filter(uc_candidate_filter()).select(
         "event_time", "service_name", "workspace_id", "action_name",
         actor().alias("actor"),
@@ -168,18 +180,26 @@ def uc_permission_escalations(audit: DataFrame, tags: DataFrame, dedupe_tags: bo
         param("securable_full_name").alias("securable_full_name"),
         param("changes").alias("_changes"),
     )
-    joined = with_tags(candidates, tags, dedupe_tags)
     name = F.col("securable_full_name")
-    kept = joined.filter(
+    return with_tags(candidates, tags, dedupe_tags).filter(
         name.like("%pii%") | (name == UC_SYSTEM_NAME) | F.col("_tagged_name").isNotNull())
-    item = F.explode(F.from_json(F.col("_changes"), CHANGES_SCHEMA)).alias("_item")
-    return kept.select("*", item).select(
-        "event_time", "service_name", "workspace_id", "actor",
-        "securable_type", "securable_full_name", "action_name",
-        F.lit("UC_PERMISSION_CHANGE").alias("escalation_type"),
-        F.col("_item.principal").alias("target_principal"),
-        F.col("_item.add").alias("permissions"),
-    )
+
+
+def uc_refused_changes(audit: DataFrame, tags: DataFrame, dedupe_tags: bool = False) -> DataFrame:
+    """The events of D6 that give it no row, because their ``changes`` can't be taken apart, with the reason.
+
+    ``malformed``: no JSON; ``not_an_array``: another JSON value; ``empty``: an array of nothing;
+    ``unexpected_elements``: an array, but not of objects with the declared fields. Every event is either here or
+    in D6 with a row for each element.
+    """
+    parsed = F.from_json(F.col("_changes"), CHANGES_SCHEMA)
+    value = F.try_parse_json("_changes")
+    elements = F.try_variant_get(value, "$", "array<variant>")
+    reason = (F.when(value.isNull(), "malformed").when(elements.isNull(), "not_an_array")
+              .when(F.size(elements) == 0, "empty").otherwise("unexpected_elements"))
+    refused = _sensitive_changes(audit, tags, dedupe_tags).filter(parsed.isNull() | (F.size(parsed) == 0))
+    return refused.select("event_time", "service_name", "workspace_id", "actor", "securable_type", "securable_full_name",
+                          F.col("_changes").alias("changes"), reason.alias("reason"))
 
 
 def account_setting_changes(audit: DataFrame) -> DataFrame:

@@ -110,3 +110,19 @@ def test_actor_falls_back_to_run_by(make_audit):
     audit = make_audit([audit_row(action="setAdmin", run_by="job-7", params={"targetUserName": "t"})])
     r = D.account_admin_assignments(audit).first()
     assert (r.actor, r.target_user, r.indicator, r.severity) == ("job-7", "t", "ACCOUNT_ADMIN_GRANTED", "Critical")
+
+
+def test_changes_are_taken_apart_or_refused(spark, make_audit):
+    """Each event gives D6 its rows or is refused with a reason, never both, never neither."""
+    texts = {"good": '[{"principal":"p","add":["MANAGE"]}]', "two": '[{"principal":"p","add":["MANAGE"]},{"principal":"q"}]',
+             "cut": '[{"principal":"p","add":["MANAGE"', "text": '"MANAGE"', "words": '["MANAGE"]', "plain": "MANAGE",
+             "one": '{"principal":"p","add":["MANAGE"]}', "hidden": '[] -- MANAGE', "number": '[1, "OWNERSHIP"]'}
+    rows = [audit_row(service="unityCatalog", action="updatePermissions", email=name, params={
+        "securable_type": "TABLE", "securable_full_name": "m.pii.t", "changes": text}) for name, text in texts.items()]
+    tags = spark.createDataFrame([], "catalog_name string, schema_name string, table_name string, tag_value string")
+    kept = {r["actor"] for r in D.uc_permission_escalations(make_audit(rows), tags).collect()}
+    refused = {r["actor"]: r["reason"] for r in D.uc_refused_changes(make_audit(rows), tags).collect()}
+    assert kept | set(refused) == set(texts) and not kept & set(refused)
+    assert {"good", "two"} <= kept
+    assert {k: refused[k] for k in ("cut", "text", "words", "plain")} == {
+        "cut": "malformed", "text": "not_an_array", "words": "unexpected_elements", "plain": "malformed"}
