@@ -36,6 +36,7 @@ from auditlens.operators import detections as D  # noqa: E402
 from auditlens.operators.memory import AssessmentMemory  # noqa: E402
 from tools.audit_fixture import ARRIVAL, ARRIVALS, audit_table, tag_history_fixture, tags_fixture  # noqa: E402
 from auditlens.sources.sinks import snapshot_root  # noqa: E402
+from auditlens.sources.sql_surface import register_sql  # noqa: E402
 from auditlens.streaming.detections import (  # noqa: E402
     read_audit_stream,
     start_append,
@@ -171,6 +172,15 @@ def _alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.alert_states([p.as_of - timedelta(hours=5 * k) for k in range(10)])
 
 
+def _states_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 through the library's SQL functions, as a SQL user would write it."""
+    register_sql(spark)
+    p = pipeline(spark, sf_dir)
+    return spark.sql("""
+        SELECT name, value, alert_state(value, comparison_operator => comparison_operator, threshold_value => threshold_value) AS state
+        FROM {values} JOIN {definitions} USING (name)""", values=p.metrics(), definitions=p.definitions)
+
+
 _STREAMED: dict[tuple, str] = {}
 
 
@@ -367,6 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "l6_alert_evaluation": _q(lambda p: p.l6()),
         "l6_custom_rules": _custom_rules,
         "l6_alert_states": _alert_states,
+        "l6_states_by_sql_function": _states_by_sql,
         "st1_stream_detections": _stream_detections,
         "st1_alerts_from_stream": _alerts_from_stream,
         "st2_login_threshold_batch": _q(_st2),
