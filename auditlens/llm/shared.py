@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,6 +27,17 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def clear_runs(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Deletes the run folders that were last written so long ago; returns how many. Their results can't be read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [x.getPath() for x in store.listStatus(folder) if time.time() * 1000 - x.getModificationTime() > older_than_hours * 3_600_000] if store.exists(
+        folder) else []
+    for path in old:
+        store.delete(path, True)
+    return len(old)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written as Parquet at ``path`` and read again: cuts the lineage, survives lost executors."""
     df.write.mode("error").option("compression", "zstd").parquet(path)

@@ -52,3 +52,15 @@ def test_odd_tables_pass_all_stages(spark, docs_of, rows):
     packed = packing.pack(packing.pieces_of(docs, byte_bpe()))
     assert packed.count() >= bool(rows)
     assert np.all([r.offset + r.length <= 2048 for r in packed.collect()])
+
+
+@pytest.mark.parametrize("rows", [[], [(-1, None), (None, ""), (-2, "a b"), (-2, "a b"), (None, "some text"), (-3, "y " * 50_000)]])
+def test_quality_stage_on_odd_rows(spark, docs_of, rows):
+    """Odd rows beside the labelled documents are judged like any other, and none is changed."""
+    odd = docs_of([*rows, (0, "x")]).where("doc_id IS NULL OR doc_id < 0")
+    known = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = odd.unionByName(known).withColumn("predicted", F.lit("mine"))
+    kept = corpus_pipeline.quality_filter(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert kept.exceptAll(docs).count() == 0 and kept.where("doc_id >= 0").count() > 100
+    assert corpus_pipeline.quality_filter(spark, odd.limit(0), SF).count() == 0

@@ -84,3 +84,17 @@ def test_ids_of_any_text_with_end_signs(encoder, plain, texts):
     ids, bounds = encoder.encode(pa.array(texts, pa.string()))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [
         plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_run_folders_are_cleared(spark):
+    import os
+    import time
+    from auditlens.llm import shared
+    folders = [shared.run_folder(spark, "test") for _ in range(2)]
+    for f in folders:
+        spark.range(3).write.parquet(f"{f}/rows")
+    local = [f.replace("file:", "") for f in folders]
+    past = time.time() - 1000 * 3600
+    os.utime(local[0], (past, past))
+    assert shared.clear_runs(spark, older_than_hours=900) >= 1
+    assert not os.path.exists(local[0]) and spark.read.parquet(f"{folders[1]}/rows").count() == 3
