@@ -31,7 +31,11 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id (texts without words all stay)."""
+    """Of each group of near-duplicates the document with the smallest id.
+
+    Null and empty texts and texts without words are duplicates of nothing and all stay; of repeated rows one stays
+    (of a group without ids one, too); an empty table gives no rows; very long texts are compared whole.
+    """
     return near_dup.without_near_duplicates(docs)
 
 
@@ -50,12 +54,20 @@ def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold less than half of every benchmark item."""
+    """Documents that hold less than half of every benchmark item.
+
+    Null and empty texts hold nothing and stay, repeated rows and null ids stay as they are; an empty table on either
+    side takes nothing away; very long texts are searched whole.
+    """
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces, packed: doc_id, piece, start, length, ids, sequence_id, offset."""
+    """The documents' token pieces, packed: doc_id, piece, start, length, ids, sequence_id, offset.
+
+    A null or empty text is its end sign alone; repeated rows and null ids have pieces of their own; texts longer than a
+    sequence are cut, however long they are; an empty table gives no rows.
+    """
     return packing.pack(packing.pieces_of(docs, byte_bpe()))
 
 
