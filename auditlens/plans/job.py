@@ -68,13 +68,13 @@ def main(argv=None) -> None:
     parser.add_argument("--as-of", default=None)
     parser.add_argument("--detections", default=None)
     parser.add_argument("--scorer", default=None, help="module:function of a pandas scorer")
-    parser.add_argument("--rules", default=None, help="alert-rule catalogue (JSON) on the driver")
+    parser.add_argument("--rules", default=None, help="alert-rule catalogue (JSON), in any file system that Spark reads")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("auditlens-job").getOrCreate()
     for name, path in run_job(spark, args.audit, args.tags, args.out, args.as_of,
                               detections_source=args.detections,
                               scorer=load_scorer(args.scorer, spark),
-                              rules=load_rules(args.rules)).items():
+                              rules=load_rules(args.rules, spark)).items():
         print(f"{name}\t{path}")
 
 

@@ -12,13 +12,23 @@ import json
 from importlib import resources
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
+from auditlens.sources.sinks import read_text
+
 DEFAULT_CRON = "0 0 10 1/7 * ?"
 
 
-def load_rules(rules_file: str | Path | None = None) -> dict:
-    """Load the rule catalogue (JSON). Without a path, the packaged catalogue."""
+def load_rules(rules_file: str | Path | None = None, spark: SparkSession | None = None) -> dict:
+    """Load the rule catalogue (JSON). Without a path, the packaged catalogue.
+
+    With a session the file is read where Spark reads its tables (shared storage, any of its file systems): a job in
+    cluster mode needs no copy on its driver's host.
+    """
     if rules_file is None:
         text = resources.files("auditlens.sources").joinpath("alert_rules.json").read_text()
+    elif spark is not None:
+        text = read_text(spark, str(rules_file))
     else:
         text = Path(rules_file).read_text()
     rules = json.loads(text)

@@ -93,6 +93,16 @@ def _files(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file from any file system that Spark reads."""
+    fs, place = _files(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def publish(spark: SparkSession, base: str, content: dict) -> str:
     """Make ``content`` (any JSON; folders by name, for example) the published state of ``base``.
 
@@ -126,12 +136,7 @@ def published(spark: SparkSession, base: str, manifest: str | None = None) -> di
     known = manifests(spark, base)
     if manifest is None and not known:
         return None
-    fs, path = _files(spark, manifest or known[-1])
-    stream = fs.open(path)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    return json.loads(read_text(spark, manifest or known[-1]))
 
 
 def prune_published(spark: SparkSession, base: str, folders, keep: int = 2) -> int:

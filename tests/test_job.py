@@ -68,3 +68,13 @@ def test_job_takes_a_catalogue(spark, tmp_path):
     rules = {"global": {}, "alerts": {"mine": {"metric": {"source": "d7"}, "comparison_operator": "GREATER_THAN", "threshold_value": 0}}}
     out = run_job(spark, audit_table(spark, SF_SMALL), tags_fixture(spark, SF_SMALL), str(tmp_path / "out"), rules=rules)
     assert [r.name for r in spark.read.parquet(out["l6"]).collect()] == ["mine"]
+
+
+def test_catalogue_from_shared_storage(spark, tmp_path):
+    """The catalogue is read through Spark's file systems, by URI too."""
+    import json
+
+    from auditlens.sources.rules import load_rules
+    rules = load_rules() | {"note": "é"}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    assert load_rules(f"file://{tmp_path}/rules.json", spark) == rules == load_rules(tmp_path / "rules.json")
