@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.llm.chunks import CHUNK_BYTES, Chunks, answers_at, by_slot
+from auditlens.llm.chunks import CHUNK_BYTES, FAN, Chunks, answers_at
 from auditlens.llm.shared import blocks, boxed, places, run_folder, unboxed
 from auditlens.llm.words import Words
 
@@ -48,7 +48,7 @@ def place(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = None, folder: str | None = None,
-                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                   chunk_bytes: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (the words that stay, joined by one space).
 
     Every row stays, with its other columns (columns of the added names are
@@ -61,10 +61,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
         raise ValueError("a window must hold a whole anchor block wherever it stands: anchor <= (window + 1) / 2")
     folder = folder or run_folder(docs.sparkSession, "repeats")
     columns = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    chunks = Chunks(boxed(docs), folder, chunk_bytes)
+    chunks = Chunks(boxed(docs), folder, chunk_bytes, fan=fan)
     slots = max(1, -(-chunks.count * chunk_bytes // SLOT_BYTES))
 
-    def probes(chunk: int, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    def probes(chunk: int, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         """All rolling windows' hashes, those of reference blocks marked."""
         found, blocks_ = [], []
         for block in columns_of(batch):
@@ -81,47 +81,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
         many = np.diff(np.append(first, len(key))) > 1
         indexed = (key[first] & np.uint64(1)) == 0  # a block's key sorts before the same key without a block
         whole = whole[first]
-        bounds = np.searchsorted(whole >> np.uint64(32), np.arange(slots + 1, dtype=np.uint64))
-        for s in range(slots):
-            a, b = bounds[s], bounds[s + 1]
-            if b > a:
-                flags = np.packbits(np.concatenate([indexed[a:b], many[a:b]])).tobytes()
-                yield s, np.uint32(b - a).tobytes() + whole[a:b].astype("<u4").tobytes() + flags
-
-    def hits(slot: int, numbers: list[int], payloads: list) -> Iterator[tuple[int, bytes]]:
+        flags = indexed.astype(np.uint8) | many.astype(np.uint8) << 1
+        return (whole >> np.uint64(32)).astype(np.int64), whole.astype("<u4"), flags
+
+    def hits(slot: int, owner: np.ndarray, owners: int, fields: tuple) -> tuple[np.ndarray, np.ndarray, None]:
         """For each chunk its hashes that the index holds and that occur twice at least."""
-        rest, owner, indexed, many = [], [], [], []
-        for i, p in enumerate(payloads):
-            n = int(np.frombuffer(p, "<u4", 1)[0])
-            flags = np.unpackbits(np.frombuffer(p, np.uint8, offset=4 + 4 * n))[:2 * n].astype(bool)
-            rest.append(np.frombuffer(p, "<u4", n, 4))
-            owner.append(np.full(n, i, np.int32))
-            indexed.append(flags[:n])
-            many.append(flags[n:])
-        value = np.concatenate(rest)
+        value, flags = fields
         order = np.argsort(value, kind="stable")
-        value = value[order]
+        value, flags = value[order], flags[order]
         first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
         size = np.diff(np.append(first, len(value)))
-        good = np.logical_or.reduceat(np.concatenate(indexed)[order], first) & (
-            (size > 1) | np.logical_or.reduceat(np.concatenate(many)[order], first))
-        good = np.repeat(good, size)
-        value, owner_ = value[good], np.concatenate(owner)[order][good]
-        by, bounds = by_slot(owner_, len(numbers))
-        for i, number in enumerate(numbers):
-            if bounds[i + 1] > bounds[i]:
-                yield number, value[by[bounds[i]:bounds[i + 1]]].astype("<u4").tobytes()
-
-    first = chunks.ask("anchors", probes, hits)
+        seen = np.bitwise_or.reduceat(flags, first)
+        good = np.repeat((seen & 1 > 0) & ((size > 1) | (seen & 2 > 0)), size)
+        return (*by_owner(owner[order][good], value[good]), None)
+
+    first = chunks.ask("anchors", slots, probes, ("<u4", "u1"), hits, "<u4")
     anchors = first.path
 
-    def extended(chunk: int, batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    def extended(chunk: int, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         """Full hashes of the windows that contain a hit."""
-        found = answers_at(anchors).of(chunk)
-        if not found:
-            return
-        known = np.sort(np.concatenate([np.uint64(s << 32) + np.frombuffer(p, "<u4").astype(np.uint64)
-                                        for s, p in found.items()]))
+        own, rest = answers_at(anchors, "<u4").of(chunk)
+        if not len(rest):
+            return np.zeros(0, np.int64), np.zeros(0, "<u8"), np.zeros(0, np.uint8)
+        known = np.sort(own.astype(np.uint64) << np.uint64(32) | rest.astype(np.uint64))
         full = []
         for block in columns_of(batch):
             words = Words(text_of(block), lower=False)
@@ -133,37 +115,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
             starts, whole = words.windows(window)
             full.append(whole[upto[starts + window - anchor + 1] > upto[starts]])
         value, n = np.unique(np.concatenate(full), return_counts=True)
-        slot, _ = place(value, slots)  # sorted by hash, so by slot
-        bounds = np.searchsorted(slot, np.arange(slots + 1))
-        for s in range(slots):
-            a, b = bounds[s], bounds[s + 1]
-            if b > a:
-                yield s, np.uint32(b - a).tobytes() + value[a:b].astype("<u8").tobytes() + np.packbits(n[a:b] > 1).tobytes()
-
-    def repeats(slot: int, numbers: list[int], payloads: list) -> Iterator[tuple[int, bytes]]:
+        return place(value, slots)[0], value.astype("<u8"), (n > 1).astype(np.uint8)  # sorted by hash, so by slot
+
+    def repeats(slot: int, owner: np.ndarray, owners: int, fields: tuple) -> tuple[np.ndarray, np.ndarray, None]:
         """For each chunk its windows that occur twice at least."""
-        values, owner, many = [], [], []
-        for i, p in enumerate(payloads):
-            n = int(np.frombuffer(p, "<u4", 1)[0])
-            values.append(np.frombuffer(p, "<u8", n, 4))
-            owner.append(np.full(n, i, np.int32))
-            many.append(np.unpackbits(np.frombuffer(p, np.uint8, offset=4 + 8 * n))[:n].astype(bool))
-        value = np.concatenate(values)
+        value, many = fields
         order = np.argsort(value, kind="stable")
         value = value[order]
         first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
         size = np.diff(np.append(first, len(value)))
-        good = np.repeat((size > 1) | np.logical_or.reduceat(np.concatenate(many)[order], first), size)
-        value, owner_ = value[good], np.concatenate(owner)[order][good]
-        by, bounds = by_slot(owner_, len(numbers))
-        for i, number in enumerate(numbers):
-            if bounds[i + 1] > bounds[i]:
-                yield number, value[by[bounds[i]:bounds[i + 1]]].astype("<u8").tobytes()
+        good = np.repeat((size > 1) | (np.bitwise_or.reduceat(many[order], first) > 0), size)
+        return (*by_owner(owner[order][good], value[good]), None)
 
-    second = chunks.ask("windows", extended, repeats)
+    second = chunks.ask("windows", slots, extended, ("<u8", "u1"), repeats, "<u8")
 
-    def cut(chunk: int, batch: pa.RecordBatch, found: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
-        known = np.sort(np.concatenate([np.frombuffer(p, "<u8") for p in found.values()])) if found else np.zeros(0, np.uint64)
+    def cut(chunk: int, batch: pa.RecordBatch, _, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        known = np.sort(found)
         for block in columns_of(batch):
             words = Words(text_of(block), lower=False)
             gone = np.zeros(len(words), bool)
@@ -184,6 +151,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
     return unboxed(chunks.map(cut, added, second), columns, *(F.col(f.name) for f in added))
 
 
+def by_owner(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(owner, kind="stable")
+    return owner[order], value[order]
+
+
 def member(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which values a sorted array holds."""
     at = np.minimum(places(known, values), len(known) - 1)

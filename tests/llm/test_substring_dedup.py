@@ -65,3 +65,12 @@ def test_other_columns_and_empty_table(spark, docs_of):
     assert substring_dedup.remove_repeats(docs.where("false")).count() == 0
     with pytest.raises(ValueError, match="anchor"):
         substring_dedup.remove_repeats(docs, 35, 19)
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_levels_of_ranges_equal_counting_windows(spark, docs_of, monkeypatch, fan):
+    monkeypatch.setattr(substring_dedup, "SLOT_BYTES", 1)  # a slot for each chunk
+    rows = corpus(5, 30) + [(900, None), (901, ""), (902, "same " * 300), (None, "x y")]
+    got = substring_dedup.remove_repeats(docs_of(rows).repartition(11), 35, chunk_bytes=1, fan=fan)
+    got = got.select("doc_id", "n_words", "n_removed", "kept_text")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, brute_force(rows, 35)))
