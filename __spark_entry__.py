@@ -27,6 +27,7 @@ from auditlens.functions.exprs import joined_set  # noqa: E402
 from auditlens.operators import assess as R  # noqa: E402
 from auditlens.operators import correlation as X  # noqa: E402
 from auditlens.operators import posture as C  # noqa: E402
+from auditlens.operators import sketches as K  # noqa: E402
 from auditlens.operators import summaries as A  # noqa: E402
 from auditlens.plans.incremental import DailyStates  # noqa: E402
 from auditlens.plans.pipeline import SecurityPipeline  # noqa: E402
@@ -331,6 +332,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "a9_export_activity": _q(lambda p: p.a9),
         "a10_actor_unique_targets": _q(lambda p: A.actor_unique_targets(p.w("d2"), p.as_of)),
         "a11_failed_login_relations": _q(lambda p: A.failed_login_relations(p.w("d1"), p.as_of)),
+        "a12_failed_login_sketches": _view(lambda p: K.measured_sketches(K.login_sketches(p.d1), p.d1).select(
+            *K.ENTITY, "failed_attempts", "first_attempt", "last_attempt", "unique_entities", "within_error")),
         "r_fl_failed_login_analysis": _q(lambda p: _text_sets(p.r_fl_full, *sets)),
         "r1_failed_login_prompts": _prompts(lambda p: p.a3_counts, R.FAILED_LOGIN, ("detection_type", "entity_id")),
         "r1_data_export_prompts": _prompts(lambda p: p.a9, R.DATA_EXPORT),
