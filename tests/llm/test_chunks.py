@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from auditlens.llm import chunks as exchange
 from auditlens.llm.chunks import Chunks, Runs, restored_runs, together, widths
 
 FAN = 4
@@ -62,3 +63,49 @@ def test_runs_round_trip():
     assert [d for d, _ in turned.divided(np.array([0, 1]))] == [0, 1]
     empty = Runs(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), (np.zeros(0, "<u8"), np.zeros(0, "u1")))
     assert list(restored_runs(pa.py_buffer(empty.stored()), ["<u8", "u1"]).divided(np.zeros(0, int))) == []
+
+
+def held_by_groups(rows):
+    """Records that meet in each group of packages that one task deals on."""
+    out = {}
+    for r in rows.collect():
+        out[r["dest"], r["home"]] = out.get((r["dest"], r["home"]), 0) + int(restored_runs(pa.py_buffer(bytes(r["body"])), ["<u8"]).n.sum())
+    return out
+
+
+@pytest.mark.parametrize("slots", [17, 40, 256])
+def test_a_task_deals_about_a_chunk_just_above_the_fan_too(spark, tmp_path, monkeypatch, slots):
+    monkeypatch.setattr(exchange, "dealt_on", lambda rows, *_, **__: rows)
+    docs = spark.range(0, 96, 1, 96).selectExpr("id doc_id", "cast(id as string) text")
+    chunks = Chunks(docs, str(tmp_path / "run"), 1, fan=16)
+    held = held_by_groups(chunks.sent(slots, all_slots(slots), ["<u8"]))
+    assert sum(held.values()) == 96 * slots
+    assert max(held.values()) <= 4 * slots  # 16 chunks' records for 17 slots met in one task when a range held 16 of them
+
+
+def test_a_task_deals_the_answers_of_about_a_slot(spark, tmp_path, monkeypatch):
+    docs = spark.range(0, 20, 1, 20).selectExpr("id doc_id", "cast(id as string) text")
+    chunks = Chunks(docs, str(tmp_path / "run"), 1, fan=16)
+    given = []
+    dealt_on = exchange.dealt_on
+
+    def seen(rows, levels, types, *more, by_chunk):
+        if by_chunk:
+            given.append(rows)
+        return dealt_on(rows, levels, types, *more, by_chunk=by_chunk)
+
+    monkeypatch.setattr(exchange, "dealt_on", seen)
+    chunks.ask("round", 64, all_slots(64), ["<u8"], lambda slot, owner, owners, fields: (np.sort(owner), fields[0], None), "<u8")
+    held = held_by_groups(given[0])
+    assert sum(held.values()) == 20 * 64
+    assert max(held.values()) <= 2 * 20
+
+
+@pytest.mark.parametrize("fan", [2, 5, 256])
+def test_levels_have_equally_many_ranges(fan):
+    for places in (1, 2, fan, fan + 1, 720, fan * fan, fan * fan + 1):
+        levels = widths(places, fan)
+        steps = {a // b for a, b in zip(levels, levels[1:])}
+        assert levels[-1] == 1 and len(steps) <= 1
+        assert all(1 < n <= fan for n in steps) and -(-places // levels[0]) <= max(steps or {fan})
+        assert len(levels) == 1 or fan ** (len(levels) - 1) < places
