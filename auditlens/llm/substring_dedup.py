@@ -42,9 +42,15 @@ def text_of(block: pa.RecordBatch) -> pa.Array:
 
 def place(hashes: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     """The slot of each hash and 32 bits of its place in the slot's range."""
-    high, low = hashes >> np.uint64(32), hashes & np.uint64(0xFFFFFFFF)
-    wide = high * np.uint64(slots) + (low * np.uint64(slots) >> np.uint64(32))
-    return (wide >> np.uint64(32)).astype(np.int64), wide.astype(np.uint32)
+    wide = hashes & np.uint64(0xFFFFFFFF)
+    wide *= np.uint64(slots)
+    wide >>= np.uint64(32)
+    high = hashes >> np.uint64(32)
+    high *= np.uint64(slots)
+    wide += high
+    rest = wide.astype(np.uint32)
+    wide >>= np.uint64(32)
+    return wide.view(np.int64), rest
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = None, folder: str | None = None,
@@ -73,8 +79,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int | None = N
             found.append(hashes)
             blocks_.append((at - words.bounds[words.doc_of_word()[at]]) % anchor == 0)
         slot, rest = place(np.concatenate(found), slots)
-        mark = np.concatenate(blocks_)
-        key = slot.astype(np.uint64) << np.uint64(33) | rest.astype(np.uint64) << np.uint64(1) | (~mark).astype(np.uint64)
+        del found
+        key = slot.view(np.uint64)  # in place: these are the largest arrays of the operator
+        key <<= np.uint64(33)
+        rest = rest.astype(np.uint64)
+        rest <<= np.uint64(1)
+        key |= rest
+        key |= ~np.concatenate(blocks_)
+        del slot, rest, blocks_
         key.sort()
         whole = key >> np.uint64(1)
         first = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]])) if len(key) else np.zeros(0, np.int64)
